@@ -37,7 +37,7 @@ def with_run_uniform(df: DataFrame, out: str, state: str, entity: str, run: str)
 
     The high part enters after the run, so two keys with equal low parts do not move together.
     """
-    high = F.pmod(F.floor(F.col(entity).cast("bigint") / F.lit(PRIME)).cast("bigint"), F.lit(PRIME))
+    high = F.expr(f"pmod(CAST(`{entity}` AS BIGINT) div {PRIME}, {PRIME})")
     df = _fifth_power(df, "_u2", F.col(state) + F.col(run).cast("bigint") * F.lit(ROUND_KEYS[2]) + F.lit(ROUND_KEYS[3]))
     df = _fifth_power(df, "_u3", F.col("_u2") + high + F.lit(ROUND_KEYS[4]))
     return df.withColumn(out, (F.col("_u3") + F.lit(0.5)) / F.lit(float(PRIME))).drop("_u2", "_u3")
