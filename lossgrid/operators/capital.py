@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lossgrid.functions.normal import normal_quantile_of, with_normal_cdf, with_normal_quantile
 from lossgrid.functions.numeric import clip
 from lossgrid.operators.components import DEFAULT_LGD, amount
-from lossgrid.operators.ordered import exact_quantiles
+from lossgrid.operators.ordered import running_totals
 
 DEFAULT_CONFIDENCE = 0.999
 PD_FLOOR = 1e-6
@@ -157,67 +157,54 @@ def portfolio_pd(
 
 
 def diversification_ratio(
-    df: DataFrame,
-    *,
-    pd: str,
-    ead: str,
-    segment: str,
-    lgd: str | float = DEFAULT_LGD,
-    confidence: float = DEFAULT_CONFIDENCE,
+    losses: DataFrame, *, unit: str, run: str, loss: str, confidence: float = DEFAULT_CONFIDENCE
 ) -> DataFrame:
-    """1 - portfolio VaR / sum of stand-alone segment VaRs, 0 if the portfolio VaR is 0.
+    """1 - portfolio VaR / sum of the units' stand-alone VaRs, in [0, 1]; 0 if the portfolio VaR is 0.
 
-    A segment's VaR is its worst-case retail loss with the correlation of its own mean PD. The portfolio
-    is one pool whose systematic factor is shared, which its pooled PD and the additive LGD * EAD measure.
+    Input rows are (unit, run, loss) of a simulated loss distribution; a percentile state holds at most one
+    value per run.
     """
-    def value_at_risk(pool: DataFrame) -> DataFrame:
-        pool = pool.withColumn("_pool_pd", F.try_divide("_loss", "_severity"))
-        return with_retail_capital(pool, pd="_pool_pd", ead="_severity", lgd=1.0, confidence=confidence, out="var")
-
-    severity = F.col(ead) * amount(lgd)
-    pools = df.groupBy(segment).agg(
-        F.sum(severity * F.col(pd)).alias("_loss"), F.sum(severity).alias("_severity")
-    )
-    alone = value_at_risk(pools).agg(F.sum("var").alias("sum_of_vars")).scalar()
-    whole = value_at_risk(pools.agg(F.sum("_loss").alias("_loss"), F.sum("_severity").alias("_severity")))
-    both = whole.select(F.coalesce("var", F.lit(0.0)).alias("portfolio_var")).withColumn("sum_of_vars", alone)
-    ratio = F.lit(1.0) - F.try_divide("portfolio_var", "sum_of_vars")
-    return both.withColumn("diversification_ratio", diversification(F.col("portfolio_var"), ratio))
-
-
-def diversification(portfolio_var: Column, ratio: Column) -> Column:
-    """The ratio bounded to [0, 1]; 0 for a portfolio without risk."""
-    return F.when(portfolio_var == 0, F.lit(0.0)).otherwise(clip(ratio, 0.0, 1.0))
+    alone = losses.groupBy(unit).agg(F.percentile(loss, confidence).alias("var")).agg(F.sum("var")).scalar()
+    whole = losses.groupBy(run).agg(F.sum(loss).alias("_l")).agg(F.percentile("_l", confidence).alias("portfolio_var"))
+    both = whole.withColumn("sum_of_vars", alone)
+    ratio = clip(F.lit(1.0) - F.try_divide("portfolio_var", "sum_of_vars"), 0.0, 1.0)
+    return both.withColumn("diversification_ratio", F.when(F.col("portfolio_var") == 0, 0.0).otherwise(ratio))
 
 
 def return_var_es(
     df: DataFrame, *, ret: str, confidence: float = 0.95, method: str = "historical", by: Sequence[str] = ()
 ) -> DataFrame:
-    """Value at risk of returns (historical or parametric) and the historical expected shortfall."""
+    """Value at risk of returns (historical or parametric) and the historical expected shortfall.
+
+    Rank, quantile and tail mean all come from the running counts of distinct returns, so the returns are
+    not joined back with their quantile.
+    """
     if method not in ("historical", "parametric"):
         raise ValueError(f"unknown VaR method: {method}")
-    returns = df.select(*by, F.col(ret).cast("double").alias("_r"))
-    tail = exact_quantiles(returns, "_r", [1.0 - confidence], by)
-    if by:
-        group = F.struct(*by).alias("_group")
-        cut = tail.select(group, F.get("quantiles", F.lit(0)).alias("_q"))
-        marked = returns.withColumn("_group", group).join(cut, "_group", "left").drop("_group")
-    else:
-        marked = returns.withColumn("_q", F.get(tail.select("quantiles").scalar(), F.lit(0)))
-    limit = F.least(F.col("_q"), F.lit(0.0))
-    sums = marked.groupBy(*by).agg(
-        F.count("_r").alias("n"),
-        F.max("_q").alias("_q"),
-        F.avg("_r").alias("_mean"),
-        F.stddev_pop("_r").alias("_std"),
-        F.avg(F.when(F.col("_r") <= limit, F.col("_r"))).alias("_tail"),
+    group = F.struct(*by, F.lit(0).alias("_pad")).alias("_group")
+    returns = df.select(group, F.col(ret).cast("double").alias("_r"))
+    totals = running_totals(returns, "_r", {"_n": F.lit(1)}, ["_group"])
+    before, upto, r = F.col("_n_upto") - F.col("_n"), F.col("_n_upto"), F.col("_r")
+    at = F.lit(1.0 - confidence) * (F.col("_n_total") - 1)
+    low = F.floor(at)
+    high = F.least(low + 1, F.col("_n_total") - 1)
+    tail = (before <= low) & (r <= 0)  # the returns at or below the quantile, and no gains
+    found = totals.groupBy("_group").agg(
+        F.max("_n_total").alias("n"),
+        F.max(at - low).alias("_part"),
+        F.max(F.when((before <= low) & (low < upto), r)).alias("_low"),
+        F.max(F.when((before <= high) & (high < upto), r)).alias("_high"),
+        F.try_divide(F.sum(F.when(tail, r * F.col("_n"))), F.sum(F.when(tail, F.col("_n")))).alias("_tail"),
     )
     zero = F.lit(0.0)
-    historical = F.greatest(-F.col("_q"), zero)
-    parametric = F.greatest(-(F.col("_mean") + F.col("_std") * normal_quantile_of(1.0 - confidence)), zero)
-    return sums.select(
-        *by,
+    value = historical = F.greatest(-(F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")), zero)
+    if method == "parametric":
+        moments = returns.groupBy("_group").agg(F.avg("_r").alias("_mean"), F.stddev_pop("_r").alias("_std"))
+        found = found.join(moments, "_group", "left")
+        value = F.greatest(-(F.col("_mean") + F.col("_std") * normal_quantile_of(1.0 - confidence)), zero)
+    return found.select(
+        *[F.col("_group").getField(k).alias(k) for k in by],
         "n",
-        (historical if method == "historical" else parametric).alias("value_at_risk"),
+        value.alias("value_at_risk"),
         F.greatest(F.coalesce(-F.col("_tail"), zero), historical).alias("expected_shortfall"),
     )

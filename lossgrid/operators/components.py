@@ -125,5 +125,3 @@ def component_validation(
     return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("sample_size"), *errors("pd", pd, defaulted), *errors("lgd", lgd, realised_lgd)
     )
-
-

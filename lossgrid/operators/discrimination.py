@@ -21,7 +21,9 @@ def _where(condition: Column, amount: Column | str) -> Column:
     return F.when(condition, amount).otherwise(F.lit(0.0))
 
 
-def _score_totals(df: DataFrame, score: str, label: str, by: Sequence[str], weight: str | None) -> DataFrame:
+def score_totals(
+    df: DataFrame, score: str, label: str, by: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
     """Running sums per distinct score, ascending: weighted (pos, neg) and plain (c1, c0) counts."""
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     positive, negative = F.col(label) == 1, F.col(label) == 0
@@ -50,13 +52,13 @@ def auc_ks(
 
     The KS distance stays unweighted when weights are given.
     """
-    found = _score_totals(df, score, label, by, weight).groupBy(*by).agg(*_discrimination(weight))
+    found = score_totals(df, score, label, by, weight).groupBy(*by).agg(*_discrimination(weight))
     return found.select(*by, "auc_roc", (F.col("auc_roc") * 2 - 1).alias("gini"), "ks_statistic")
 
 
 def roc_curve(df: DataFrame, *, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, taking all scores >= threshold as positive, plus the origin."""
-    totals = _score_totals(df, score, label, by, None)
+    totals = score_totals(df, score, label, by)
 
     def share(c: str) -> Column:
         return F.try_divide(F.col(f"{c}_total") - F.col(f"{c}_upto") + F.col(c), F.col(f"{c}_total"))
@@ -70,7 +72,7 @@ def roc_curve(df: DataFrame, *, score: str, label: str, by: Sequence[str] = ())
 
 def pr_curve(df: DataFrame, *, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """(threshold, precision, recall) per distinct score."""
-    totals = _score_totals(df, score, label, by, None)
+    totals = score_totals(df, score, label, by)
     tp = F.col("pos_total") - F.col("pos_upto") + F.col("pos")
     fp = F.col("neg_total") - F.col("neg_upto") + F.col("neg")
     return totals.select(
@@ -90,7 +92,7 @@ def average_precision(df: DataFrame, *, score: str, label: str, by: Sequence[str
 
 def evaluate(df: DataFrame, *, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """ROC AUC and average precision from one pass over the distinct scores."""
-    totals = _score_totals(df, score, label, by, None)
+    totals = score_totals(df, score, label, by)
     tp = F.col("pos_total") - F.col("pos_upto") + F.col("pos")
     fp = F.col("neg_total") - F.col("neg_upto") + F.col("neg")
     step = tp / (tp + fp) * F.try_divide(F.col("pos"), F.col("pos_total"))
@@ -156,7 +158,7 @@ def performance_report(
     threshold: float = 0.5,
 ) -> DataFrame:
     """All performance metrics per group from one table of distinct scores."""
-    totals = _score_totals(df, score, label, by, weight)
+    totals = score_totals(df, score, label, by, weight)
     c1, c0 = (F.col("c1"), F.col("c0")) if weight else (F.col("pos"), F.col("neg"))
     hit, s = F.col(score) >= threshold, F.col(score)
     sums = totals.groupBy(*by).agg(

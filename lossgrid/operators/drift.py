@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lossgrid.functions.bins import edge_array_bin
 from lossgrid.functions.numeric import melt
-from lossgrid.operators.discrimination import auc_ks
+from lossgrid.operators.discrimination import score_totals
 from lossgrid.operators.ordered import exact_quantiles, quantiles_of_totals, running_totals
 
 # Default alert thresholds, share floor of a bin, limits of the stability reading.
@@ -52,14 +52,21 @@ def kolmogorov_p_value(distance: Column, n: Column, m: Column) -> Column:
     return F.when(z.isNotNull(), F.greatest(F.least(p, F.lit(1.0)), F.lit(0.0)))
 
 
+KEY = "_key"  # struct of the group columns and the feature: NULL groups match in plain joins
+
+
+def _unpack(df: DataFrame) -> DataFrame:
+    return df.select(f"{KEY}.*", *[c for c in df.columns if c != KEY])
+
+
 def _long(df: DataFrame, features: Sequence[str], is_ref: str, by: Sequence[str]) -> DataFrame:
+    """Rows (key, value, n_ref, n_cur) with exactly one of the counts 1; no shuffle."""
     reference = F.col(is_ref) == 1
     return (
         melt(df, list(features), keep=[*by, is_ref])
         .filter(F.col("value").isNotNull() & F.col(is_ref).isNotNull())
         .select(
-            *by,
-            "feature",
+            F.struct(*by, "feature").alias(KEY),
             "value",
             F.when(reference, 1).otherwise(0).cast("bigint").alias("n_ref"),
             F.when(reference, 0).otherwise(1).cast("bigint").alias("n_cur"),
@@ -67,43 +74,45 @@ def _long(df: DataFrame, features: Sequence[str], is_ref: str, by: Sequence[str]
     )
 
 
-def _psi_edges(long: DataFrame, keys: Sequence[str], n_bins: int, method: str) -> DataFrame:
-    """keys + sorted, de-duplicated bin edges taken from the reference sample."""
+def _psi_edges(long: DataFrame, n_bins: int, method: str) -> DataFrame:
+    """key + sorted, de-duplicated bin edges taken from the reference sample."""
     reference = long.filter(F.col("n_ref") == 1)
     if method == "quantile":
         probs = [i / n_bins for i in range(n_bins + 1)]
-        found = exact_quantiles(reference, "value", probs, keys).withColumnRenamed("quantiles", "edges")
+        found = exact_quantiles(reference, "value", probs, [KEY]).withColumnRenamed("quantiles", "edges")
     elif method == "equal_width":
         lo, hi = F.col("lo"), F.col("hi")
         step = (hi - lo) / F.lit(float(n_bins))
         points = [lo + F.lit(float(i)) * step for i in range(n_bins)] + [hi]
-        found = reference.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-        found = found.select(*keys, F.array(*points).alias("edges"))
+        found = reference.groupBy(KEY).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+        found = found.select(KEY, F.array(*points).alias("edges"))
     else:
         raise ValueError(f"unknown binning method: {method}")
-    return found.select(*keys, F.array_distinct("edges").alias("edges"))
+    return found.select(KEY, F.array_distinct("edges").alias("edges"))
 
 
-def _psi_bins(counted: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bin rows of every group from rows (keys, value, n_ref, n_cur), raw or already aggregated.
+def _psi_bins(counted: DataFrame, edges: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Bin rows of every group from rows (key, value, n_ref, n_cur), raw or already aggregated.
 
     Current values outside the reference range belong to no bin and to no denominator; they are counted
     in ``out_of_range``.
     """
+    # Without groups there is one edge row per feature column; otherwise its size decides at run time.
+    lookup = edges if by else F.broadcast(edges)
     bin_counts = (
-        counted.join(edges, list(keys))
+        counted.join(lookup, KEY)
         .withColumn("bin", edge_array_bin(F.col("value"), F.col("edges")))
-        .groupBy(*keys, "bin")
+        .groupBy(KEY, "bin")
         .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     )
     # NULL bin of a usable group = current rows outside the edges.
     grid = edges.filter(F.size("edges") > 1).select(
-        *keys, "edges", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin")
+        KEY, "edges", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin")
     )
-    of_group = Window.partitionBy(*keys)  # one row per bin
-    outside = bin_counts.filter(F.col("bin").isNull()).select(*keys, F.col("n_cur").alias("out_of_range"))
-    inside = grid.join(bin_counts.filter(F.col("bin").isNotNull()), [*keys, "bin"], "left").join(
-        outside, list(keys), "left"
+    of_group = Window.partitionBy(KEY)  # one row per bin
+    outside = bin_counts.filter(F.col("bin").isNull()).select(KEY, F.col("n_cur").alias("out_of_range"))
+    inside = grid.join(bin_counts.filter(F.col("bin").isNotNull()), [KEY, "bin"], "left").join(
+        outside, KEY, "left"
     )
 
     def share(count: str) -> Column:
@@ -112,7 +121,7 @@ def _psi_bins(counted: DataFrame, edges: DataFrame, keys: Sequence[str]) -> Data
 
     ref, cur = F.col("reference_pct"), F.col("current_pct")
     return inside.withColumns({"reference_pct": share("n_ref"), "current_pct": share("n_cur")}).select(
-        *keys,
+        KEY,
         "bin",
         F.get("edges", F.col("bin")).alias("bin_lower"),
         F.get("edges", F.col("bin") + 1).alias("bin_upper"),
@@ -136,15 +145,15 @@ def psi_bins(
 
     Only reference values are shuffled (for the quantile edges); both samples are binned where they lie.
     """
-    long, keys = _long(df, features, is_ref, by), [*by, "feature"]
-    return _psi_bins(long, _psi_edges(long, keys, n_bins, method), keys)
+    long = _long(df, features, is_ref, by)
+    return _unpack(_psi_bins(long, _psi_edges(long, n_bins, method), by))
 
 
-def _psi_summary(bins: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    summed = bins.groupBy(*keys).agg(F.sum("psi_part").alias("psi"), F.max("out_of_range").alias("out_of_range"))
+def _psi_summary(bins: DataFrame, edges: DataFrame) -> DataFrame:
+    summed = bins.groupBy(KEY).agg(F.sum("psi_part").alias("psi"), F.max("out_of_range").alias("out_of_range"))
     usable = F.size("edges") > 1
-    return edges.join(summed, list(keys), "left").select(
-        *keys,
+    return edges.join(summed, KEY, "left").select(
+        KEY,
         F.coalesce("psi", F.lit(0.0)).alias("psi"),
         F.when(usable, psi_reading(F.col("psi"))).alias("interpretation"),
         F.coalesce("out_of_range", F.lit(0)).alias("out_of_range"),
@@ -162,9 +171,9 @@ def psi(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Population stability index per feature with its reading; 0 and a warning if there is one edge only."""
-    long, keys = _long(df, features, is_ref, by), [*by, "feature"]
-    edges = _psi_edges(long, keys, n_bins, method)
-    return _psi_summary(_psi_bins(long, edges, keys), edges, keys)
+    long = _long(df, features, is_ref, by)
+    edges = _psi_edges(long, n_bins, method)
+    return _unpack(_psi_summary(_psi_bins(long, edges, by), edges))
 
 
 def sample_stats(df: DataFrame, *, features: Sequence[str], is_ref: str, by: Sequence[str] = ()) -> DataFrame:
@@ -178,30 +187,29 @@ def sample_stats(df: DataFrame, *, features: Sequence[str], is_ref: str, by: Seq
             F.avg(value).alias(f"{name}_mean"),
             F.stddev_pop(value).alias(f"{name}_std"),
         ]
-    return long.groupBy(*by, "feature").agg(*aggregates)
+    return _unpack(long.groupBy(KEY).agg(*aggregates))
 
 
-def _two_sample_totals(long: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return running_totals(long, "value", {"n_ref": F.col("n_ref"), "n_cur": F.col("n_cur")}, keys)
+def _two_sample_totals(long: DataFrame) -> DataFrame:
+    return running_totals(long, "value", {"n_ref": F.col("n_ref"), "n_cur": F.col("n_cur")}, [KEY])
 
 
-def _ks_of_totals(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _ks_of_totals(totals: DataFrame) -> DataFrame:
     distance = F.max(
         F.abs(F.try_divide("n_ref_upto", "n_ref_total") - F.try_divide("n_cur_upto", "n_cur_total"))
     )
-    found = totals.groupBy(*keys).agg(
+    found = totals.groupBy(KEY).agg(
         distance.alias("ks_statistic"), F.max("n_ref_total").alias("_n"), F.max("n_cur_total").alias("_m")
     )
     p = kolmogorov_p_value(F.col("ks_statistic"), F.col("_n"), F.col("_m"))
     return found.withColumn("p_value", p).select(
-        *keys, "ks_statistic", "p_value", (F.col("p_value") < SIGNIFICANCE).alias("significant_change")
+        KEY, "ks_statistic", "p_value", (F.col("p_value") < SIGNIFICANCE).alias("significant_change")
     )
 
 
 def ks_two_sample(df: DataFrame, *, features: Sequence[str], is_ref: str, by: Sequence[str] = ()) -> DataFrame:
     """Two-sample KS distance, limiting p-value and its significance per feature."""
-    keys = [*by, "feature"]
-    return _ks_of_totals(_two_sample_totals(_long(df, features, is_ref, by), keys), keys)
+    return _unpack(_ks_of_totals(_two_sample_totals(_long(df, features, is_ref, by))))
 
 
 def ks_power_change(
@@ -209,12 +217,11 @@ def ks_power_change(
 ) -> DataFrame:
     """KS distance of goods and bads in both samples and whether the power held; NULL if a class is absent."""
     limit = merged_thresholds(thresholds)["ks_threshold"]
-    classes = df.filter(F.col(score).isNotNull()).groupBy(is_ref).agg(F.count_distinct(label).alias("classes"))
-    power = auc_ks(df, score=score, label=label, by=[is_ref]).join(classes, is_ref)
-    both = F.when(F.col("classes") > 1, F.col("ks_statistic"))
-    one = power.agg(
-        F.max(F.when(F.col(is_ref) == 1, both)).alias("reference_ks_power"),
-        F.max(F.when(F.col(is_ref) == 0, both)).alias("current_ks_power"),
+    totals = score_totals(df, score, label, [is_ref])
+    gap = F.abs(F.try_divide("neg_upto", "neg_total") - F.try_divide("pos_upto", "pos_total"))
+    one = totals.agg(
+        F.max(F.when(F.col(is_ref) == 1, gap)).alias("reference_ks_power"),
+        F.max(F.when(F.col(is_ref) == 0, gap)).alias("current_ks_power"),
     )
     change = F.col("current_ks_power") - F.col("reference_ks_power")
     return one.withColumn("ks_power_change", change).withColumn(
@@ -235,17 +242,21 @@ def feature_drift(
 
     Ranks, quantile edges, bin counts and the KS distance all come from one table of distinct values.
     """
-    limits, keys = merged_thresholds(thresholds), [*by, "feature"]
-    totals = _two_sample_totals(_long(df, features, is_ref, by), keys)
+    limits = merged_thresholds(thresholds)
+    totals = _two_sample_totals(_long(df, features, is_ref, by))
     probs = [i / n_bins for i in range(n_bins + 1)]
-    edges = quantiles_of_totals(totals, "value", "n_ref", probs, keys).filter(F.col("n") > 0).select(
-        *keys, F.array_distinct("quantiles").alias("edges")
+    edges = quantiles_of_totals(totals, "value", "n_ref", probs, [KEY]).filter(F.col("n") > 0).select(
+        KEY, F.array_distinct("quantiles").alias("edges")
     )
-    stability = _psi_summary(_psi_bins(totals.select(*keys, "value", "n_ref", "n_cur"), edges, keys), edges, keys)
-    distance = _ks_of_totals(totals, keys)
+    stability = _psi_summary(_psi_bins(totals.select(KEY, "value", "n_ref", "n_cur"), edges, by), edges)
+    distance = _ks_of_totals(totals)
     affected = (F.col("psi") > limits["psi_threshold"]) | (F.col("ks_statistic") > limits["ks_threshold"])
-    return stability.join(distance, keys).select(
-        *keys, "psi", "ks_statistic", F.col("p_value").alias("ks_p_value"), F.coalesce(affected, F.lit(False)).alias("affected")
+    return stability.join(distance, KEY).select(
+        f"{KEY}.*",
+        "psi",
+        "ks_statistic",
+        F.col("p_value").alias("ks_p_value"),
+        F.coalesce(affected, F.lit(False)).alias("affected"),
     )
 
 
