@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lossgrid.plans import impairment_plans, preparation_plans
+from lossgrid.plans import impairment_plans, metric_plans, preparation_plans, risk_plans
 from lossgrid.plans.registry import Query
 
-PARTS = (impairment_plans, preparation_plans)
+PARTS = (impairment_plans, preparation_plans, metric_plans, risk_plans)
 
 
 def all_queries() -> dict[str, Query]:

@@ -131,7 +131,7 @@ def edge_list(n: int) -> str:
 
 def edge_bin(x: str = "value", edges: str = "edges") -> str:
     """Left-closed bin index, last bin closed, NULL outside."""
-    at = f"len(list_filter({edges}, e -> e <= {x}))"
+    at = f"len(list_filter({edges}, lambda e: e <= {x}))"
     return (
         f"CASE WHEN {at} >= 1 AND {at} < len({edges}) THEN {at} - 1 "
         f"WHEN {x} = {edges}[len({edges})] THEN len({edges}) - 2 END"
@@ -168,5 +168,5 @@ def kolmogorov(d: str, n: str, m: str) -> str:
     z = f"({d} * sqrt({n}::DOUBLE * {m} / ({n} + {m})))"
     return (
         f"CASE WHEN {z} < 0.2e0 THEN 1e0 ELSE greatest(0e0, least(1e0, 2e0 * list_sum(list_transform(range(1, 101), "
-        f"k -> (CASE WHEN k % 2 = 1 THEN 1e0 ELSE -1e0 END) * exp(-2e0 * k * k * {z} * {z}))))) END"
+        f"lambda k: (CASE WHEN k % 2 = 1 THEN 1e0 ELSE -1e0 END) * exp(-2e0 * k * k * {z} * {z}))))) END"
     )

@@ -19,19 +19,16 @@ from lossgrid import get_session  # noqa: E402
 from lossgrid.plans.catalog import all_queries  # noqa: E402
 
 
-def normal_rows(frame) -> list[tuple]:
-    rows = []
-    for row in frame[sorted(frame.columns)].itertuples(index=False):
-        out = []
-        for v in row:
-            if v is None or (isinstance(v, float) and math.isnan(v)) or str(v) in ("NaT", "<NA>"):
-                out.append("NULL")
-            elif isinstance(v, float):
-                out.append(repr(round(v, 10) + 0.0))
-            else:
-                out.append(str(v).removesuffix(" 00:00:00"))
-        rows.append(tuple(out))
-    return sorted(rows)
+def normal_rows(columns: list[str], rows: list[tuple]) -> list[tuple]:
+    """Rows with columns by name and values as text, sorted."""
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+
+    def text(v) -> str:
+        if v is None or (isinstance(v, float) and math.isnan(v)):
+            return "NULL"
+        return repr(round(v, 10) + 0.0) if isinstance(v, float) else str(v)
+
+    return sorted(tuple(text(row[i]) for i in order) for row in rows)
 
 
 def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -42,10 +39,16 @@ def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def differences(spark_frame, oracle_frame) -> str | None:
-    if sorted(spark_frame.columns) != sorted(oracle_frame.columns):
-        return f"columns {sorted(spark_frame.columns)} vs {sorted(oracle_frame.columns)}"
-    a, b = normal_rows(spark_frame), normal_rows(oracle_frame)
+TYPES = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean"}
+
+
+def differences(spark_types, spark_rows, oracle_types, oracle_rows) -> str | None:
+    """What differs, or None. Types are (name, type) pairs."""
+    expected = sorted((n, TYPES.get(str(t), str(t))) for n, t in oracle_types)
+    if sorted(spark_types) != expected:
+        return f"schema {sorted(spark_types)} vs {expected}"
+    a = normal_rows([n for n, _ in spark_types], spark_rows)
+    b = normal_rows([n for n, _ in oracle_types], oracle_rows)
     if len(a) != len(b):
         return f"rows {len(a)} vs {len(b)}"
     bad = [(x, y) for x, y in zip(a, b) if x != y]
@@ -68,15 +71,18 @@ def main(argv: list[str]) -> int:
             continue
         started = time.time()
         try:
-            frame = query.run(spark, sf_dir).toPandas()
+            df = query.run(spark, sf_dir)
+            rows = df.collect()
             spark_s, started = time.time() - started, time.time()
             verdict = "rows only"
             if query.sql is not None:
-                verdict = differences(frame, con.execute(query.oracle()).df()) or "ok"
+                answer = con.execute(query.oracle())
+                types = [(d[0], d[1]) for d in answer.description]
+                verdict = differences(df.dtypes, rows, types, answer.fetchall()) or "ok"
         except Exception as error:  # report and go on with the next query
-            spark_s, frame, verdict = time.time() - started, [], f"ERROR {type(error).__name__}: {str(error)[:600]}"
+            spark_s, rows, verdict = time.time() - started, [], f"ERROR {type(error).__name__}: {str(error)[:600]}"
         failed += verdict not in ("ok", "rows only")
-        print(f"{name:32s} rows={len(frame):6d} spark={spark_s:6.2f}s oracle={time.time() - started:5.2f}s {verdict}", flush=True)
+        print(f"{name:32s} rows={len(rows):6d} spark={spark_s:6.2f}s oracle={time.time() - started:5.2f}s {verdict}", flush=True)
     print("failed:", failed)
     return 1 if failed else 0
 
