@@ -66,15 +66,14 @@ def simulate_losses(
     cells = cells.withColumn("_x", F.col("_threshold") - F.lit(slope) * F.col("z"))
     cells = with_normal_cdf(cells, "_limit", "_x")
     cells = with_run_uniform(cells, "_u", "_state", "_key", "sim")
-    # Only defaults reach the aggregate; the zero rows keep runs (and groups) without any.
-    defaults = cells.filter(F.col("_u") < F.col("_limit")).select(*by, "sim", F.col("_severity").alias("loss"))
+    # Summed by condition, not filtered: a filter would be pushed through the projections and have their
+    # whole chain written into it once per use.
+    lost = F.when(F.col("_u") < F.col("_limit"), F.col("_severity")).otherwise(F.lit(0.0))
+    losses = cells.select(*by, "sim", lost.alias("loss")).groupBy(*by, "sim").agg(F.sum("loss").alias("loss"))
     if by:
-        groups = df.filter(F.col(pd).isNotNull()).select(*by).distinct()
-        zeros = groups.select(*by, F.explode(F.sequence(F.lit(0), F.lit(n_sims - 1))).cast("bigint").alias("sim"))
-    else:
-        zeros = spark.range(n_sims).select(F.col("id").alias("sim"))
-    rows = defaults.unionByName(zeros.withColumn("loss", F.lit(0.0)))
-    return rows.groupBy(*by, "sim").agg(F.sum("loss").alias("loss"))
+        return losses
+    runs = spark.range(n_sims).select(F.col("id").alias("sim"))  # an empty portfolio loses 0 in every run
+    return runs.join(losses, "sim", "left").select("sim", F.coalesce("loss", F.lit(0.0)).alias("loss"))
 
 
 def loss_var_es(losses: DataFrame, *, confidence: float = 0.999, by: Sequence[str] = ()) -> DataFrame:
