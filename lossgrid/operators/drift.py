@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossgrid.functions.bins import edge_array_bin
@@ -91,44 +91,58 @@ def _psi_edges(long: DataFrame, n_bins: int, method: str) -> DataFrame:
     return found.select(KEY, F.array_distinct("edges").alias("edges"))
 
 
-def _psi_bins(counted: DataFrame, edges: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Bin rows of every group from rows (key, value, n_ref, n_cur), raw or already aggregated.
+def _psi_row(counted: DataFrame, edges: DataFrame, by: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """One row per key from rows (key, value, n_ref, n_cur), raw or already aggregated.
 
-    Current values outside the reference range belong to no bin and to no denominator; they are counted
-    in ``out_of_range``.
+    Columns: edges, carried columns of the edge table, ``out_of_range`` (current rows outside the edges,
+    which belong to no bin and no denominator), and ``bins``, an array with one struct per bin, empty bins
+    included. Bin counts are few per key, so shares and contributions are array arithmetic in the row.
     """
     # Without groups there is one edge row per feature column; otherwise its size decides at run time.
     lookup = edges if by else F.broadcast(edges)
-    bin_counts = (
+    passed = ["edges", *carry]
+    per_bin = (
         counted.join(lookup, KEY)
         .withColumn("bin", edge_array_bin(F.col("value"), F.col("edges")))
         .groupBy(KEY, "bin")
-        .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+        .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"), *[F.any_value(c).alias(c) for c in passed])
     )
-    # NULL bin of a usable group = current rows outside the edges.
-    grid = edges.filter(F.size("edges") > 1).select(
-        KEY, "edges", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin")
+    inside = F.col("bin").isNotNull()
+    per_key = per_bin.groupBy(KEY).agg(
+        *[F.any_value(c).alias(c) for c in passed],
+        F.coalesce(F.sum(F.when(~inside, F.col("n_cur"))), F.lit(0)).alias("out_of_range"),
+        F.map_from_entries(F.collect_list(F.when(inside, F.struct("bin", F.struct("n_ref", "n_cur"))))).alias("_counts"),
     )
-    of_group = Window.partitionBy(KEY)  # one row per bin
-    outside = bin_counts.filter(F.col("bin").isNull()).select(KEY, F.col("n_cur").alias("out_of_range"))
-    inside = grid.join(bin_counts.filter(F.col("bin").isNotNull()), [KEY, "bin"], "left").join(
-        outside, KEY, "left"
+    usable = F.size("edges") > 1
+    numbers = F.when(usable, F.sequence(F.lit(0), F.greatest(F.size("edges") - 2, F.lit(0)))).otherwise(
+        F.array().cast("array<int>")
     )
 
-    def share(count: str) -> Column:
-        floored = F.coalesce(F.col(count), F.lit(0)) + F.lit(SHARE_FLOOR)
-        return floored / F.sum(floored).over(of_group)
-
-    ref, cur = F.col("reference_pct"), F.col("current_pct")
-    return inside.withColumns({"reference_pct": share("n_ref"), "current_pct": share("n_cur")}).select(
-        KEY,
-        "bin",
-        F.get("edges", F.col("bin")).alias("bin_lower"),
-        F.get("edges", F.col("bin") + 1).alias("bin_upper"),
-        "reference_pct",
-        "current_pct",
-        ((cur - ref) * F.log(cur / ref)).alias("psi_part"),
-        F.coalesce("out_of_range", F.lit(0)).alias("out_of_range"),
+    def floored(count: str) -> Column:
+        return F.transform(
+            numbers,
+            lambda i: F.coalesce(F.try_element_at(F.col("_counts"), i)[count], F.lit(0)) + F.lit(SHARE_FLOOR),
+        )
+
+    def shares(column: str) -> Column:
+        total = F.aggregate(column, F.lit(0.0), lambda acc, x: acc + x)
+        return F.transform(column, lambda x: x / total)
+
+    def bin_struct(i: Column) -> Column:
+        ref, cur = F.get("_ref", i), F.get("_cur", i)
+        return F.struct(
+            i.alias("bin"),
+            F.get("edges", i).alias("bin_lower"),
+            F.get("edges", i + 1).alias("bin_upper"),
+            ref.alias("reference_pct"),
+            cur.alias("current_pct"),
+            ((cur - ref) * F.log(cur / ref)).alias("psi_part"),
+        )
+
+    return (
+        per_key.withColumns({"_ref": floored("n_ref"), "_cur": floored("n_cur")})
+        .withColumns({"_ref": shares("_ref"), "_cur": shares("_cur")})
+        .select(KEY, *passed, "out_of_range", F.transform(numbers, bin_struct).alias("bins"))
     )
 
 
@@ -146,19 +160,12 @@ def psi_bins(
     Only reference values are shuffled (for the quantile edges); both samples are binned where they lie.
     """
     long = _long(df, features, is_ref, by)
-    return _unpack(_psi_bins(long, _psi_edges(long, n_bins, method), by))
+    rows = _psi_row(long, _psi_edges(long, n_bins, method), by)
+    return _unpack(rows.select(KEY, F.inline("bins"), "out_of_range"))
 
 
-def _psi_summary(bins: DataFrame, edges: DataFrame) -> DataFrame:
-    summed = bins.groupBy(KEY).agg(F.sum("psi_part").alias("psi"), F.max("out_of_range").alias("out_of_range"))
-    usable = F.size("edges") > 1
-    return edges.join(summed, KEY, "left").select(
-        KEY,
-        F.coalesce("psi", F.lit(0.0)).alias("psi"),
-        F.when(usable, psi_reading(F.col("psi"))).alias("interpretation"),
-        F.coalesce("out_of_range", F.lit(0)).alias("out_of_range"),
-        F.when(~usable, F.lit(PSI_WARNING)).alias("warning"),
-    )
+def _psi_value() -> Column:
+    return F.aggregate("bins", F.lit(0.0), lambda acc, b: acc + b["psi_part"])
 
 
 def psi(
@@ -172,8 +179,17 @@ def psi(
 ) -> DataFrame:
     """Population stability index per feature with its reading; 0 and a warning if there is one edge only."""
     long = _long(df, features, is_ref, by)
-    edges = _psi_edges(long, n_bins, method)
-    return _unpack(_psi_summary(_psi_bins(long, edges, by), edges))
+    rows = _psi_row(long, _psi_edges(long, n_bins, method), by).withColumn("psi", _psi_value())
+    usable = F.size("edges") > 1
+    return _unpack(
+        rows.select(
+            KEY,
+            "psi",
+            F.when(usable, psi_reading(F.col("psi"))).alias("interpretation"),
+            "out_of_range",
+            F.when(~usable, F.lit(PSI_WARNING)).alias("warning"),
+        )
+    )
 
 
 def sample_stats(df: DataFrame, *, features: Sequence[str], is_ref: str, by: Sequence[str] = ()) -> DataFrame:
@@ -194,22 +210,21 @@ def _two_sample_totals(long: DataFrame) -> DataFrame:
     return running_totals(long, "value", {"n_ref": F.col("n_ref"), "n_cur": F.col("n_cur")}, [KEY])
 
 
-def _ks_of_totals(totals: DataFrame) -> DataFrame:
-    distance = F.max(
-        F.abs(F.try_divide("n_ref_upto", "n_ref_total") - F.try_divide("n_cur_upto", "n_cur_total"))
-    )
-    found = totals.groupBy(KEY).agg(
-        distance.alias("ks_statistic"), F.max("n_ref_total").alias("_n"), F.max("n_cur_total").alias("_m")
-    )
-    p = kolmogorov_p_value(F.col("ks_statistic"), F.col("_n"), F.col("_m"))
-    return found.withColumn("p_value", p).select(
-        KEY, "ks_statistic", "p_value", (F.col("p_value") < SIGNIFICANCE).alias("significant_change")
-    )
+def _ks_aggregates() -> list[Column]:
+    gap = F.abs(F.try_divide("n_ref_upto", "n_ref_total") - F.try_divide("n_cur_upto", "n_cur_total"))
+    return [
+        F.max(gap).alias("ks_statistic"),
+        F.max("n_ref_total").alias("n_reference"),
+        F.max("n_cur_total").alias("n_current"),
+    ]
 
 
 def ks_two_sample(df: DataFrame, *, features: Sequence[str], is_ref: str, by: Sequence[str] = ()) -> DataFrame:
     """Two-sample KS distance, limiting p-value and its significance per feature."""
-    return _unpack(_ks_of_totals(_two_sample_totals(_long(df, features, is_ref, by))))
+    totals = _two_sample_totals(_long(df, features, is_ref, by))
+    p = kolmogorov_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"))
+    found = totals.groupBy(KEY).agg(*_ks_aggregates()).withColumn("p_value", p)
+    return _unpack(found.select(KEY, "ks_statistic", "p_value", (F.col("p_value") < SIGNIFICANCE).alias("significant_change")))
 
 
 def ks_power_change(
@@ -245,17 +260,19 @@ def feature_drift(
     limits = merged_thresholds(thresholds)
     totals = _two_sample_totals(_long(df, features, is_ref, by))
     probs = [i / n_bins for i in range(n_bins + 1)]
-    edges = quantiles_of_totals(totals, "value", "n_ref", probs, [KEY]).filter(F.col("n") > 0).select(
-        KEY, F.array_distinct("quantiles").alias("edges")
+    profile = quantiles_of_totals(totals, "value", "n_ref", probs, [KEY], also=_ks_aggregates()).filter(F.col("n") > 0)
+    edges = profile.select(
+        KEY, F.array_distinct("quantiles").alias("edges"), "ks_statistic", "n_reference", "n_current"
     )
-    stability = _psi_summary(_psi_bins(totals.select(KEY, "value", "n_ref", "n_cur"), edges, by), edges)
-    distance = _ks_of_totals(totals)
+    rows = _psi_row(
+        totals.select(KEY, "value", "n_ref", "n_cur"), edges, by, ["ks_statistic", "n_reference", "n_current"]
+    ).withColumn("psi", _psi_value())
     affected = (F.col("psi") > limits["psi_threshold"]) | (F.col("ks_statistic") > limits["ks_threshold"])
-    return stability.join(distance, KEY).select(
+    return rows.select(
         f"{KEY}.*",
         "psi",
         "ks_statistic",
-        F.col("p_value").alias("ks_p_value"),
+        kolmogorov_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")).alias("ks_p_value"),
         F.coalesce(affected, F.lit(False)).alias("affected"),
     )
 

@@ -186,9 +186,6 @@ def train_gbt(
         seed=seed,
         checkpointInterval=10,
     )
-    shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        df.sparkSession.sparkContext.setCheckpointDir(shared)
     return fit_pipeline(labelled.withColumn("_weight", weight), estimator, num_cols=num_cols, cat_cols=cat_cols, scale=False)
 
 

@@ -103,11 +103,17 @@ def running_totals(
 
 
 def quantiles_of_totals(
-    totals: DataFrame, value: str, count: str, probs: Sequence[float], by: Sequence[str] = ()
+    totals: DataFrame,
+    value: str,
+    count: str,
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    also: Sequence[Column] = (),
 ) -> DataFrame:
-    """Linear-interpolated quantiles from ``running_totals``: by + ``quantiles`` array (in ``probs`` order).
+    """Linear-interpolated quantiles from ``running_totals``: by, n, ``quantiles`` array (in ``probs`` order).
 
-    Ranks are weighted by the count column; rows with count 0 hold no rank.
+    Ranks are weighted by the count column; rows with count 0 hold no rank. ``also`` names further
+    aggregates of the same pass.
     """
     upto, n = F.col(f"{count}_upto"), F.col(f"{count}_total")
     before = upto - F.col(count)
@@ -117,13 +123,14 @@ def quantiles_of_totals(
         high = F.least(low + 1, n - 1)
         aggregates.append(F.max(F.when((before <= low) & (low < upto), F.col(value))).alias(f"_low{i}"))
         aggregates.append(F.max(F.when((before <= high) & (high < upto), F.col(value))).alias(f"_high{i}"))
-    grouped = totals.groupBy(*by).agg(F.max(n).alias("n"), *aggregates)
+    grouped = totals.groupBy(*by).agg(F.max(n).alias("n"), *aggregates, *also)
     at = [F.lit(float(q)) * (F.col("n") - 1) for q in probs]
     values = [
         F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (at[i] - F.floor(at[i]))
         for i in range(len(probs))
     ]
-    return grouped.select(*by, "n", F.array(*values).alias("quantiles"))
+    kept = [c for c in grouped.columns if c not in by and c != "n" and not c.startswith(("_low", "_high"))]
+    return grouped.select(*by, "n", F.array(*values).alias("quantiles"), *kept)
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:

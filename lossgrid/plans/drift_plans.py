@@ -281,12 +281,12 @@ QUERIES = {
     ),
     "alerts": Query(
         lambda s, d: daily_alerts(s, d).withColumn("day", F.to_date("ts")),
-        "type:s value:9 threshold:6 message:s day:d",
+        "type:s value:12 threshold:6 message:s day:d",
         f"SELECT * FROM {DAILY_SQL}",
     ),
     "alert_summary": Query(
         _summary,
-        "total_alerts:i period_days:i alert_frequency:9 psi_alert:i ks_alert:i calibration_alert:i drift_alert:i last_type:s last_value:9 "
+        "total_alerts:i period_days:i alert_frequency:9 psi_alert:i ks_alert:i calibration_alert:i drift_alert:i last_type:s last_value:12 "
         "last_day:d",
         f"WITH a AS (SELECT * FROM ({ALERTS_SQL}) WHERE {RECENT}) SELECT count(*) AS total_alerts, {DAYS_BACK} AS period_days, count(*) / "
         f"{DAYS_BACK}e0 AS alert_frequency, count_if(type = 'PSI_ALERT') AS psi_alert, count_if(type = 'KS_ALERT') AS ks_alert, "

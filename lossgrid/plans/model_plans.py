@@ -9,7 +9,7 @@ from lossgrid.operators import discrimination, impairment, models, quality, spli
 from lossgrid.plans.impairment_plans import STAGED_CTE, loans_with_ecl
 from lossgrid.plans.oracle import long_form, on_loans, quantile_ctes
 from lossgrid.plans.registry import Query
-from lossgrid.session import scratch_dir
+from lossgrid.session import materialise, scratch_dir
 from lossgrid.sources.loan_book import loan_book, read_table
 from lossgrid.sources.loan_csv import DELINQUENCY_TARGET, dataset_metadata, read_delinquency_csv, read_loans_dir
 from lossgrid.sources.sinks import write_results
@@ -29,7 +29,8 @@ def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.stratified_split(model_table(spark, sf_dir), key="id", label="default")
+    """Written once, since every fit reads it many times."""
+    return materialise(split.stratified_split(model_table(spark, sf_dir), key="id", label="default"), "split")
 
 
 def _part(df: DataFrame, name: str) -> DataFrame:
@@ -89,7 +90,7 @@ def _calibrated(method) -> object:
 
 def _pd_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three methods learnt on one half of the loans and applied to the other."""
-    table = raw_scores(spark, sf_dir)
+    table = materialise(raw_scores(spark, sf_dir), "scores")
     known, new = table.filter("half = 0"), table.filter("half = 1").select("id", "default", "score")
     for method in models.CALIBRATION_METHODS:
         new = models.pd_calibration(new, known, score="score", label="default", method=method, out=f"pd_{method}")
@@ -105,7 +106,7 @@ def _pd_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fit_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml.classification import LogisticRegression
 
-    data = model_table(spark, sf_dir)
+    data = materialise(model_table(spark, sf_dir), "features")
     estimator = LogisticRegression(labelCol="default", maxIter=20)
     model = models.fit_pipeline(data, estimator, num_cols=NUMERIC, cat_cols=CATEGORIES)
     scored = models.score_pd(model, data, keep=["id", "default"])

@@ -324,7 +324,7 @@ CAPITAL_QUERIES = {
 
 LOSS_QUERIES = {
     "scenario_loss_distribution": Query(
-        _losses, "sim:i loss:2", on_loans("SELECT sim, loss FROM losses", simulated(N_SIMS))
+        _losses, "sim:i loss:0", on_loans("SELECT sim, loss FROM losses", simulated(N_SIMS))
     ),
     "loss_var_es": Query(
         lambda s, d: simulation.loss_var_es(_losses(s, d)),
