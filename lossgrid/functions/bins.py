@@ -42,8 +42,13 @@ def equal_width_bin(x: Column, lo: Column, hi: Column, n: int, closed: str) -> C
     return F.when(x.isNotNull() & (width > 0), F.least(F.greatest(moved, F.lit(0)), F.lit(n - 1)))
 
 
-def edge_array_bin(x: Column, edges: Column) -> Column:
-    """Index of x in a sorted edge array: [e_i, e_i+1), last bin closed, NULL outside the range."""
-    position = F.size(F.filter(edges, lambda e: e <= x))
+def edge_array_bin(x: Column, edges: Column, max_edges: int) -> Column:
+    """Index of x in a sorted edge array: [e_i, e_i+1), last bin closed, NULL outside the range.
+
+    ``max_edges`` bounds the array's length; the edges are counted one by one in generated code.
+    """
+    position = F.lit(0)
+    for i in range(max_edges):
+        position = position + F.when(F.get(edges, F.lit(i)) <= x, 1).otherwise(0)
     last = F.size(edges)
-    return F.when((position >= 1) & (position < last), position - 1).when(x == F.element_at(edges, -1), last - 2)
+    return F.when((position >= 1) & (position < last), position - 1).when(x == F.get(edges, last - 1), last - 2)

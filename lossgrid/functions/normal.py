@@ -10,7 +10,7 @@ from __future__ import annotations
 import statistics
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rational approximation of the normal quantile, algorithm AS 241 (Wichura, 1988).
@@ -51,58 +51,56 @@ CDF_SPLIT = 7.07106781186547
 ROOT_TWO_PI = 2.506628274631
 
 
-def _horner(x: Column, coefficients: Sequence[float]) -> Column:
-    acc = F.lit(coefficients[-1])
+def _horner(x: str, coefficients: Sequence[float]) -> str:
+    text = f"{coefficients[-1]!r}D"
     for c in reversed(coefficients[:-1]):
-        acc = acc * x + F.lit(c)
-    return acc
+        text = f"({text} * {x} + {c!r}D)"
+    return text
+
+
+def _fraction(x: str, num: Sequence[float], den: Sequence[float]) -> str:
+    return f"{_horner(x, num)} / {_horner(x, den)}"
 
 
 def with_normal_quantile(df: DataFrame, out: str, p: str) -> DataFrame:
     """Add ``out`` = Φ⁻¹(p); p <= 0 gives -inf, p >= 1 gives +inf, NULL stays NULL."""
-    q, tail = F.col("_nq_q"), F.col("_nq_tail")
-    r = F.lit(0.180625) - q * q
-    near, far = tail - F.lit(1.6), tail - F.lit(5.0)
-    outer = F.when(
-        tail <= 5.0, _horner(near, QUANTILE_NEAR_NUM) / _horner(near, QUANTILE_NEAR_DEN)
-    ).otherwise(_horner(far, QUANTILE_FAR_NUM) / _horner(far, QUANTILE_FAR_DEN))
-    value = (
-        F.when(F.col(p) <= 0, F.lit(float("-inf")))
-        .when(F.col(p) >= 1, F.lit(float("inf")))
-        .when(F.abs(q) <= 0.425, q * _horner(r, QUANTILE_CENTRE_NUM) / _horner(r, QUANTILE_CENTRE_DEN))
-        .when(q < 0, -outer)
-        .when(q > 0, outer)
-    )
+    centre = _fraction("(0.180625D - _nq_q * _nq_q)", QUANTILE_CENTRE_NUM, QUANTILE_CENTRE_DEN)
+    near = _fraction("(_nq_tail - 1.6D)", QUANTILE_NEAR_NUM, QUANTILE_NEAR_DEN)
+    far = _fraction("(_nq_tail - 5D)", QUANTILE_FAR_NUM, QUANTILE_FAR_DEN)
+    in_tail = f"`{p}` > 0 AND `{p}` < 1 AND abs(_nq_q) > 0.425D"
     return (
         df.withColumn("_nq_q", F.col(p) - F.lit(0.5))
         .withColumn(
-            "_nq_tail",
-            F.when(
-                (F.col(p) > 0) & (F.col(p) < 1) & (F.abs(q) > 0.425),
-                F.sqrt(-F.log(F.when(q < 0, F.col(p)).otherwise(F.lit(1.0) - F.col(p)))),
+            "_nq_tail", F.expr(f"CASE WHEN {in_tail} THEN sqrt(-ln(CASE WHEN _nq_q < 0 THEN `{p}` ELSE 1D - `{p}` END)) END")
+        )
+        .withColumn(
+            out,
+            F.expr(
+                f"CASE WHEN `{p}` <= 0 THEN -DOUBLE('Infinity') WHEN `{p}` >= 1 THEN DOUBLE('Infinity') "
+                f"WHEN abs(_nq_q) <= 0.425D THEN _nq_q * {centre} "
+                f"WHEN _nq_tail <= 5D THEN signum(_nq_q) * ({near}) "
+                f"WHEN _nq_tail > 5D THEN signum(_nq_q) * ({far}) END"
             ),
         )
-        .withColumn(out, value)
         .drop("_nq_q", "_nq_tail")
     )
 
 
 def with_normal_cdf(df: DataFrame, out: str, x: str) -> DataFrame:
     """Add ``out`` = Φ(x); ±inf give 0 and 1, NULL stays NULL."""
-    a, e = F.col("_nc_abs"), F.col("_nc_exp")
-    tail = a + F.lit(0.65)
-    for k in (4.0, 3.0, 2.0, 1.0):
-        tail = a + F.lit(k) / tail
+    tail = "(_nc_abs + 0.65D)"
+    for k in ("4D", "3D", "2D", "1D"):
+        tail = f"(_nc_abs + {k} / {tail})"
     lower = (
-        F.when(a > 37.0, F.lit(0.0))
-        .when(a < CDF_SPLIT, e * _horner(a, CDF_NUM) / _horner(a, CDF_DEN))
-        .when(a.isNotNull(), e / tail / F.lit(ROOT_TWO_PI))
+        f"CASE WHEN _nc_abs > 37D THEN 0D "
+        f"WHEN _nc_abs < {CDF_SPLIT!r}D THEN _nc_exp * {_fraction('_nc_abs', CDF_NUM, CDF_DEN)} "
+        f"WHEN _nc_abs IS NOT NULL THEN _nc_exp / {tail} / {ROOT_TWO_PI!r}D END"
     )
     return (
         df.withColumn("_nc_abs", F.abs(F.col(x)))
-        .withColumn("_nc_exp", F.exp(-(a * a) / F.lit(2.0)))
-        .withColumn("_nc_low", lower)
-        .withColumn(out, F.when(F.col(x) > 0, F.lit(1.0) - F.col("_nc_low")).otherwise(F.col("_nc_low")))
+        .withColumn("_nc_exp", F.expr("exp(-(_nc_abs * _nc_abs) / 2D)"))
+        .withColumn("_nc_low", F.expr(lower))
+        .withColumn(out, F.expr(f"CASE WHEN `{x}` > 0 THEN 1D - _nc_low ELSE _nc_low END"))
         .drop("_nc_abs", "_nc_exp", "_nc_low")
     )
 

@@ -91,7 +91,9 @@ def _psi_edges(long: DataFrame, n_bins: int, method: str) -> DataFrame:
     return found.select(KEY, F.array_distinct("edges").alias("edges"))
 
 
-def _psi_row(counted: DataFrame, edges: DataFrame, by: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+def _psi_row(
+    counted: DataFrame, edges: DataFrame, n_bins: int, by: Sequence[str], carry: Sequence[str] = ()
+) -> DataFrame:
     """One row per key from rows (key, value, n_ref, n_cur), raw or already aggregated.
 
     Columns: edges, carried columns of the edge table, ``out_of_range`` (current rows outside the edges,
@@ -103,7 +105,7 @@ def _psi_row(counted: DataFrame, edges: DataFrame, by: Sequence[str], carry: Seq
     passed = ["edges", *carry]
     per_bin = (
         counted.join(lookup, KEY)
-        .withColumn("bin", edge_array_bin(F.col("value"), F.col("edges")))
+        .withColumn("bin", edge_array_bin(F.col("value"), F.col("edges"), n_bins + 1))
         .groupBy(KEY, "bin")
         .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"), *[F.any_value(c).alias(c) for c in passed])
     )
@@ -160,7 +162,7 @@ def psi_bins(
     Only reference values are shuffled (for the quantile edges); both samples are binned where they lie.
     """
     long = _long(df, features, is_ref, by)
-    rows = _psi_row(long, _psi_edges(long, n_bins, method), by)
+    rows = _psi_row(long, _psi_edges(long, n_bins, method), n_bins, by)
     return _unpack(rows.select(KEY, F.inline("bins"), "out_of_range"))
 
 
@@ -179,7 +181,7 @@ def psi(
 ) -> DataFrame:
     """Population stability index per feature with its reading; 0 and a warning if there is one edge only."""
     long = _long(df, features, is_ref, by)
-    rows = _psi_row(long, _psi_edges(long, n_bins, method), by).withColumn("psi", _psi_value())
+    rows = _psi_row(long, _psi_edges(long, n_bins, method), n_bins, by).withColumn("psi", _psi_value())
     usable = F.size("edges") > 1
     return _unpack(
         rows.select(
@@ -265,7 +267,7 @@ def feature_drift(
         KEY, F.array_distinct("quantiles").alias("edges"), "ks_statistic", "n_reference", "n_current"
     )
     rows = _psi_row(
-        totals.select(KEY, "value", "n_ref", "n_cur"), edges, by, ["ks_statistic", "n_reference", "n_current"]
+        totals.select(KEY, "value", "n_ref", "n_cur"), edges, n_bins, by, ["ks_statistic", "n_reference", "n_current"]
     ).withColumn("psi", _psi_value())
     affected = (F.col("psi") > limits["psi_threshold"]) | (F.col("ks_statistic") > limits["ks_threshold"])
     return rows.select(

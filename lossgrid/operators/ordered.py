@@ -65,25 +65,26 @@ def running_totals(
     )
     distinct = present.groupBy(*group, value).agg(*[F.sum(s).alias(s) for s in names])
 
-    # Branch-free binary search: after log2(buckets) steps the index is the number of splits below the pair.
-    steps = F.lit([buckets >> i for i in range(1, buckets.bit_length())])
+    # Branch-free binary search, one projection per halving, all inside generated code: at the end `_at` is
+    # the number of split points below the pair.
     pair = F.struct(*group, F.col(value))
-    search = F.aggregate(
-        steps, F.lit(0), lambda at, step: F.when(F.get("_splits", at + step - 1) < pair, at + step).otherwise(at)
-    )
-    placed = (
-        distinct.withColumn("_splits", _split_points(present, value, group, buckets))
-        .withColumn("_bucket", search)
-        .drop("_splits")
-    )
+    placed = distinct.withColumn("_splits", _split_points(present, value, group, buckets)).withColumn("_at", F.lit(0))
+    for i in range(1, buckets.bit_length()):
+        step = buckets >> i
+        placed = placed.withColumn(
+            "_at", F.when(F.get("_splits", F.col("_at") + (step - 1)) < pair, F.col("_at") + step).otherwise(F.col("_at"))
+        )
+    placed = placed.select(*group, F.col("_at").alias("_bucket"), value, *names).repartition(*group, "_bucket")
 
     ahead = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # The last value of a bucket is carried along so that both sides read the columns, and thereby the
+    # output, of one shuffle.
     offsets = (
         placed.groupBy(*group, "_bucket")
-        .agg(*[F.sum(s).alias(s) for s in names])
+        .agg(F.max(value).alias("_last"), *[F.sum(s).alias(s) for s in names])
         .select(
-            *group,
-            "_bucket",
+            *[F.col(c).alias(f"_of{c}") for c in (*group, "_bucket")],
+            "_last",
             *[F.coalesce(F.sum(s).over(ahead), F.lit(0)).alias(f"_ahead_{s}") for s in names],
             *[F.sum(s).over(Window.partitionBy(*group)).alias(f"{s}_total") for s in names],
         )
@@ -92,8 +93,11 @@ def running_totals(
     local = placed.withColumns({f"{s}_upto": F.sum(s).over(inside) for s in names})
     if not by:
         offsets = F.broadcast(offsets)  # at most `buckets` rows
+    match = F.col(value) <= F.col("_last")
+    for c in (*group, "_bucket"):
+        match = match & (F.col(c) == F.col(f"_of{c}"))
     # A left join: every bucket has its offset, and no not-null filter is derived on the search expression.
-    return local.join(offsets, [*group, "_bucket"], "left").select(
+    return local.join(offsets, match, "left").select(
         *[F.col("_group").getField(k).alias(k) for k in by],
         value,
         *names,
@@ -115,22 +119,19 @@ def quantiles_of_totals(
     Ranks are weighted by the count column; rows with count 0 hold no rank. ``also`` names further
     aggregates of the same pass.
     """
-    upto, n = F.col(f"{count}_upto"), F.col(f"{count}_total")
-    before = upto - F.col(count)
-    aggregates = []
+    n, upto = f"`{count}_total`", f"`{count}_upto`"
+    inside = f"{upto} - `{count}` <= {{rank}} AND {{rank}} < {upto}"  # the row holds that (0-based) rank
+    aggregates, values = [], []
     for i, q in enumerate(probs):
-        low = F.floor(F.lit(float(q)) * (n - 1))
-        high = F.least(low + 1, n - 1)
-        aggregates.append(F.max(F.when((before <= low) & (low < upto), F.col(value))).alias(f"_low{i}"))
-        aggregates.append(F.max(F.when((before <= high) & (high < upto), F.col(value))).alias(f"_high{i}"))
-    grouped = totals.groupBy(*by).agg(F.max(n).alias("n"), *aggregates, *also)
-    at = [F.lit(float(q)) * (F.col("n") - 1) for q in probs]
-    values = [
-        F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (at[i] - F.floor(at[i]))
-        for i in range(len(probs))
-    ]
+        at = f"({float(q)!r}D * ({{n}} - 1))"
+        for name, rank in (("low", f"floor({at})"), ("high", f"least(floor({at}) + 1, {{n}} - 1)")):
+            held = inside.format(rank=rank.format(n=n))
+            aggregates.append(F.expr(f"max(CASE WHEN {held} THEN `{value}` END) AS _{name}{i}"))
+        at = at.format(n="n")
+        values.append(f"_low{i} + (_high{i} - _low{i}) * ({at} - floor({at}))")
+    grouped = totals.groupBy(*by).agg(F.max(f"{count}_total").alias("n"), *aggregates, *also)
     kept = [c for c in grouped.columns if c not in by and c != "n" and not c.startswith(("_low", "_high"))]
-    return grouped.select(*by, "n", F.array(*values).alias("quantiles"), *kept)
+    return grouped.select(*by, "n", F.expr(f"array({', '.join(values)}) AS quantiles"), *kept)
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:

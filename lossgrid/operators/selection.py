@@ -41,7 +41,7 @@ def select_mutual_info(
     )
     counts = (
         totals.join(F.broadcast(edges), "feature")  # one row per feature column
-        .withColumn("bin", F.coalesce(edge_array_bin(F.col("value"), F.col("edges")), F.lit(0)))
+        .withColumn("bin", F.coalesce(edge_array_bin(F.col("value"), F.col("edges"), n_bins + 1), F.lit(0)))
         .groupBy("feature", "bin")
         .agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
     )

@@ -1,74 +1,56 @@
 """The loan book: one keyed loan table derived from the order, customer and line tables.
 
 Only the joins that the requested columns need are planned. Orders are the fact side of left joins whose
-other sides are unique per key, so leaving a join out never changes the rows.
+other sides are unique per key, so leaving a join out never changes the rows. Integer arithmetic on the order
+key stands in for loan attributes the tables lack.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _keyed(multiplier: int, modulus: int) -> Column:
-    """Integer spread of the order key; stands in for attributes the tables lack."""
-    return (F.col("o_orderkey") * multiplier) % modulus
-
-
-def _book_columns() -> dict[str, tuple[Column, str]]:
-    key, price = F.col("o_orderkey"), F.col("o_totalprice")
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "Fully Paid")
-        .when(F.col("o_orderstatus") == "P", "Charged Off")
-        .otherwise("Current")
-    )
-    grade = F.substring(F.lit("ABCDEFG"), F.substring("o_orderpriority", 1, 1).cast("int"), F.lit(1))
-    return {
-        "id": (key, "orders"),
-        "member_id": (F.col("o_custkey"), "orders"),
-        "segment": (F.col("c_mktsegment"), "customer"),
-        "loan_amnt": (price, "orders"),
-        "funded_amnt": (F.round("ext", 2), "lines"),
-        "installment": (price / 36.0, "orders"),
-        "annual_inc": (F.col("c_acctbal") * 12.0, "customer"),
-        "revol_util": (F.concat(F.col("qty").cast("bigint").cast("string"), F.lit("%")), "lines"),
-        "revol_bal": (F.col("c_acctbal") + price / 10.0, "customer"),
-        "dti": (_keyed(37, 1200) / 1.0, "orders"),
-        "int_rate": (F.lit(5.0) + _keyed(23, 200) / 10.0, "orders"),
-        "issue_ts": (F.col("o_orderdate"), "orders"),
-        "issue_d": (F.date_format("o_orderdate", "MMM-yyyy"), "orders"),
-        "earliest_ts": (F.col("first_dt"), "first_order"),
-        "earliest_cr_line": (F.date_format("first_dt", "MMM-yyyy"), "first_order"),
-        "loan_status": (status, "orders"),
-        "grade": (grade, "orders"),
-        "fico_range_low": ((F.lit(560) + _keyed(7919, 300)) / 1.0, "orders"),
-        "fico_range_high": ((F.lit(564) + _keyed(7919, 300)) / 1.0, "orders"),
-        "open_acc": (F.col("n_lines"), "lines"),
-        "total_acc": (F.col("max_line"), "lines"),
-        "delinq_2yrs": (F.col("n_returned"), "lines"),
-        "pub_rec": (F.when(key % 7 != 0, (key % 2).cast("int")), "orders"),
-        "inq_last_6mths": (_keyed(13, 5).cast("int"), "orders"),
-        "mths_since_last_delinq": (F.when(key % 3 != 0, (key % 60).cast("int")), "orders"),
-        "exposure": (price, "orders"),
-        "outstanding": (price * (F.lit(20) + _keyed(11, 61)) / 100.0, "orders"),
-        "recovery": (F.lit(0.8) - _keyed(31, 50) / 100.0, "orders"),
-        "pd_12m": ((_keyed(7919, 1000) + 0.5) / 2500.0, "orders"),
-        "original_pd": ((_keyed(104729, 1000) + 0.5) / 5000.0, "orders"),
-        "lgd": (F.lit(0.2) + _keyed(31, 50) / 100.0, "orders"),
-        "term_years": (F.lit(1) + key % 5, "orders"),
-        "dpd": (_keyed(17, 120), "orders"),
-        "y": (F.when(F.col("o_orderstatus") == "P", 1).otherwise(0), "orders"),
-        "is_ref": (F.when(F.col("o_orderdate") < F.lit("1998-01-01 00:00:00").cast("timestamp_ntz"), 1).otherwise(0),
-                   "orders"),
-    }
-
-
-BOOK_COLUMNS = tuple(
-    "id member_id segment loan_amnt funded_amnt installment annual_inc revol_util revol_bal dti int_rate issue_ts "
-    "issue_d earliest_ts earliest_cr_line loan_status grade fico_range_low fico_range_high open_acc total_acc "
-    "delinq_2yrs pub_rec inq_last_6mths mths_since_last_delinq exposure outstanding recovery pd_12m original_pd lgd "
-    "term_years dpd y is_ref".split()
-)
+# Column -> (SQL expression, table it needs besides the orders).
+BOOK = {
+    "id": ("o_orderkey", None),
+    "member_id": ("o_custkey", None),
+    "segment": ("c_mktsegment", "customer"),
+    "loan_amnt": ("o_totalprice", None),
+    "funded_amnt": ("round(ext, 2)", "lines"),
+    "installment": ("o_totalprice / 36e0", None),
+    "annual_inc": ("c_acctbal * 12e0", "customer"),
+    "revol_util": ("CAST(CAST(qty AS BIGINT) AS STRING) || '%'", "lines"),
+    "revol_bal": ("c_acctbal + o_totalprice / 10e0", "customer"),
+    "dti": ("((o_orderkey * 37) % 1200) / 1e0", None),
+    "int_rate": ("5e0 + ((o_orderkey * 23) % 200) / 10e0", None),
+    "issue_ts": ("o_orderdate", None),
+    "issue_d": ("date_format(o_orderdate, 'MMM-yyyy')", None),
+    "earliest_ts": ("first_dt", "first_order"),
+    "earliest_cr_line": ("date_format(first_dt, 'MMM-yyyy')", "first_order"),
+    "loan_status": (
+        "CASE o_orderstatus WHEN 'F' THEN 'Fully Paid' WHEN 'P' THEN 'Charged Off' ELSE 'Current' END", None),
+    "grade": ("substr('ABCDEFG', CAST(substr(o_orderpriority, 1, 1) AS INT), 1)", None),
+    "fico_range_low": ("(560 + (o_orderkey * 7919) % 300) / 1e0", None),
+    "fico_range_high": ("(564 + (o_orderkey * 7919) % 300) / 1e0", None),
+    "open_acc": ("n_lines", "lines"),
+    "total_acc": ("max_line", "lines"),
+    "delinq_2yrs": ("n_returned", "lines"),
+    "pub_rec": ("CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderkey % 2 AS INT) END", None),
+    "inq_last_6mths": ("CAST((o_orderkey * 13) % 5 AS INT)", None),
+    "mths_since_last_delinq": ("CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderkey % 60 AS INT) END", None),
+    "exposure": ("o_totalprice", None),
+    "outstanding": ("o_totalprice * (20 + (o_orderkey * 11) % 61) / 100e0", None),
+    "recovery": ("0.8e0 - ((o_orderkey * 31) % 50) / 100e0", None),
+    "pd_12m": ("((o_orderkey * 7919) % 1000 + 0.5e0) / 2500e0", None),
+    "original_pd": ("((o_orderkey * 104729) % 1000 + 0.5e0) / 5000e0", None),
+    "lgd": ("0.2e0 + ((o_orderkey * 31) % 50) / 100e0", None),
+    "term_years": ("1 + o_orderkey % 5", None),
+    "dpd": ("(o_orderkey * 17) % 120", None),
+    "y": ("CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END", None),
+    "is_ref": ("CASE WHEN o_orderdate < TIMESTAMP_NTZ '1998-01-01 00:00:00' THEN 1 ELSE 0 END", None),
+}
+BOOK_COLUMNS = tuple(BOOK)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,12 +59,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def loan_book(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Requested loan columns (all by default), one row per order."""
-    book = _book_columns()
     wanted = list(columns or BOOK_COLUMNS)
-    unknown = [c for c in wanted if c not in book]
+    unknown = [c for c in wanted if c not in BOOK]
     if unknown:
         raise ValueError(f"unknown loan book columns: {unknown}")
-    parts = {book[c][1] for c in wanted}
+    parts = {BOOK[c][1] for c in wanted}
     orders = read_table(spark, sf_dir, "orders")
     loans = orders
     # The two customer-keyed joins come first and share one partitioning of the orders.
@@ -105,4 +86,4 @@ def loan_book(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
             )
         )
         loans = loans.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return loans.select(*[book[c][0].alias(c) for c in wanted])
+    return loans.selectExpr(*[f"{BOOK[c][0]} AS {c}" for c in wanted])
