@@ -127,8 +127,11 @@ def cap_outliers(
     names = [c for c in (_present(df, CAPPED_COLUMNS) if cols is None else cols) if c in numeric]
     if not names:
         return df
-    find = exact_quantiles if exact else approx_quantiles
-    bounds = find(melt(df, names), "value", [lower_q, upper_q], ["feature"])
+    long, probs = melt(df, names), [lower_q, upper_q]
+    if exact:
+        bounds = exact_quantiles(long, "value", probs, ["feature"], few_groups=True)
+    else:
+        bounds = approx_quantiles(long, "value", probs, ["feature"])
     row = bounds.agg(F.map_from_entries(F.collect_list(F.struct("feature", "quantiles"))).alias("b")).scalar()
     capped = {}
     for c in names:

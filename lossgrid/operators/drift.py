@@ -74,12 +74,12 @@ def _long(df: DataFrame, features: Sequence[str], is_ref: str, by: Sequence[str]
     )
 
 
-def _psi_edges(long: DataFrame, n_bins: int, method: str) -> DataFrame:
+def _psi_edges(long: DataFrame, n_bins: int, method: str, by: Sequence[str]) -> DataFrame:
     """key + sorted, de-duplicated bin edges taken from the reference sample."""
     reference = long.filter(F.col("n_ref") == 1)
     if method == "quantile":
         probs = [i / n_bins for i in range(n_bins + 1)]
-        found = exact_quantiles(reference, "value", probs, [KEY]).withColumnRenamed("quantiles", "edges")
+        found = exact_quantiles(reference, "value", probs, [KEY], few_groups=not by).withColumnRenamed("quantiles", "edges")
     elif method == "equal_width":
         lo, hi = F.col("lo"), F.col("hi")
         step = (hi - lo) / F.lit(float(n_bins))
@@ -159,10 +159,11 @@ def psi_bins(
 ) -> DataFrame:
     """Bin edges, shares of both samples and contribution per bin.
 
-    Only reference values are shuffled (for the quantile edges); both samples are binned where they lie.
+    For quantile edges only the reference values around the edges are shuffled; both samples are binned where
+    they lie.
     """
     long = _long(df, features, is_ref, by)
-    rows = _psi_row(long, _psi_edges(long, n_bins, method), n_bins, by)
+    rows = _psi_row(long, _psi_edges(long, n_bins, method, by), n_bins, by)
     return _unpack(rows.select(KEY, F.inline("bins"), "out_of_range"))
 
 
@@ -181,7 +182,7 @@ def psi(
 ) -> DataFrame:
     """Population stability index per feature with its reading; 0 and a warning if there is one edge only."""
     long = _long(df, features, is_ref, by)
-    rows = _psi_row(long, _psi_edges(long, n_bins, method), n_bins, by).withColumn("psi", _psi_value())
+    rows = _psi_row(long, _psi_edges(long, n_bins, method, by), n_bins, by).withColumn("psi", _psi_value())
     usable = F.size("edges") > 1
     return _unpack(
         rows.select(

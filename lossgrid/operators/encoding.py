@@ -21,8 +21,10 @@ def columns_with_nulls(df: DataFrame, cols: Sequence[str]) -> list[str]:
 
 def medians(df: DataFrame, cols: Sequence[str], *, exact: bool = True) -> DataFrame:
     """feature, quantiles[0] = median of the non-null values, for all columns in one job."""
-    find = exact_quantiles if exact else approx_quantiles
-    return find(melt(df, list(cols)), "value", [0.5], ["feature"])
+    long = melt(df, list(cols))
+    if exact:
+        return exact_quantiles(long, "value", [0.5], ["feature"], few_groups=True)
+    return approx_quantiles(long, "value", [0.5], ["feature"])
 
 
 def impute_median(df: DataFrame, *, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:

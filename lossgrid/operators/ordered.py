@@ -18,8 +18,8 @@ MAX_BUCKETS = 16384
 
 
 def _bucket_count(df: DataFrame) -> int:
-    """Power of two, at least twice the shuffle parallelism, so one window task is a small slice."""
-    wanted = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Power of two, at least four times the shuffle parallelism, so hashing the buckets spreads them evenly."""
+    wanted = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return min(MAX_BUCKETS, 1 << max(3, (wanted - 1).bit_length()))
 
 
@@ -43,6 +43,21 @@ def _split_points(df: DataFrame, value: str, by: Sequence[str], buckets: int) ->
     return picked.agg(F.sort_array(F.collect_list("pair")).alias("splits")).scalar()
 
 
+def _with_bucket(df: DataFrame, splits: Column, value: str, group: Sequence[str], buckets: int) -> DataFrame:
+    """Add ``_bucket``, the number of split points below the (group, value) pair.
+
+    A branch-free binary search, one projection per halving, all inside generated code.
+    """
+    pair = F.struct(*group, F.col(value))
+    columns = df.columns
+    df = df.withColumn("_splits", splits).withColumn("_bucket", F.lit(0))
+    at = F.col("_bucket")
+    for i in range(1, buckets.bit_length()):
+        step = buckets >> i
+        df = df.withColumn("_bucket", F.when(F.get("_splits", at + (step - 1)) < pair, at + step).otherwise(at))
+    return df.select(*columns, "_bucket")
+
+
 def running_totals(
     df: DataFrame,
     value: str,
@@ -65,16 +80,8 @@ def running_totals(
     )
     distinct = present.groupBy(*group, value).agg(*[F.sum(s).alias(s) for s in names])
 
-    # Branch-free binary search, one projection per halving, all inside generated code: at the end `_at` is
-    # the number of split points below the pair.
-    pair = F.struct(*group, F.col(value))
-    placed = distinct.withColumn("_splits", _split_points(present, value, group, buckets)).withColumn("_at", F.lit(0))
-    for i in range(1, buckets.bit_length()):
-        step = buckets >> i
-        placed = placed.withColumn(
-            "_at", F.when(F.get("_splits", F.col("_at") + (step - 1)) < pair, F.col("_at") + step).otherwise(F.col("_at"))
-        )
-    placed = placed.select(*group, F.col("_at").alias("_bucket"), value, *names).repartition(*group, "_bucket")
+    placed = _with_bucket(distinct, _split_points(present, value, group, buckets), value, group, buckets)
+    placed = placed.repartition(*group, "_bucket")
 
     ahead = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # The last value of a bucket is carried along so that both sides read the columns, and thereby the
@@ -134,11 +141,56 @@ def quantiles_of_totals(
     return grouped.select(*by, "n", F.expr(f"array({', '.join(values)}) AS quantiles"), *kept)
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Exact quantiles per group without holding a group's values in one task: by, n, ``quantiles``."""
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    few_groups: bool | None = None,
+    buckets: int | None = None,
+) -> DataFrame:
+    """Exact quantiles per group: by, n, ``quantiles`` array (in ``probs`` order).
+
+    With few groups (at most as many as the table has columns; the default without ``by``) only the buckets
+    that hold a wanted rank are looked into: rows are counted per bucket map-side, and the values of the one
+    or two buckets per quantile are all that is shuffled and ordered. The bucket list is then small enough to
+    broadcast. With many groups the running totals of all values are used.
+    """
+    by = list(by)
+    few_groups = not by if few_groups is None else few_groups
     typed = df.select(*by, F.col(value).cast("double").alias(value))
-    totals = running_totals(typed, value, {"_count": F.lit(1)}, by)
-    return quantiles_of_totals(totals, value, "_count", probs, by)
+    if not few_groups:
+        return quantiles_of_totals(running_totals(typed, value, {"_count": F.lit(1)}, by), value, "_count", probs, by)
+
+    buckets = buckets or _bucket_count(df)
+    group = ["_group"] if by else []
+    present = typed.filter(F.col(value).isNotNull()).select(*([F.struct(*by).alias("_group")] if by else []), value)
+    placed = _with_bucket(present, _split_points(present, value, group, buckets), value, group, buckets)
+    of_group = Window.partitionBy(*group)  # one row per bucket
+    counts = placed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_rows")).withColumns(
+        {
+            "_ahead": F.coalesce(
+                F.sum("_rows").over(of_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            ),
+            "_count_total": F.sum("_rows").over(of_group),
+        }
+    )
+    ranks = ", ".join(
+        f"floor({float(q)!r}D * (_count_total - 1)), least(floor({float(q)!r}D * (_count_total - 1)) + 1, _count_total - 1)"
+        for q in probs
+    )
+    wanted = counts.filter(F.expr(f"exists(array({ranks}), r -> r >= _ahead AND r < _ahead + _rows)")).select(
+        *group, "_bucket", "_ahead", "_count_total"
+    )
+    inside = Window.partitionBy(*group, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    totals = (
+        placed.join(F.broadcast(wanted), [*group, "_bucket"])  # at most 2 rows per quantile and group
+        .groupBy(*group, "_bucket", value)
+        .agg(F.count(F.lit(1)).alias("_count"), F.max("_ahead").alias("_ahead"), F.max("_count_total").alias("_count_total"))
+        .withColumn("_count_upto", F.sum("_count").over(inside) + F.col("_ahead"))
+    )
+    found = quantiles_of_totals(totals, value, "_count", probs, group)
+    return found.select(*[F.col("_group").getField(k).alias(k) for k in by], "n", "quantiles")
 
 
 def approx_quantiles(

@@ -44,12 +44,12 @@ def simulate_losses(
     """(by, sim, loss): a loan defaults if √ρ·z + √(1−ρ)·ε < Φ⁻¹(pd), that is if its uniform draw lies
     below Φ((Φ⁻¹(pd) − √ρ·z) / √(1−ρ)); a defaulted loan loses EAD * LGD. Runs without default have loss 0.
 
-    ``tasks`` spreads the narrow loan rows before they are expanded (default: the shuffle parallelism).
+    The narrow loan rows are rebalanced before they are expanded, so a task holds one advisory partition of
+    them however large or skewed the input splits are; ``tasks`` sets a number of tasks instead.
     """
     if not 0 < n_sims <= MAX_RUNS:
         raise ValueError(f"n_sims must lie in 1..{MAX_RUNS}: the draws travel with the plan")
     spark = df.sparkSession
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     draws = systematic_draws(spark, n_sims=n_sims, seed=seed)
     draw_array = draws.agg(F.sort_array(F.collect_list(F.struct("sim", "z")))).scalar()
 
@@ -60,7 +60,8 @@ def simulate_losses(
     loans = with_entity_state(loans, "_state", "_key", seed)
     loans = loans.select(
         *by, "_key", "_state", "_severity", (F.col("_threshold") / F.lit((1 - correlation) ** 0.5)).alias("_threshold")
-    ).repartition(tasks, "_key")
+    )
+    loans = loans.repartition(tasks, "_key") if tasks else loans.hint("rebalance", "_key")
     cells = loans.select("*", F.inline(draw_array))
     slope = (correlation / (1 - correlation)) ** 0.5
     cells = cells.withColumn("_x", F.col("_threshold") - F.lit(slope) * F.col("z"))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lossgrid.operators.ordered import exact_quantiles, running_totals
+from lossgrid.operators.ordered import approx_quantiles, exact_quantiles, running_totals
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +58,21 @@ def test_ungrouped_and_single_value(spark):
     assert exact_quantiles(one, "v", [0.1, 0.9]).first()["quantiles"] == [2.5, 2.5]
     row = running_totals(one, "v", {"n": F.lit(1)}).first()
     assert (row["n"], row["n_upto"], row["n_total"]) == (7, 7, 7)
+
+
+@pytest.mark.parametrize("partitions,buckets", [(1, 8), (6, 64)])
+def test_bucket_selection_equals_the_full_order(spark, skewed, partitions, buckets):
+    df, rows = skewed
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    few = exact_quantiles(df.repartition(partitions), "v", probs, ["g"], few_groups=True, buckets=buckets)
+    full = exact_quantiles(df, "v", probs, ["g"], few_groups=False)
+    assert sorted(map(str, few.collect())) == sorted(map(str, full.collect()))
+    values = [v for _, v, _ in rows if v is not None]
+    alone = exact_quantiles(df, "v", probs, buckets=buckets).first()
+    np.testing.assert_allclose(alone["quantiles"], np.percentile(values, [100 * p for p in probs]), atol=1e-12)
+
+
+def test_approximate_quantiles_have_the_same_layout(spark, skewed):
+    df, _ = skewed
+    exact, rough = exact_quantiles(df, "v", [0.5]).first(), approx_quantiles(df, "v", [0.5]).first()
+    assert rough["n"] == exact["n"] and abs(rough["quantiles"][0] - exact["quantiles"][0]) < 0.05
