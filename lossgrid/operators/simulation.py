@@ -19,6 +19,7 @@ from lossgrid.functions.uniform import with_entity_state, with_run_uniform, with
 DEFAULT_CORRELATION = 0.1
 SYSTEMATIC_SEED_OFFSET = 1
 MAX_RUNS = 100_000
+RUNS_PER_ROW = 250
 
 
 def systematic_draws(spark: SparkSession, *, n_sims: int, seed: int) -> DataFrame:
@@ -44,14 +45,18 @@ def simulate_losses(
     """(by, sim, loss): a loan defaults if √ρ·z + √(1−ρ)·ε < Φ⁻¹(pd), that is if its uniform draw lies
     below Φ((Φ⁻¹(pd) − √ρ·z) / √(1−ρ)); a defaulted loan loses EAD * LGD. Runs without default have loss 0.
 
-    The narrow loan rows are rebalanced before they are expanded, so a task holds one advisory partition of
-    them however large or skewed the input splits are; ``tasks`` sets a number of tasks instead.
+    Each loan first becomes one narrow row per block of RUNS_PER_ROW runs, and these are rebalanced: a task
+    then expands one advisory partition of them, however large or skewed the input splits are. ``tasks`` sets
+    a number of tasks instead.
     """
     if not 0 < n_sims <= MAX_RUNS:
         raise ValueError(f"n_sims must lie in 1..{MAX_RUNS}: the draws travel with the plan")
     spark = df.sparkSession
     draws = systematic_draws(spark, n_sims=n_sims, seed=seed)
-    draw_array = draws.agg(F.sort_array(F.collect_list(F.struct("sim", "z")))).scalar()
+    block = F.floor(F.col("sim") / F.lit(RUNS_PER_ROW)).alias("block")
+    per_block = draws.groupBy(block).agg(F.sort_array(F.collect_list(F.struct("sim", "z"))).alias("draws"))
+    draw_blocks = per_block.agg(F.map_from_entries(F.collect_list(F.struct("block", "draws")))).scalar()
+    n_blocks = -(-n_sims // RUNS_PER_ROW)
 
     loans = df.filter(F.col(pd).isNotNull()).select(
         *by, F.col(key).alias("_key"), F.col(pd).alias("_pd"), (F.col(ead) * F.col(lgd)).alias("_severity")
@@ -59,10 +64,12 @@ def simulate_losses(
     loans = with_normal_quantile(loans, "_threshold", "_pd")
     loans = with_entity_state(loans, "_state", "_key", seed)
     loans = loans.select(
-        *by, "_key", "_state", "_severity", (F.col("_threshold") / F.lit((1 - correlation) ** 0.5)).alias("_threshold")
+        *by, "_key", "_state", "_severity", (F.col("_threshold") / F.lit((1 - correlation) ** 0.5)).alias("_threshold"),
+        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_block"),
     )
-    loans = loans.repartition(tasks, "_key") if tasks else loans.hint("rebalance", "_key")
-    cells = loans.select("*", F.inline(draw_array))
+    spread = ["_key", "_block"]
+    loans = loans.repartition(tasks, *spread) if tasks else loans.hint("rebalance", *spread)
+    cells = loans.select("*", F.inline(F.try_element_at(draw_blocks, F.col("_block").cast("bigint"))))
     slope = (correlation / (1 - correlation)) ** 0.5
     cells = cells.withColumn("_x", F.col("_threshold") - F.lit(slope) * F.col("z"))
     cells = with_normal_cdf(cells, "_limit", "_x")
