@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lossgrid.functions.bins import edge_array_bin
 from lossgrid.functions.numeric import melt, numeric_columns
-from lossgrid.operators.ordered import quantiles_of_totals, running_totals
+from lossgrid.operators.ordered import exact_quantiles
 
 
 def _filled(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
@@ -29,21 +29,19 @@ def select_mutual_info(
 ) -> DataFrame:
     """Top-k features by plug-in mutual information with a 0/1 label, on quantile bins of the whole table.
 
-    One shuffle of the distinct (feature, value) pairs gives ranks, edges and class counts for every
-    feature; the bin table that follows has at most n_bins * 2 rows per feature.
+    Only values around the bin edges are shuffled for the exact quantiles; every row is then binned where it
+    lies, and the shuffled counts have at most n_bins * 2 rows per feature and task.
     """
     long = _filled(df, _chosen(df, label, cols), label)
-    totals = running_totals(
-        long, "value", {"n": F.lit(1), "n1": F.when(F.col("_y") == 1, 1).otherwise(0)}, ["feature"]
-    )
-    edges = quantiles_of_totals(totals, "value", "n", [i / n_bins for i in range(n_bins + 1)], ["feature"]).select(
+    probs = [i / n_bins for i in range(n_bins + 1)]
+    edges = exact_quantiles(long, "value", probs, ["feature"], few_groups=True).select(
         "feature", F.array_distinct("quantiles").alias("edges")
     )
     counts = (
-        totals.join(F.broadcast(edges), "feature")  # one row per feature column
+        long.join(F.broadcast(edges), "feature")  # one row per feature column
         .withColumn("bin", F.coalesce(edge_array_bin(F.col("value"), F.col("edges"), n_bins + 1), F.lit(0)))
         .groupBy("feature", "bin")
-        .agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_y") == 1).alias("n1"))
     )
     cells = counts.select(
         "feature", "n", F.explode(F.array(F.struct(F.lit(0).alias("y"), (F.col("n") - F.col("n1")).alias("c")),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lossgrid.operators import discrimination, impairment, models, quality, split
 from lossgrid.plans.impairment_plans import STAGED_CTE, loans_with_ecl
 from lossgrid.plans.oracle import long_form, on_loans, quantile_ctes
+from lossgrid.plans.portfolio_job import run_portfolio_job
 from lossgrid.plans.registry import Query
 from lossgrid.session import materialise, scratch_dir
 from lossgrid.sources.loan_book import loan_book, read_table
@@ -113,6 +114,20 @@ def _fit_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discrimination.evaluate(scored, score="pd", label="default")
 
 
+def _portfolio_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain from raw loans to written ECL; loans are defaulted by status, so open loans drop out."""
+    columns = (
+        "id member_id loan_amnt funded_amnt installment annual_inc revol_util revol_bal dti issue_d earliest_cr_line "
+        "loan_status grade fico_range_low fico_range_high open_acc total_acc delinq_2yrs pub_rec inq_last_6mths "
+        "mths_since_last_delinq segment exposure lgd original_pd term_years dpd"
+    ).split()
+    results = run_portfolio_job(
+        loan_book(spark, sf_dir, *columns), key="id", exposure="exposure", lgd="lgd", original_pd="original_pd",
+        term_years="term_years", dpd="dpd", path=scratch_dir(spark, "portfolio"), as_of="2024-01-31", k=6,
+    )
+    return results["ecl_by_stage"]
+
+
 # --- sources and sinks -------------------------------------------------------------------------------
 
 
@@ -177,6 +192,7 @@ QUERIES = {
     "fit_pipeline": Query(_fit_pipeline, "roc_auc:9 pr_auc:9"),
     "train_logistic": Query(_train_logistic, _REPORT_SPEC),
     "train_gbt": Query(_train_gbt, _REPORT_SPEC),
+    "portfolio_job": Query(_portfolio_job, "stage:i loans:i ecl:2"),
     "score_pd": Query(_score, "id:i default:i pd:9"),
     "feature_importance_topk": Query(_importance, "feature:s importance:9"),
     "calibrate_isotonic": Query(_calibrated(models.calibrate_isotonic), _BRIER_SPEC),

@@ -64,7 +64,7 @@ def with_quantile(source: str, p: str, out: str) -> str:
         f"SELECT * EXCLUDE (_t), CASE WHEN {p} <= 0 THEN '-inf'::DOUBLE WHEN {p} >= 1 THEN 'inf'::DOUBLE "
         f"WHEN abs({p} - 0.5e0) <= 0.425e0 THEN ({p} - 0.5e0) * {horner(r, normal.QUANTILE_CENTRE_NUM)} / "
         f"{horner(r, normal.QUANTILE_CENTRE_DEN)} WHEN {p} < 0.5e0 THEN -({outer}) ELSE {outer} END AS {out} "
-        f"FROM (SELECT *, {tail} AS _t FROM ({source}))"
+        f"FROM (WITH m AS MATERIALIZED (SELECT *, {tail} AS _t FROM ({source})) SELECT * FROM m)"
     )
 
 
@@ -80,7 +80,7 @@ def with_cdf(source: str, x: str, out: str) -> str:
     )
     return (
         f"SELECT * EXCLUDE (_a, _l), CASE WHEN {x} > 0 THEN 1e0 - _l ELSE _l END AS {out} "
-        f"FROM (SELECT *, {low} AS _l FROM (SELECT *, abs({x}) AS _a FROM ({source})))"
+        f"FROM (WITH m AS MATERIALIZED (SELECT *, {low} AS _l FROM (SELECT *, abs({x}) AS _a FROM ({source}))) SELECT * FROM m)"
     )
 
 
