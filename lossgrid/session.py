@@ -43,13 +43,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a table that several jobs will read, and read it back: lineage ends at shared storage.
-
-    A table so small that it reads as fewer partitions than there are cores is spread over them.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark, purpose)
+    """Write a table that several jobs will read, and read it back: lineage ends at shared storage."""
+    path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    back = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return back if back.rdd.getNumPartitions() >= cores else back.repartition(cores)
+    return df.sparkSession.read.parquet(path)
