@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.llm import bpe_codec, exact_dedup, source_mix, token_counts
+from lossgrid.llm import bpe_codec, exact_dedup, near_dedup, source_mix, token_counts
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -26,6 +26,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), threshold_pct=85)
+
+
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
     encoded = bpe_codec.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
@@ -84,6 +88,7 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_source_mix": op3_source_mix,
+    "op4_near_dedup": op4_near_dedup,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_token_counts": op9_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
