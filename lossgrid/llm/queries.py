@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.llm import bpe_codec, exact_dedup, near_dedup, source_mix, token_counts
+from lossgrid.llm import bpe_codec, exact_dedup, near_dedup, quality_classifier, source_mix, token_counts
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -22,6 +22,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality_classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_classifier.grade(docs, model)
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -87,6 +93,7 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op3_source_mix": op3_source_mix,
     "op4_near_dedup": op4_near_dedup,
     "op8_bpe_codec": op8_bpe_codec,
