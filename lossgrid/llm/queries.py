@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.llm import bpe_codec, exact_dedup, near_dedup, quality_classifier, source_mix, token_counts
+from lossgrid.llm import bpe_codec, exact_dedup, near_dedup, quality_classifier, source_mix, substring_dedup, token_counts
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -28,6 +28,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.grade(docs, model)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -86,6 +91,24 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM sized JOIN plan ON sized.source IS NOT DISTINCT FROM plan.source
 """
 
+OP2_SQL = r"""
+WITH w AS (
+  SELECT doc_id, len(words) AS n_words, unnest(words) AS word, generate_subscripts(words, 1) AS i
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents)),
+windows AS (
+  SELECT doc_id, i AS e, CASE WHEN i >= 20 THEN list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) END AS phrase
+  FROM w),
+repeats AS (
+  SELECT doc_id, e, row_number() OVER (PARTITION BY phrase ORDER BY doc_id, e) > 1 AS repeated FROM windows WHERE phrase IS NOT NULL),
+judged AS (
+  SELECT w.doc_id, w.i, w.word,
+    coalesce(bool_or(repeated) OVER (PARTITION BY w.doc_id ORDER BY w.i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING), false) AS gone
+  FROM w LEFT JOIN repeats r ON r.doc_id = w.doc_id AND r.e = w.i)
+SELECT d.doc_id, count(j.i) AS n_words, count(j.i) FILTER (WHERE gone) AS n_removed,
+  sha256(coalesce(string_agg(j.word, ' ' ORDER BY j.i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN judged j ON j.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
 OP10_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -94,10 +117,11 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_source_mix": op3_source_mix,
     "op4_near_dedup": op4_near_dedup,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_token_counts": op9_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLES: dict[str, str] = {"op3_source_mix": OP3_SQL, "op10_exact_dedup": OP10_SQL}
+ORACLES: dict[str, str] = {"op2_substring_dedup": OP2_SQL, "op3_source_mix": OP3_SQL, "op10_exact_dedup": OP10_SQL}
