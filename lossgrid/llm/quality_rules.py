@@ -21,14 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lossgrid.llm import words
-from lossgrid.llm.arrow import batch, id_and_text, schema_with, utf8
+from lossgrid.llm.arrow import batch, schema_with, utf8
+from lossgrid.session import materialise
 
 COMMON_SHARE = 500
 LANGUAGE_SHARE = 100
 MIN_BASE_WORDS = 50
 MIN_WORDS = 100
-MAX_CLASS_DISTANCE = 0.35
-MAX_WORD_DISTANCE = 0.6
+MAX_CLASS_DISTANCE = 0.3
+MAX_WORD_DISTANCE = 0.45
 FLUSH_BYTES = 64 << 20
 
 #: Character classes by lead byte: other, space, small, capital, digit, stop, symbol, two, three and four bytes.
@@ -158,8 +159,6 @@ def _counts(base: DataFrame) -> DataFrame:
 def references(base: DataFrame) -> dict[str | None, Reference]:
     """References of the larger languages; under None that of the whole corpus."""
     counts = _counts(base).groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
-    from lossgrid.session import materialise
-
     counts = materialise(counts, "rule-counts")
     totals = counts.filter("kind = 0").groupBy("lang").agg(F.sum("n").alias("total"))
     everything = totals.agg(F.sum("total").alias("all")).first()["all"] or 0
@@ -205,7 +204,6 @@ def judge(
     ``min_words`` words are not judged by divergence (their distances are reported all the same). Equal texts of one
     language get equal results.
     """
-    base = id_and_text(docs, id_col=id_col, text_col=text_col)
     lang = F.coalesce(docs[f"`{lang_col}`"].cast("string"), F.lit(""))
     base = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), lang.alias("lang")
