@@ -12,7 +12,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.llm import bpe_codec, exact_dedup, near_dedup, quality_classifier, quality_rules, source_mix, substring_dedup, token_counts
+from lossgrid.llm import (
+    bpe_codec,
+    exact_dedup,
+    license_scan,
+    near_dedup,
+    quality_classifier,
+    quality_rules,
+    source_mix,
+    substring_dedup,
+    token_counts,
+)
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -45,6 +55,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir)).drop("class_distance", "word_distance")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
     encoded = bpe_codec.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
@@ -125,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_source_mix": op3_source_mix,
     "op4_near_dedup": op4_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_license_scan": op6_license_scan,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_token_counts": op9_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
