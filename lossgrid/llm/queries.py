@@ -19,6 +19,7 @@ from lossgrid.llm import (
     near_dedup,
     quality_classifier,
     quality_rules,
+    secret_scan,
     source_mix,
     substring_dedup,
     token_counts,
@@ -59,6 +60,13 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_crf"
+    )
+
+
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
     encoded = bpe_codec.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
@@ -140,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_dedup": op4_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_license_scan": op6_license_scan,
+    "op7_secret_scan": op7_secret_scan,
     "op8_bpe_codec": op8_bpe_codec,
     "op9_token_counts": op9_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
