@@ -269,11 +269,9 @@ def near_duplicates(
     final = materialise(final, "near-components").select(F.col("node").alias("_n"), "component")
 
     everyone = sketches.select("doc_id", *key).join(member, same_set, "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    named = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep"))
     return everyone.join(final, F.col("rep") == F.col("_n"), "left").select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("component", "rep").alias("component_id"),
-        F.coalesce("component", "rep").eqNullSafe(F.col("doc_id")).alias("kept"),
+        "doc_id", "n_shingles", named.alias("component_id"), named.eqNullSafe(F.col("doc_id")).alias("kept")
     )
 
 
@@ -281,4 +279,4 @@ def drop_near_duplicates(docs: DataFrame, *, threshold_pct: int = 80) -> DataFra
     """The documents that stay, with all their columns: one of each group."""
     gone = near_duplicates(docs, threshold_pct=threshold_pct).filter("NOT kept").select(F.col("doc_id").alias("_gone"))
     gone = materialise(gone.distinct(), "near-gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

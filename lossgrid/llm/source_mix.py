@@ -153,12 +153,12 @@ def draw(docs: DataFrame, weights: DataFrame | None = None, *, seed: int = 42, m
     first words. Documents of which nothing is taken, those without words among them, are not in the mix. Ids are
     taken to name one document each.
     """
-    columns = docs.columns
-    shares = mix(docs, weights, seed=seed, max_epochs=max_epochs).filter("taken > 0")
-    shares = shares.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    joined = docs.join(shares, docs["doc_id"].eqNullSafe(shares["_id"]))
-    whole, part = F.floor(F.col("_taken") / F.col("_size")).cast("int"), F.col("_taken") % F.col("_size")
-    takes = F.concat(F.array_repeat(F.col("_size"), whole), F.array_repeat(part, F.when(part > 0, 1).otherwise(0)))
-    each = joined.withColumn("_take", F.explode(takes))
-    text = F.when(F.col("_take") < F.col("_size"), first_words(F.col("text"), F.col("_take"))).otherwise(F.col("text"))
-    return each.withColumn("text", text).select(*[F.col(f"`{c}`") for c in columns])
+    shares = mix(docs, weights, seed=seed, max_epochs=max_epochs).filter("taken > 0").select("doc_id", "size", "taken")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # no name can clash
+    joined = rows.join(shares, F.col("row.doc_id").eqNullSafe(F.col("doc_id")))
+    whole, part = F.floor(F.col("taken") / F.col("size")).cast("int"), F.col("taken") % F.col("size")
+    takes = F.concat(F.array_repeat(F.col("size"), whole), F.array_repeat(part, F.when(part > 0, 1).otherwise(0)))
+    each = joined.select("row", "size", F.explode(takes).alias("take"))
+    text = F.col("row.text")
+    text = F.when(F.col("take") < F.col("size"), first_words(text, F.col("take"))).otherwise(text)
+    return each.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
