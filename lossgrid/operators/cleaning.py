@@ -165,9 +165,14 @@ def map_default_target(df: DataFrame, *, status: str = "loan_status", target: st
 
 
 def clean_accepted(df: DataFrame, *, include_pricing: bool = False) -> DataFrame:
-    """Raw cleaning: dedup, drop columns, parse text, repair amounts, filter implausible rows."""
-    df = dedup_loans(nan_to_null(df))
-    df = drop_columns(df, include_pricing=include_pricing)
+    """Raw cleaning: drop columns, dedup, parse text, repair amounts, filter implausible rows.
+
+    Columns that are dropped anyway never enter the dedup; the identifiers stay until it is done.
+    """
+    df = nan_to_null(df)
+    left = drop_columns(df, include_pricing=include_pricing)
+    df = df.select(*[c for c in df.columns if c in left.columns or c in ("id", "member_id")])
+    df = drop_columns(dedup_loans(df), include_pricing=include_pricing)
     df = parse_month(parse_percent(df))
     df = negatives_to_null(cap_funded_at_requested(df))
     return filter_income_dti(df)

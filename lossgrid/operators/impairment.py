@@ -24,7 +24,8 @@ STAGES = (1, 2, 3)
 def stage_of(
     pd: Column, original_pd: Column, dpd: Column | None = None, sicr_threshold: float = SICR_THRESHOLD
 ) -> Column:
-    """Stage 1, 2 or 3. Stage-3 rules win; a comparison with a missing value does not hold."""
+    """Stage 1, 2 or 3. Stage-3 rules win; a comparison with a missing value (NULL or NaN) does not hold."""
+    pd, original_pd = (F.when(~F.isnan(x), x) for x in (pd, original_pd))
     impaired = pd >= PD_STAGE_3
     raised = (pd / (original_pd + PD_OFFSET) > sicr_threshold) | (pd > PD_STAGE_2)
     if dpd is not None:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
@@ -16,10 +18,13 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.operators.encoding import category_levels, medians, modes
+from lossgrid.operators.encoding import medians, modes
+from lossgrid.operators.ordered import bucketed
+from lossgrid.session import materialise
 
 SEED = 42
-SCORE_DIGITS = 6
+#: Neighbouring ranges pooled by one task in a round of the isotonic fit.
+FAN = 16
 CALIBRATION_METHODS = ("logistic", "isotonic", "beta")
 
 
@@ -55,7 +60,6 @@ def preprocess_stages(
     cat_cols: Sequence[str] = (),
     center: bool = False,
     scale: bool = True,
-    encode_up_to: int = 200,
     out: str = "features",
 ) -> list[Transformer | Estimator]:
     """Stages: median imputation and scaling of numbers, mode imputation and one-hot encoding of text.
@@ -78,30 +82,33 @@ def preprocess_stages(
     most = {r["feature"]: r["mode"] for r in modes(df, cat_cols).collect()} if cat_cols else {}
     stages: list[Transformer | Estimator] = []
     inputs = [f"_num{i}" for i in range(len(num_cols))]
-    levels = category_levels(df, cat_cols, max_levels=encode_up_to)
+    filled = []
     for j, c in enumerate(cat_cols):
-        value = f"coalesce(CAST({_name(c)} AS STRING), {_text(most.get(c, ''))})"
-        for k, level in enumerate(levels[c]):
-            exprs.append(f"CAST({value} = {_text(level)} AS DOUBLE) AS `_cat{j}_{k}`")
-            inputs.append(f"_cat{j}_{k}")
+        exprs.append(f"coalesce(CAST({_name(c)} AS STRING), {_text(most.get(c, ''))}) AS `_cat{j}`")
+        filled.append(f"_cat{j}")
     stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"))
+    if filled:
+        # Sparse slots, one per level however many there are; the level indices stay on executors.
+        index, vectors = [f"{c}_idx" for c in filled], [f"{c}_vec" for c in filled]
+        stages.append(StringIndexer(inputCols=filled, outputCols=index, stringOrderType="alphabetAsc", handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=index, outputCols=vectors, dropLast=True))  # the last index: unseen levels
+        inputs += vectors
     stages.append(VectorAssembler(inputCols=inputs, outputCol=out))
     return stages
 
 
-def feature_names(df: DataFrame, *, num_cols: Sequence[str], cat_cols: Sequence[str] = ()) -> list[str]:
-    """Names of the vector slots that ``preprocess_stages`` builds from the same table."""
-    levels = category_levels(df, cat_cols)
-    return [*num_cols, *[f"{c}_{level}" for c in cat_cols for level in levels[c]]]
+def feature_names(model: PipelineModel, df: DataFrame, *, num_cols: Sequence[str], cat_cols: Sequence[str] = ()) -> list[str]:
+    """Names of the vector slots of a fitted model, read from the slots' own metadata.
 
-
-def indexed_category_stages(cat_cols: Sequence[str], *, out_suffix: str = "_vec") -> list[Estimator]:
-    """Vector encoding for text columns with many levels: sparse, fitted on executors, unseen levels kept."""
-    index = [f"{c}_idx" for c in cat_cols]
-    return [
-        StringIndexer(inputCols=list(cat_cols), outputCols=index, stringOrderType="alphabetDesc", handleInvalid="keep"),
-        OneHotEncoder(inputCols=index, outputCols=[f"{c}{out_suffix}" for c in cat_cols], dropLast=True),
-    ]
+    Only the schema of ``df`` is used; it needs the model's input columns.
+    """
+    groups = model.transform(df.limit(0)).schema["features"].metadata["ml_attr"]["attrs"].values()
+    slots = sorted((slot["idx"], slot["name"]) for group in groups for slot in group)
+    names = {f"_num{i}": c for i, c in enumerate(num_cols)}
+    for j, c in enumerate(cat_cols):
+        head = f"_cat{j}_vec_"
+        names |= {slot: f"{c}_{slot.removeprefix(head)}" for _, slot in slots if slot.startswith(head)}
+    return [names[slot] for _, slot in slots]
 
 
 def scale_std(df: DataFrame, *, num_cols: Sequence[str]) -> DataFrame:
@@ -223,18 +230,42 @@ def feature_importance(model: PipelineModel, names: Sequence[str], *, k: int = 1
 # --- calibration -------------------------------------------------------------------------------------
 
 
-def _score_points(df: DataFrame, score: str, label: str) -> DataFrame:
-    """One weighted point per score rounded to SCORE_DIGITS: mean score, default rate, count.
+def _pool(points: np.ndarray) -> list[tuple[float, float, float, float]]:
+    """Pool adjacent violators of (low, high, weight, weighted sum) rows in score order."""
+    blocks: list[tuple[float, float, float, float]] = []
+    for low, high, weight, total in points.tolist():
+        while blocks and blocks[-1][3] * weight >= total * blocks[-1][2]:
+            before = blocks.pop()
+            low, weight, total = before[0], weight + before[2], total + before[3]
+        blocks.append((low, high, weight, total))
+    return blocks
+
 
-    MLlib pools isotonic blocks on the driver; rounding bounds the points there by 10^SCORE_DIGITS + 1 for
-    scores in [0, 1], however many loans there are.
+def isotonic_blocks(df: DataFrame, score: str, label: str) -> DataFrame:
+    """The blocks of the isotonic fit: low and high score, weight and sum of the labels; exact, nothing is rounded.
+
+    Labels are summed per distinct score first. Every range of the score order is pooled by a task of its own, and
+    what is left of neighbouring ranges is pooled again in rounds of FAN ranges, each of which sees only blocks.
+    Pooling in parts and pooling the results gives the same blocks as pooling at once.
     """
-    return (
-        df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.round(score, SCORE_DIGITS).alias("_grid"))
-        .agg(F.avg(score).alias("_x"), F.avg(label).alias("_rate"), F.count(F.lit(1)).cast("double").alias("_w"))
-        .drop("_grid")
+    present = df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull())
+    points = present.groupBy(F.col(score).cast("double").alias("low")).agg(
+        F.count(F.lit(1)).cast("double").alias("weight"), F.sum(F.col(label).cast("double")).alias("total")
     )
+    points, ranges = bucketed(points, "low", "part")
+    schema = "part int, low double, high double, weight double, total double"
+
+    def pool(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        ordered = rows.sort_values("low")[["low", "high", "weight", "total"]].to_numpy(float)
+        return pd.DataFrame(_pool(ordered), columns=["low", "high", "weight", "total"]).assign(part=int(key[0]))[
+            ["part", "low", "high", "weight", "total"]
+        ]
+
+    blocks = points.withColumn("high", F.col("low")).groupBy("part").applyInPandas(pool, schema)
+    while ranges > 1:
+        ranges = -(-ranges // FAN)
+        blocks = blocks.withColumn("part", F.floor(F.col("part") / FAN).cast("int")).groupBy("part").applyInPandas(pool, schema)
+    return blocks.select("low", "high", "weight", "total")
 
 
 def _inside(p: Column) -> Column:
@@ -254,8 +285,14 @@ def _fit_logistic(df: DataFrame, label: str, inputs: Sequence[str]) -> PipelineM
 
 
 def fit_isotonic(df: DataFrame, *, score: str, label: str) -> Transformer:
-    """Monotone map of score to default rate."""
-    points = _score_points(df, score, label)
+    """Monotone map of score to default rate, linear between blocks.
+
+    The blocks are pooled on executors; the model gets their two ends, of which a fit has few.
+    """
+    rate = F.col("total") / F.col("weight")
+    blocks = materialise(isotonic_blocks(df, score, label), "isotonic")
+    ends = F.when(F.col("low") < F.col("high"), F.array("low", "high")).otherwise(F.array("low"))
+    points = blocks.select(F.explode(ends).alias("_x"), rate.alias("_rate"), F.col("weight").alias("_w"))
     return IsotonicRegression(
         featuresCol="_x", labelCol="_rate", weightCol="_w", predictionCol="_iso", isotonic=True
     ).fit(points)
@@ -305,10 +342,8 @@ def pd_calibration(
     if method not in CALIBRATION_METHODS:
         raise ValueError(f"unknown calibration method: {method}")
     if method == "isotonic":
-        # Squashing keeps the order and bounds the number of distinct rounded points.
-        squash = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col(score)))
-        model = fit_isotonic(calibration.withColumn("_s", squash), score="_s", label=label)
-        return apply_isotonic(model, scores.withColumn("_s", squash), score="_s", out=out).drop("_s")
+        model = fit_isotonic(calibration, score=score, label=label)
+        return apply_isotonic(model, scores, score=score, out=out)
     if method == "logistic":
         model = _fit_logistic(calibration, label, [score])
         return _logistic_output(model, scores, out)

@@ -17,7 +17,6 @@ from lossgrid.sources.sinks import write_results
 
 NUMERIC = ["exposure", "pd_12m", "dti", "mths_since_last_delinq", "annual_inc"]
 CATEGORIES = ["segment", "grade"]
-TREES_IN_QUERIES = 5  # a full run uses the default of 200
 SCALED = ("exposure", "mths_since_last_delinq", "annual_inc")
 
 
@@ -44,7 +43,7 @@ def _scored_test(spark: SparkSession, sf_dir: str, model, data: DataFrame) -> Da
 
 def _logistic(spark: SparkSession, sf_dir: str):
     data = split_table(spark, sf_dir)
-    model = models.train_logistic(_part(data, "train"), label="default", num_cols=NUMERIC, cat_cols=CATEGORIES, max_iter=50)
+    model = models.train_logistic(_part(data, "train"), label="default", num_cols=NUMERIC, cat_cols=CATEGORIES)
     return model, data
 
 
@@ -56,9 +55,7 @@ def _train_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = split_table(spark, sf_dir)
-    model = models.train_gbt(
-        _part(data, "train"), label="default", num_cols=NUMERIC, cat_cols=CATEGORIES, trees=TREES_IN_QUERIES
-    )
+    model = models.train_gbt(_part(data, "train"), label="default", num_cols=NUMERIC, cat_cols=CATEGORIES)
     return discrimination.performance_report(_scored_test(spark, sf_dir, model, data), score="pd", label="default")
 
 
@@ -71,7 +68,7 @@ def _score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, data = _logistic(spark, sf_dir)
-    names = models.feature_names(_part(data, "train"), num_cols=NUMERIC, cat_cols=CATEGORIES)
+    names = models.feature_names(model, data, num_cols=NUMERIC, cat_cols=CATEGORIES)
     return models.feature_importance(model, names)
 
 
@@ -108,7 +105,7 @@ def _fit_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml.classification import LogisticRegression
 
     data = materialise(model_table(spark, sf_dir), "features")
-    estimator = LogisticRegression(labelCol="default", maxIter=20)
+    estimator = LogisticRegression(labelCol="default")
     model = models.fit_pipeline(data, estimator, num_cols=NUMERIC, cat_cols=CATEGORIES)
     scored = models.score_pd(model, data, keep=["id", "default"])
     return discrimination.evaluate(scored, score="pd", label="default")
@@ -123,7 +120,7 @@ def _portfolio_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).split()
     results = run_portfolio_job(
         loan_book(spark, sf_dir, *columns), key="id", exposure="exposure", lgd="lgd", original_pd="original_pd",
-        term_years="term_years", dpd="dpd", path=scratch_dir(spark, "portfolio"), as_of="2024-01-31", k=6,
+        term_years="term_years", dpd="dpd", path=scratch_dir(spark, "portfolio"), as_of="2024-01-31",
     )
     return results["ecl_by_stage"]
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lossgrid.functions.numeric import numeric_columns
+from lossgrid.functions.numeric import numeric_columns, other_columns
 from lossgrid.operators import (
     capital, cleaning, components, discrimination, drift, encoding, features, impairment, models, selection, split,
 )
@@ -16,19 +16,25 @@ from lossgrid.sources.sinks import write_results
 
 KEY = "loan_key"
 LABEL = "default"
+TERMS = "contract_terms"
 
 
-def training_table(loans: DataFrame, *, key: str, k: int, method: str = "mutual_info") -> tuple[DataFrame, list[str]]:
-    """(key, label, split, k best features), written to shared storage, and the feature names.
+def training_table(
+    loans: DataFrame, *, key: str, k: int, terms: Sequence[str] = (), method: str = "mutual_info"
+) -> tuple[DataFrame, list[str]]:
+    """(key, label, split, k best features, terms), written to shared storage, and the feature names.
 
-    The key is carried under a name of its own, because cleaning drops identifiers.
+    The key, and the terms of the contract in one column, are carried under names of their own through cleaning,
+    which drops identifiers and duplicates: a loan keeps the terms of the row that stays. They are no features.
     """
-    prepared = features.derived_features(cleaning.prepare_loans(loans.withColumn(KEY, F.col(key))))
+    carried = loans.withColumns({KEY: F.col(key), TERMS: F.struct(*terms)}) if terms else loans.withColumn(KEY, F.col(key))
+    prepared = features.derived_features(cleaning.prepare_loans(carried))
     kept = [c for c, kind in prepared.dtypes if kind not in ("date", "timestamp", "timestamp_ntz")]
     prepared = materialise(prepared.select(*kept), "prepared")
-    keyed = [KEY, LABEL]
+    keyed = [KEY, LABEL, TERMS] if terms else [KEY, LABEL]
     numbers = numeric_columns(prepared, exclude=keyed)
-    filled = encoding.impute_mode(encoding.impute_median(prepared, cols=numbers))
+    texts = [c for c in other_columns(prepared, exclude=keyed)]
+    filled = encoding.impute_mode(encoding.impute_median(prepared, cols=numbers), cols=texts)
     encoded = encoding.one_hot(filled, target=LABEL)
     candidates = numeric_columns(encoded, exclude=keyed)
     best = selection.select_features(encoded, label=LABEL, method=method, cols=candidates, k=k)
@@ -56,7 +62,8 @@ def run_portfolio_job(
 
     ``trees`` > 0 trains boosted trees, otherwise the logistic model.
     """
-    table, names = training_table(loans, key=key, k=k)
+    terms = list(dict.fromkeys(c for c in (exposure, lgd, original_pd, term_years, dpd, *by) if c))
+    table, names = training_table(loans, key=key, k=k, terms=terms)
 
     def part(name: str) -> DataFrame:
         return table.filter(F.col("split") == name)
@@ -65,14 +72,12 @@ def run_portfolio_job(
         model = models.train_gbt(part("train"), label=LABEL, num_cols=names, trees=trees)
     else:
         model = models.train_logistic(part("train"), label=LABEL, num_cols=names)
-    scored = materialise(models.score_pd(model, table, keep=[KEY, LABEL, "split"], out="raw_pd"), "scores")
+    scored = materialise(models.score_pd(model, table, keep=[KEY, LABEL, "split", TERMS], out="raw_pd"), "scores")
     calibration = models.fit_isotonic(scored.filter(F.col("split") == "val"), score="raw_pd", label=LABEL)
-    scored = models.apply_isotonic(calibration, scored, score="raw_pd", out="pd")
+    scored = models.apply_isotonic(calibration, scored, score="raw_pd", out="pd").select("*", f"{TERMS}.*").drop(TERMS)
 
-    test = scored.filter(F.col("split") == "test").select(KEY, LABEL, "pd")
-    terms = [c for c in (exposure, lgd, original_pd, term_years, dpd, *by) if c]
-    contracts = cleaning.dedup_loans(loans.select(F.col(key).alias(KEY), *terms), keys=[KEY])
-    book = test.join(contracts, KEY)
+    test = scored.filter(F.col("split") == "test").select(KEY, LABEL, "pd", *terms)
+    book = test
     book = impairment.with_ecl(
         book, exposure=exposure, pd="pd", original_pd=original_pd, lgd=lgd, term_years=term_years, dpd=dpd
     )

@@ -15,7 +15,7 @@ from lossgrid.sources.loan_book import loan_book, read_table
 # Stress multipliers.
 STRESS_SCENARIOS = {"base_case": 1.0, "mild_recession": 2.0, "severe_recession": 4.0, "financial_crisis": 6.0}
 N_SIMS = 1000
-N_SIMS_BY_SEGMENT = 100
+N_SIMS_BY_SEGMENT = 1000
 SEED = 42
 Z999 = statistics.NormalDist().inv_cdf(0.999)
 PARTS = {"pd": "pd_12m", "ead": "exposure", "lgd": "lgd"}

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lossgrid.functions.numeric import nan_to_null
+
 
 # Column -> (SQL expression, table it needs besides the orders).
 BOOK = {
@@ -54,7 +56,8 @@ BOOK_COLUMNS = tuple(BOOK)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the schema; NaN becomes NULL here, as in every reader."""
+    return nan_to_null(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def loan_book(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

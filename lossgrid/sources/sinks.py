@@ -5,20 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_results(
     df: DataFrame, path: str, *, as_of: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> None:
-    """Write one snapshot under as_of=<date>; other snapshots in the folder stay.
+    """Write one snapshot as the folder as_of=<date>; other snapshots in the table stay.
 
-    Dynamic partition overwrite makes a repeated run replace just its own snapshot.
+    The folder is overwritten as a whole, so a repeated run leaves nothing of the run before, also where it fills
+    fewer partitions.
     """
-    (
-        df.withColumn("as_of", F.lit(as_of).cast("date"))
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("as_of", *partition_by)
-        .parquet(path)
-    )
+    df.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(f"{path}/as_of={as_of}")

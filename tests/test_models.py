@@ -42,7 +42,7 @@ def test_logistic_learns_and_survives_saving(spark, table, logistic, tmp_path):
 
 
 def test_importance_names_follow_the_vector(table, logistic):
-    names = models.feature_names(table, num_cols=["x", "z"], cat_cols=["c"])
+    names = models.feature_names(logistic, table, num_cols=["x", "z"], cat_cols=["c"])
     assert names == ["x", "z", "c_it's", "c_low", "c_mid"]
     found = models.feature_importance(logistic, names, k=2).collect()
     assert found[0]["feature"] == "x" and len(found) == 2 and found[0]["importance"] >= found[1]["importance"]
@@ -82,3 +82,30 @@ def test_scores_become_probabilities(table, method):
 def test_unknown_calibration_is_an_error(table):
     with pytest.raises(ValueError):
         models.pd_calibration(table, table, score="x", label="y", method="other")
+
+
+def test_isotonic_fit_is_exact(spark):
+    """Scores that differ only in late digits stay apart; the fit equals pooling at once."""
+    r = np.random.default_rng(8)
+    scores = np.concatenate([r.normal(0, 3, 600), 0.5 + np.arange(40) * 1e-9])
+    labels = (r.random(640) < 1 / (1 + np.exp(-scores))).astype(int)
+    df = spark.createDataFrame([(float(s), int(y)) for s, y in zip(scores, labels)], "s double, y int").repartition(7)
+    order = np.argsort(scores, kind="stable")
+    blocks = []
+    for s, y in zip(scores[order], labels[order]):
+        blocks.append([s, s, 1.0, float(y)])
+        while len(blocks) > 1 and blocks[-2][3] * blocks[-1][2] >= blocks[-1][3] * blocks[-2][2]:
+            b = blocks.pop()
+            blocks[-1] = [blocks[-1][0], b[1], blocks[-1][2] + b[2], blocks[-1][3] + b[3]]
+    found = sorted(tuple(x) for x in models.isotonic_blocks(df, "s", "y").collect())
+    assert found == [tuple(b) for b in blocks]
+
+
+def test_many_levels_and_levels_of_unlabelled_rows(spark):
+    """No limit on levels, and names come from the fitted model, not from the table at hand."""
+    rows = [(i, float(i % 7), f"l{i % 300}", None if i % 300 == 299 else i % 2) for i in range(900)]
+    df = spark.createDataFrame(rows, "id bigint, x double, c string, y int")
+    model = models.train_logistic(df, label="y", num_cols=["x"], cat_cols=["c"])
+    names = models.feature_names(model, df, num_cols=["x"], cat_cols=["c"])
+    assert len(names) == 300 and "c_l299" not in names
+    assert models.feature_importance(model, names, k=5).count() == 5

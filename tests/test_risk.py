@@ -210,3 +210,23 @@ def test_macro_weighted_pd_is_bounded_per_scenario(spark):
     df = spark.createDataFrame([(0.1,), (0.9,), (None,)], "pd double")
     weighted = impairment.macro_weighted_pd(F.col("pd"), {"base": 1.0, "down": 1.5, "unweighted": 9.0}, {"base": 0.6, "down": 0.2})
     assert [r[0] for r in df.select(weighted).collect()] == [pytest.approx(0.09), pytest.approx(0.74), None]
+
+
+def test_a_repeated_snapshot_replaces_all_of_the_first(spark, tmp_path):
+    from lossgrid.sources.sinks import write_results
+
+    path = str(tmp_path / "ecl")
+    rows = spark.createDataFrame([(1, 1), (2, 3)], "id int, stage int")
+    write_results(rows, path, as_of="2024-01-31", partition_by=["stage"])
+    write_results(rows, path, as_of="2024-02-29", partition_by=["stage"])
+    write_results(rows.filter("stage = 1"), path, as_of="2024-01-31", partition_by=["stage"])
+    back = spark.read.parquet(path)
+    assert back.filter("as_of = date'2024-01-31'").count() == 1 and back.count() == 3
+
+
+def test_nan_pd_stays_in_stage_1(spark):
+    from lossgrid.operators import impairment
+
+    df = spark.createDataFrame([(float("nan"), 0.1), (0.5, float("nan")), (0.995, 0.1), (None, None)], "pd double, pd0 double")
+    found = impairment.with_stage(df, pd="pd", original_pd="pd0").collect()
+    assert [r["stage"] for r in found] == [1, 2, 3, 1]
