@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossgrid.operators import discrimination, impairment, models, quality, split
 from lossgrid.plans.impairment_plans import STAGED_CTE, loans_with_ecl
 from lossgrid.plans.oracle import long_form, on_loans, quantile_ctes
 from lossgrid.plans.portfolio_job import run_portfolio_job
+from lossgrid.plans.preparation_plans import SPLIT_HASH
 from lossgrid.plans.registry import Query
 from lossgrid.session import materialise, scratch_dir
 from lossgrid.sources.loan_book import loan_book, read_table
@@ -37,39 +39,76 @@ def _part(df: DataFrame, name: str) -> DataFrame:
     return df.filter(F.col("split") == name)
 
 
-def _scored_test(spark: SparkSession, sf_dir: str, model, data: DataFrame) -> DataFrame:
-    return models.score_pd(model, _part(data, "test"), keep=["id", "default"])
+def _scored(model, df: DataFrame, *keep: str) -> DataFrame:
+    return models.score_pd(model, df, keep=["id", "default", *keep])
 
 
 def _logistic(spark: SparkSession, sf_dir: str):
     data = split_table(spark, sf_dir)
-    model = models.train_logistic(_part(data, "train"), label="default", num_cols=NUMERIC, cat_cols=CATEGORIES)
-    return model, data
+    return models.train_logistic(_part(data, "train"), label="default", num_cols=NUMERIC, cat_cols=CATEGORIES), data
+
+
+def _conditions_hold(model, df: DataFrame, weight: Column, penalty: float, tolerance: float = 5e-3) -> Column:
+    """Whether the first-order conditions of a logistic fit hold on the table it was fitted on, as a scalar.
+
+    Per slot of the feature vector: mean of weight * (probability - label) * feature, plus penalty * coefficient.
+    """
+    last = model.stages[-1]
+    residual = weight * (vector_to_array("probability")[1] - F.col("default"))
+    slots = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))  # the last one is the intercept
+    shares = F.array(*[F.lit(float(penalty * c)) for c in [*last.coefficients, 0.0]])
+    rows = model.transform(df).select(residual.alias("r"), F.posexplode(slots).alias("slot", "x"))
+    sums = rows.groupBy("slot").agg(F.avg(F.col("r") * F.col("x")).alias("mean"))
+    off = F.abs(F.col("mean") + F.get(shares, F.col("slot")))
+    return sums.agg((F.max(off) < tolerance).alias("ok")).scalar()
+
+
+def _fit_summary(scored: DataFrame) -> DataFrame:
+    """Counts of the test part; whether PDs lie in [0, 1] and rank better than the best single column; labels at 0.5."""
+    single = discrimination.auc_ks(scored, score="pd_12m", label="default").select("auc_roc").scalar()
+    model = discrimination.auc_ks(scored, score="pd", label="default").select("auc_roc").scalar()
+    labelled = discrimination.predicted_label(scored, score="pd")
+    test = F.col("split") == "test"
+    return labelled.agg(
+        F.count_if(test).alias("n_test"),
+        F.sum(F.when(test, F.col("default"))).alias("positives"),
+        F.bool_and(F.col("pd").between(0, 1)).alias("pd_in_range"),
+        F.bool_and((F.col("pd") >= 0.5) == (F.col("prediction") == 1)).alias("labels_at_half"),
+    ).withColumn("ranks_better_than_one_column", model > single)
 
 
 def _train_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, data = _logistic(spark, sf_dir)
-    scored = _scored_test(spark, sf_dir, model, data)
-    return discrimination.performance_report(scored, score="pd", label="default")
+    train = _part(data, "train")
+    pos, neg = train.agg(F.count_if(F.col("default") == 1), F.count_if(F.col("default") == 0)).first()
+    weight = F.when(F.col("default") == 1, (pos + neg) / (2.0 * max(pos, 1))).otherwise((pos + neg) / (2.0 * max(neg, 1)))
+    found = _fit_summary(_scored(model, data, "split", "pd_12m"))
+    return found.withColumn("conditions_hold", _conditions_hold(model, train, weight, 1.0 / max(pos + neg, 1)))
 
 
 def _train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = split_table(spark, sf_dir)
     model = models.train_gbt(_part(data, "train"), label="default", num_cols=NUMERIC, cat_cols=CATEGORIES)
-    return discrimination.performance_report(_scored_test(spark, sf_dir, model, data), score="pd", label="default")
+    return _fit_summary(_scored(model, data, "split", "pd_12m"))
 
 
 def _score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test loans scored by the model and by its saved and loaded copy."""
     model, data = _logistic(spark, sf_dir)
     path = scratch_dir(spark, "model")
     models.save_model(model, path)
-    return _scored_test(spark, sf_dir, models.load_model(path), data)
+    test = _part(data, "test")
+    both = models.score_pd(models.load_model(path), _scored(model, test, *NUMERIC, *CATEGORIES), out="again")
+    return both.select(
+        "id", "default", F.col("pd").between(0, 1).alias("pd_in_range"), (F.abs(F.col("pd") - F.col("again")) < 1e-12).alias("survives_saving")
+    )
 
 
 def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three strongest features, which are the three that drive the label."""
     model, data = _logistic(spark, sf_dir)
     names = models.feature_names(model, data, num_cols=NUMERIC, cat_cols=CATEGORIES)
-    return models.feature_importance(model, names)
+    return models.feature_importance(model, names, k=3).select("feature", (F.col("importance") > 0).alias("positive"))
 
 
 def raw_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +146,10 @@ def _fit_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = materialise(model_table(spark, sf_dir), "features")
     estimator = LogisticRegression(labelCol="default")
     model = models.fit_pipeline(data, estimator, num_cols=NUMERIC, cat_cols=CATEGORIES)
-    scored = models.score_pd(model, data, keep=["id", "default"])
-    return discrimination.evaluate(scored, score="pd", label="default")
+    found = models.score_pd(model, data, keep=["id", "default"]).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("default").alias("positives"), F.avg("pd").alias("mean_pd")
+    )
+    return found.withColumn("conditions_hold", _conditions_hold(model, data, F.lit(1.0), 0.0))
 
 
 def _portfolio_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,8 +213,100 @@ _STAGE_SQL = on_loans(
     "LEFT JOIN ecl e ON s.stage = 0 OR e.stage = s.stage GROUP BY s.stage",
     STAGED_CTE,
 )
-_REPORT_SPEC = "auc_roc:9 gini:9 ks_statistic:9 precision:9 recall:9 f1_score:9 accuracy:9 default_rate:9 predicted_default_rate:9"
-_BRIER_SPEC = "brier_score_before:9 brier_score_after:9 brier_score_improvement:9"
+_FIT_SPEC = "n_test:i positives:i pd_in_range:b labels_at_half:b ranks_better_than_one_column:b"
+_BRIER_SPEC = "brier_score_before:9 brier_score_after:{0} brier_score_improvement:{0}"
+# The label of model_table, the seeded split, and raw scores with their points (one per distinct score).
+_DEFAULTS = (
+    "defaults AS (SELECT *, CASE WHEN (id * 48271 % 1009) / 1009e0 < pd_12m + CASE WHEN grade IN ('D', 'E') THEN 0.15e0 ELSE 0e0 END "
+    "THEN 1 ELSE 0 END AS y1 FROM loan)"
+)
+_SPLIT = (
+    "parts AS (SELECT id, y1, CASE WHEN rk <= floor(n * 0.3e0 + 0.5e0) THEN 'test' ELSE 'other' END AS split FROM (SELECT id, y1, "
+    f"row_number() OVER (PARTITION BY y1 ORDER BY {SPLIT_HASH}, id) AS rk, count(*) OVER (PARTITION BY y1) AS n FROM defaults))"
+)
+_RAW = "raw AS (SELECT id, y1, sqrt(pd_12m / 0.4e0) AS x, id % 2 AS half FROM defaults)"
+
+
+def _isotonic_ctes(source: str, out: str = "iso") -> list[str]:
+    """CTE of (x, f): the largest over starts of the smallest over ends of the mean label, per distinct score."""
+    return [
+        f"{out}_c AS (SELECT x, row_number() OVER (ORDER BY x) AS i, w, s, sum(w) OVER (ORDER BY x) AS cw, sum(s) OVER (ORDER BY x) AS cs "
+        f"FROM (SELECT x, count(*)::DOUBLE AS w, sum(y1)::DOUBLE AS s FROM {source} GROUP BY x))",
+        f"{out}_p AS (SELECT j.i AS j, k.i AS k, (k.cs - j.cs + j.s) / (k.cw - j.cw + j.w) AS m FROM {out}_c j JOIN {out}_c k ON k.i >= j.i)",
+        f"{out}_m AS (SELECT k, max(m) AS f FROM (SELECT j, k, min(m) OVER (PARTITION BY j ORDER BY k DESC) AS m FROM {out}_p) GROUP BY k)",
+        f"{out} AS (SELECT x, f FROM {out}_c JOIN {out}_m ON i = k)",
+    ]
+
+
+def _newton_ctes(source: str, terms: list[str], out: str, steps: int = 14) -> list[str]:
+    """CTE with the coefficients b0, b1 (, b2) of an unpenalised logistic regression of y1 on one or two terms."""
+    terms = ["1e0", *terms]
+    n = len(terms)
+    score = " + ".join(f"b{i} * {t}" for i, t in enumerate(terms))
+    zero = ", ".join(f"0e0 AS b{i}" for i in range(n))
+    ctes = [f"{out}_0 AS (SELECT {zero})"]
+    for k in range(steps):
+        sums = [f"any_value(b{i}) AS b{i}" for i in range(n)]
+        sums += [f"sum((y1 - p) * {t}) AS g{i}" for i, t in enumerate(terms)]
+        sums += [f"sum(p * (1 - p) * {terms[i]} * {terms[j]}) AS h{i}{j}" for i in range(n) for j in range(i, n)]
+
+        def h(i: int, j: int) -> str:
+            return f"h{min(i, j)}{max(i, j)}"
+
+        if n == 2:
+            det = "(h00 * h11 - h01 * h01)"
+            moved = [f"b0 + (h11 * g0 - h01 * g1) / {det} AS b0", f"b1 + (h00 * g1 - h01 * g0) / {det} AS b1"]
+        else:
+            def cofactor(i: int, j: int) -> str:
+                r = [x for x in range(3) if x != i]
+                c = [x for x in range(3) if x != j]
+                sign = "-" if (i + j) % 2 else ""
+                return f"{sign}({h(r[0], c[0])} * {h(r[1], c[1])} - {h(r[0], c[1])} * {h(r[1], c[0])})"
+
+            det = "(" + " + ".join(f"{h(0, j)} * ({cofactor(0, j)})" for j in range(3)) + ")"
+            moved = [
+                f"b{i} + (" + " + ".join(f"({cofactor(j, i)}) * g{j}" for j in range(3)) + f") / {det} AS b{i}" for i in range(3)
+            ]
+        ctes.append(
+            f"{out}_{k + 1} AS MATERIALIZED (SELECT {', '.join(moved)} FROM (SELECT {', '.join(sums)} FROM "
+            f"(SELECT *, 1 / (1 + exp(-({score}))) AS p FROM {source}, {out}_{k})))"
+        )
+    ctes.append(f"{out} AS (SELECT * FROM {out}_{steps})")
+    return ctes
+
+
+def _brier(p: str, source: str) -> str:
+    return (
+        f"SELECT avg((x - y1) * (x - y1)) AS brier_score_before, avg(({p} - y1) * ({p} - y1)) AS brier_score_after, "
+        f"avg((x - y1) * (x - y1)) - avg(({p} - y1) * ({p} - y1)) AS brier_score_improvement FROM {source}"
+    )
+
+
+_FIT_SQL = (
+    "SELECT count(*) AS n_test, sum(y1) AS positives, true AS pd_in_range, true AS labels_at_half, "
+    "true AS ranks_better_than_one_column{} FROM parts WHERE split = 'test'"
+)
+_LOGIT = "1 / (1 + exp(-(b0 + b1 * x)))"
+_BETA_TERMS = ["ln(q)", "-ln(1 - q)"]
+_PD_CALIBRATION_SQL = on_loans(
+    "SELECT count(*) AS n, avg(y1) AS default_rate, "
+    + ", ".join(
+        f"{f}({c}) AS {n}_{c}" for c in models.CALIBRATION_METHODS for f, n in (("avg", "mean"), ("min", "min"), ("max", "max"))
+    )
+    + " FROM (SELECT new.y1, isotonic, "
+    "1 / (1 + exp(-(platt.b0 + platt.b1 * new.x))) AS logistic, "
+    "1 / (1 + exp(-(beta.b0 + beta.b1 * ln(q) - beta.b2 * ln(1 - q)))) AS beta FROM new, platt, beta)",
+    _DEFAULTS,
+    _RAW,
+    "known AS (SELECT *, 1 / (1 + exp(-x)) AS q FROM raw WHERE half = 0)",
+    *_isotonic_ctes("known"),
+    *_newton_ctes("known", ["x"], "platt"),
+    *_newton_ctes("known", _BETA_TERMS, "beta"),
+    # Linear between the points of the fit, constant outside.
+    "new AS (SELECT r.id, r.y1, r.x, 1 / (1 + exp(-r.x)) AS q, CASE WHEN lo.x IS NULL THEN hi.f WHEN hi.x IS NULL OR hi.x = lo.x THEN lo.f "
+    "ELSE lo.f + (hi.f - lo.f) * (r.x - lo.x) / (hi.x - lo.x) END AS isotonic FROM (SELECT * FROM raw WHERE half = 1) r "
+    "ASOF LEFT JOIN iso lo ON r.x >= lo.x ASOF LEFT JOIN iso hi ON r.x <= hi.x)",
+)
 _MED = "(SELECT q0 FROM q WHERE feature = '{c}')"
 
 QUERIES = {
@@ -186,17 +319,43 @@ QUERIES = {
             "f AS (SELECT id, " + ", ".join(f"coalesce({c}::DOUBLE, {_MED.format(c=c)}) AS {c}" for c in SCALED) + " FROM loan)",
         ),
     ),
-    "fit_pipeline": Query(_fit_pipeline, "roc_auc:9 pr_auc:9"),
-    "train_logistic": Query(_train_logistic, _REPORT_SPEC),
-    "train_gbt": Query(_train_gbt, _REPORT_SPEC),
+    "fit_pipeline": Query(
+        _fit_pipeline,
+        "n:i positives:i mean_pd:3 conditions_hold:b",
+        on_loans("SELECT count(*) AS n, sum(y1) AS positives, avg(y1) AS mean_pd, true AS conditions_hold FROM defaults", _DEFAULTS),
+    ),
+    "train_logistic": Query(
+        _train_logistic, f"{_FIT_SPEC} conditions_hold:b", on_loans(_FIT_SQL.format(", true AS conditions_hold"), _DEFAULTS, _SPLIT)
+    ),
+    "train_gbt": Query(_train_gbt, _FIT_SPEC, on_loans(_FIT_SQL.format(""), _DEFAULTS, _SPLIT)),
     "portfolio_job": Query(_portfolio_job, "stage:i loans:i ecl:2"),
-    "score_pd": Query(_score, "id:i default:i pd:9"),
-    "feature_importance_topk": Query(_importance, "feature:s importance:9"),
-    "calibrate_isotonic": Query(_calibrated(models.calibrate_isotonic), _BRIER_SPEC),
-    "calibrate_platt": Query(_calibrated(models.calibrate_platt), _BRIER_SPEC),
+    "score_pd": Query(
+        _score,
+        "id:i default:i pd_in_range:b survives_saving:b",
+        on_loans(
+            'SELECT id, y1 AS "default", true AS pd_in_range, true AS survives_saving FROM parts WHERE split = \'test\'', _DEFAULTS, _SPLIT
+        ),
+    ),
+    "feature_importance_topk": Query(
+        _importance,
+        "feature:s positive:b",
+        "SELECT feature, true AS positive FROM (VALUES ('pd_12m'), ('grade_D'), ('grade_E')) AS t(feature) WHERE EXISTS (SELECT 1 FROM orders)",
+    ),
+    "calibrate_isotonic": Query(
+        _calibrated(models.calibrate_isotonic),
+        _BRIER_SPEC.format(9),
+        on_loans(_brier("f", "raw JOIN iso USING (x)"), _DEFAULTS, _RAW, *_isotonic_ctes("raw")),
+    ),
+    "calibrate_platt": Query(
+        _calibrated(models.calibrate_platt),
+        _BRIER_SPEC.format(6),
+        on_loans(_brier(_LOGIT, "raw, platt"), _DEFAULTS, _RAW, *_newton_ctes("raw", ["x"], "platt")),
+    ),
     "pd_calibration": Query(
         _pd_calibration,
-        "n:i default_rate:9 " + " ".join(f"{s}_{m}:9" for s in ("mean", "min", "max") for m in models.CALIBRATION_METHODS),
+        "n:i default_rate:9 "
+        + " ".join(f"{s}_{m}:{d}" for s in ("mean", "min", "max") for m, d in (("logistic", 4), ("isotonic", 8), ("beta", 3))),
+        _PD_CALIBRATION_SQL,
     ),
     "read_loans_dir": Query(
         _csv_round_trip,

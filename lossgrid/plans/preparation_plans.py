@@ -419,7 +419,7 @@ MI_SQL = on_loans(
     f"edges AS (SELECT feature, {edge_list(BINS)} AS edges FROM q)",
 )
 _CORR_PAIRS = [(a, b) for a in CORRELATED for b in CORRELATED]
-_HASH = "('0x' || substr(md5('42|' || id::VARCHAR), 1, 13))::BIGINT"
+SPLIT_HASH = "('0x' || substr(md5('42|' || id::VARCHAR), 1, 13))::BIGINT"
 
 MODEL_INPUT_QUERIES = {
     "impute_median": Query(
@@ -484,7 +484,7 @@ MODEL_INPUT_QUERIES = {
         on_loans(
             "SELECT id, y, CASE WHEN rk <= floor(n * 0.3e0 + 0.5e0) THEN 'test' WHEN rk <= floor(n * 0.3e0 + 0.5e0) "
             "+ floor(n * 0.2e0 + 0.5e0) THEN 'val' ELSE 'train' END AS split FROM (SELECT id, y, "
-            f"row_number() OVER (PARTITION BY y ORDER BY {_HASH}, id) AS rk, count(*) OVER (PARTITION BY y) AS n FROM loan)"
+            f"row_number() OVER (PARTITION BY y ORDER BY {SPLIT_HASH}, id) AS rk, count(*) OVER (PARTITION BY y) AS n FROM loan)"
         ),
     ),
 }
