@@ -103,18 +103,18 @@ def _psi_row(
     # Without groups there is one edge row per feature column; otherwise its size decides at run time.
     lookup = edges if by else F.broadcast(edges)
     passed = ["edges", *carry]
+    # Only two counts are summed over the rows, which keeps the aggregate hashed; the edges join the few results.
     per_bin = (
-        counted.join(lookup, KEY)
+        counted.join(lookup.select(KEY, "edges"), KEY)
         .withColumn("bin", edge_array_bin(F.col("value"), F.col("edges"), n_bins + 1))
         .groupBy(KEY, "bin")
-        .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"), *[F.any_value(c).alias(c) for c in passed])
+        .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     )
     inside = F.col("bin").isNotNull()
     per_key = per_bin.groupBy(KEY).agg(
-        *[F.any_value(c).alias(c) for c in passed],
         F.coalesce(F.sum(F.when(~inside, F.col("n_cur"))), F.lit(0)).alias("out_of_range"),
         F.map_from_entries(F.collect_list(F.when(inside, F.struct("bin", F.struct("n_ref", "n_cur"))))).alias("_counts"),
-    )
+    ).join(lookup.select(KEY, *passed), KEY)
     usable = F.size("edges") > 1
     numbers = F.when(usable, F.sequence(F.lit(0), F.greatest(F.size("edges") - 2, F.lit(0)))).otherwise(
         F.array().cast("array<int>")

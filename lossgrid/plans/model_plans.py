@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lossgrid.operators import discrimination, impairment, models, quality, split
 from lossgrid.plans.impairment_plans import STAGED_CTE, loans_with_ecl
 from lossgrid.plans.oracle import long_form, on_loans, quantile_ctes
-from lossgrid.plans.portfolio_job import run_portfolio_job
+from lossgrid.plans.portfolio_job import all_rows, run_portfolio_job
 from lossgrid.plans.preparation_plans import SPLIT_HASH
 from lossgrid.plans.registry import Query
 from lossgrid.session import materialise, scratch_dir
@@ -153,17 +153,17 @@ def _fit_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _portfolio_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chain from raw loans to written ECL; loans are defaulted by status, so open loans drop out."""
+    """The chain from raw loans to written ECL, all result tables as one; open loans drop out by their status."""
     columns = (
         "id member_id loan_amnt funded_amnt installment annual_inc revol_util revol_bal dti issue_d earliest_cr_line "
         "loan_status grade fico_range_low fico_range_high open_acc total_acc delinq_2yrs pub_rec inq_last_6mths "
-        "mths_since_last_delinq segment exposure lgd original_pd term_years dpd"
+        "mths_since_last_delinq segment exposure lgd original_pd term_years dpd int_rate"
     ).split()
     results = run_portfolio_job(
         loan_book(spark, sf_dir, *columns), key="id", exposure="exposure", lgd="lgd", original_pd="original_pd",
-        term_years="term_years", dpd="dpd", path=scratch_dir(spark, "portfolio"), as_of="2024-01-31",
+        term_years="term_years", dpd="dpd", income_rate="int_rate", path=scratch_dir(spark, "portfolio"), as_of="2024-01-31",
     )
-    return results["ecl_by_stage"]
+    return all_rows(results)
 
 
 # --- sources and sinks -------------------------------------------------------------------------------
@@ -328,7 +328,7 @@ QUERIES = {
         _train_logistic, f"{_FIT_SPEC} conditions_hold:b", on_loans(_FIT_SQL.format(", true AS conditions_hold"), _DEFAULTS, _SPLIT)
     ),
     "train_gbt": Query(_train_gbt, _FIT_SPEC, on_loans(_FIT_SQL.format(""), _DEFAULTS, _SPLIT)),
-    "portfolio_job": Query(_portfolio_job, "stage:i loans:i ecl:2"),
+    "portfolio_job": Query(_portfolio_job, "table:s group:s metric:s value:6"),
     "score_pd": Query(
         _score,
         "id:i default:i pd_in_range:b survives_saving:b",

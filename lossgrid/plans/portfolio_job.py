@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lossgrid.functions.numeric import numeric_columns, other_columns
 from lossgrid.operators import (
-    capital, cleaning, components, discrimination, drift, encoding, features, impairment, models, selection, split,
+    alerts, capital, cleaning, components, discrimination, drift, encoding, features, impairment, models, selection, simulation, split,
 )
 from lossgrid.session import materialise
 from lossgrid.sources.sinks import write_results
@@ -43,6 +45,20 @@ def training_table(
     return materialise(table, "training"), names
 
 
+# Multipliers of the PD by scenario, and the scenarios' weights.
+MACRO_SCENARIOS = {"base": 1.0, "optimistic": 0.8, "downturn": 1.5}
+MACRO_WEIGHTS = {"base": 0.6, "optimistic": 0.2, "downturn": 0.2}
+STRESS_SCENARIOS = {"base_case": 1.0, "mild_recession": 2.0, "severe_recession": 4.0, "financial_crisis": 6.0}
+
+
+def long_rows(name: str, df: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+    """(table, group, metric, value): one row per numeric or boolean column of a small result table."""
+    kept = [f.name for f in df.schema.fields if f.name not in groups and isinstance(f.dataType, (T.NumericType, T.BooleanType))]
+    pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").cast("double").alias("value")) for c in kept])
+    group = F.concat_ws("|", *[F.coalesce(F.col(g).cast("string"), F.lit("all")) for g in groups])
+    return df.select(F.lit(name).alias("table"), group.alias("group"), F.inline(pairs))
+
+
 def run_portfolio_job(
     loans: DataFrame,
     *,
@@ -54,15 +70,20 @@ def run_portfolio_job(
     path: str,
     as_of: str,
     dpd: str | None = None,
+    income_rate: str | None = None,
     by: Sequence[str] = (),
     k: int = 20,
-    trees: int = 0,
+    trees: int = 200,
+    n_sims: int = 1000,
 ) -> dict[str, DataFrame]:
-    """Score the test loans, write their PD, stage and ECL as one snapshot, and return the small result tables.
+    """Score the test loans, write their PD, stage and ECL as one snapshot and its alerts, and return the small
+    result tables.
 
-    ``trees`` > 0 trains boosted trees, otherwise the logistic model.
+    ``trees`` > 0 trains boosted trees, otherwise the logistic model. The ECL uses the macro-weighted PD. The alert
+    table below ``path`` is appended to, and the report reads it. ``income_rate`` (percent of the exposure a year)
+    adds the return on risk-adjusted capital.
     """
-    terms = list(dict.fromkeys(c for c in (exposure, lgd, original_pd, term_years, dpd, *by) if c))
+    terms = list(dict.fromkeys(c for c in (exposure, lgd, original_pd, term_years, dpd, income_rate, *by) if c))
     table, names = training_table(loans, key=key, k=k, terms=terms)
 
     def part(name: str) -> DataFrame:
@@ -72,28 +93,65 @@ def run_portfolio_job(
         model = models.train_gbt(part("train"), label=LABEL, num_cols=names, trees=trees)
     else:
         model = models.train_logistic(part("train"), label=LABEL, num_cols=names)
-    scored = materialise(models.score_pd(model, table, keep=[KEY, LABEL, "split", TERMS], out="raw_pd"), "scores")
+    scored = models.score_pd(model, table, keep=[KEY, LABEL, "split", TERMS, *names], out="raw_pd")
+    scored = materialise(scored, "scores")
     calibration = models.fit_isotonic(scored.filter(F.col("split") == "val"), score="raw_pd", label=LABEL)
-    scored = models.apply_isotonic(calibration, scored, score="raw_pd", out="pd").select("*", f"{TERMS}.*").drop(TERMS)
+    scored = models.apply_isotonic(calibration, scored, score="raw_pd", out="pd")
 
-    test = scored.filter(F.col("split") == "test").select(KEY, LABEL, "pd", *terms)
-    book = test
+    book = scored.filter(F.col("split") == "test").select(KEY, LABEL, "pd", f"{TERMS}.*")
+    weighted = impairment.macro_weighted_pd(F.col("pd"), MACRO_SCENARIOS, MACRO_WEIGHTS)
     book = impairment.with_ecl(
-        book, exposure=exposure, pd="pd", original_pd=original_pd, lgd=lgd, term_years=term_years, dpd=dpd
+        book.withColumn("macro_pd", weighted), exposure=exposure, pd="macro_pd", original_pd=original_pd, lgd=lgd,
+        term_years=term_years, dpd=dpd,
     )
-    write_results(book, path, as_of=as_of, partition_by=["stage"])
-    written = table.sparkSession.read.parquet(path).filter(F.col("as_of") == as_of)
+    write_results(book, f"{path}/ecl", as_of=as_of, partition_by=["stage"])
+    spark = table.sparkSession
+    written = spark.read.parquet(f"{path}/ecl").filter(F.col("as_of") == as_of)
 
     periods = scored.filter(F.col("split").isin("train", "test")).withColumn(
         "is_ref", (F.col("split") == "train").cast("int")
     )
+    verdict = materialise(drift.drift_verdict(periods, score="pd", label=LABEL, is_ref="is_ref", features=names), "verdict")
+    calibrated = discrimination.calibration_summary(written, score="pd", label=LABEL)
+    day = F.lit(as_of).cast("timestamp_ntz")
+    metrics = verdict.select(
+        F.inline(F.array(
+            F.struct(F.lit("psi").alias("metric"), F.col("score_psi").alias("value")),
+            F.struct(F.lit("ks_statistic").alias("metric"), F.col("score_ks").alias("value")),
+        ))
+    ).unionByName(calibrated.select(F.lit("expected_calibration_error").alias("metric"), F.col("expected_calibration_error").alias("value")))
+    raised = alerts.metric_alerts(metrics.withColumn("ts", day)).unionByName(alerts.drift_alerts(verdict, ts=day))
+    alerts.append_alerts(raised, f"{path}/alerts")
+    history = spark.read.schema(alerts.ALERT_SCHEMA).parquet(f"{path}/alerts")
+
     parts = {"pd": "pd", "ead": exposure, "lgd": lgd}
-    return {
+    losses = simulation.simulate_losses(written, key=KEY, **parts, n_sims=n_sims)
+    economic = capital.economic_capital(written, **parts, by=by)
+    results = {
         "ecl_by_stage": impairment.ecl_by_stage(written, by=by),
         "expected_loss": components.expected_loss(written, **parts, by=by),
-        "economic_capital": capital.economic_capital(written, **parts, by=by),
+        "economic_capital": economic,
         "regulatory_capital": capital.regulatory_capital(written, **parts, by=by),
-        "performance": discrimination.performance_report(test, score="pd", label=LABEL),
-        "calibration": discrimination.calibration_summary(test, score="pd", label=LABEL),
-        "drift": drift.drift_verdict(periods, score="pd", label=LABEL, is_ref="is_ref"),
+        "stress": capital.stress_pd(written, pd="pd", scenarios=STRESS_SCENARIOS, by=by),
+        "loss_distribution": simulation.loss_var_es(losses),
+        "performance": discrimination.performance_report(written, score="pd", label=LABEL),
+        "calibration": calibrated,
+        "feature_drift": drift.feature_drift(periods, features=names, is_ref="is_ref"),
+        "drift": verdict,
+        "report": alerts.monitoring_report(history, model_name="portfolio", report_date=dt.date.fromisoformat(as_of)),
     }
+    if income_rate:
+        income = written.groupBy(*by).agg(F.sum(F.col(exposure) * F.col(income_rate) / 100.0).alias("income"))
+        both = income.join(economic, list(by)) if by else income.join(F.broadcast(economic))  # one row each
+        results["raroc"] = components.raroc(both, income="income", capital="economic_capital", loss="expected_loss")
+    return results
+
+
+def all_rows(results: dict[str, DataFrame], by: Sequence[str] = ()) -> DataFrame:
+    """Every result table in one long table."""
+    groups = {"ecl_by_stage": [*by, "stage"], "stress": [*by, "scenario"], "feature_drift": ["feature"], "report": ["model_name"]}
+    found = None
+    for name, df in results.items():
+        rows = long_rows(name, df, groups.get(name, [c for c in by if c in df.columns]))
+        found = rows if found is None else found.unionByName(rows)
+    return found
