@@ -135,6 +135,88 @@ SELECT d.doc_id, count(j.i) AS n_words, count(j.i) FILTER (WHERE gone) AS n_remo
 FROM documents d LEFT JOIN judged j ON j.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+                                      WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS g FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT doc_id AS id, doc_id AS other FROM documents UNION SELECT r.id, x.b FROM reached r JOIN ways x ON r.other = x.a)
+SELECT id AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, id = min(other) AS kept
+FROM reached LEFT JOIN sizes ON sizes.doc_id = id GROUP BY id
+"""
+
+_CLASS_SETS = {
+    "space": r"\x09-\x0D\x20", "small": "a-z", "capital": "A-Z", "digit": "0-9", "stop": ".,;:?!'\"()\\-",
+    "symbol": r"#*$%&|<>@+=/\\^~_\[\]{}`", "two": r"\x{80}-\x{7FF}", "three": r"\x{800}-\x{FFFF}", "four": r"\x{10000}-\x{10FFFF}",
+}
+
+
+def _only(characters: str) -> str:
+    """Number of characters of a text that belong to a set."""
+    return "length(regexp_replace(text, '[^{}]', '', 'g'))".format(characters.replace("'", "''"))
+
+
+_CLASS_ROWS = " UNION ALL ".join(f"SELECT doc_id, lang, '{n}' AS key, {_only(c)} AS n FROM d" for n, c in _CLASS_SETS.items())
+_ALL_SETS = "".join(_CLASS_SETS.values())
+_PART = "CASE WHEN {0} > 0 THEN {0} * log2({0} / (({0} + {1}) / 2e0)) ELSE 0e0 END"
+_DISTANCE = f"sqrt(greatest((sum({_PART.format('p', 'q')}) + sum({_PART.format('q', 'p')})) / 2e0, 0e0))"
+OP5_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, lang, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
+triples AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, word, second, third) AS n
+  FROM (SELECT doc_id, i, word, lead(word) OVER o AS second, lead(word, 2) OVER o AS third FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i))
+  WHERE third IS NOT NULL),
+repeated AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM triples, (VALUES (0), (1), (2)) AS o(k) WHERE n > 1 GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+totals AS (SELECT lang, count(*) AS total FROM w GROUP BY lang),
+-- Every document's language reference: its own if it has more than a hundredth of all words, else that of the corpus.
+known AS (SELECT lang FROM totals WHERE total * 100 > (SELECT sum(total) FROM totals)),
+reference_of AS (SELECT lang, lang AS ref FROM known UNION ALL SELECT DISTINCT lang, NULL FROM d WHERE lang NOT IN (FROM known)),
+class_n AS (
+  {_CLASS_ROWS} UNION ALL SELECT doc_id, lang, 'other', length(text) - {_only(_ALL_SETS)} FROM d),
+class_ref AS (
+  SELECT ref, key, n / sum(n) OVER (PARTITION BY ref) AS q FROM (
+    SELECT lang AS ref, key, sum(n) AS n FROM class_n WHERE lang IN (FROM known) GROUP BY ALL
+    UNION ALL SELECT NULL, key, sum(n) FROM class_n GROUP BY key)),
+class_js AS (
+  SELECT doc_id, {_DISTANCE} AS js FROM (
+    SELECT doc_id, c.n / nullif(sum(c.n) OVER (PARTITION BY doc_id), 0) AS p, q
+    FROM class_n c JOIN reference_of r ON c.lang = r.lang JOIN class_ref f ON f.ref IS NOT DISTINCT FROM r.ref AND f.key = c.key) GROUP BY doc_id),
+word_ref AS (
+  SELECT ref, word, n / total AS q FROM (
+    SELECT lang AS ref, word, count(*) AS n, any_value(total) AS total FROM w JOIN totals USING (lang) WHERE lang IN (FROM known) GROUP BY ALL
+    UNION ALL SELECT NULL, word, count(*), (SELECT sum(total) FROM totals) FROM w GROUP BY word)
+  WHERE n * 500 >= total),
+word_n AS (SELECT doc_id, word, count(*) AS n FROM w GROUP BY ALL),
+word_pq AS (
+  SELECT d.doc_id, coalesce(n, 0) / len(words) AS p, q
+  FROM d JOIN reference_of r ON d.lang = r.lang JOIN word_ref f ON f.ref IS NOT DISTINCT FROM r.ref
+  LEFT JOIN word_n c ON c.doc_id = d.doc_id AND c.word = f.word WHERE len(words) > 0),
+word_js AS (
+  SELECT doc_id, {_DISTANCE} AS js FROM (
+    FROM word_pq UNION ALL SELECT doc_id, greatest(1 - sum(p), 0e0), greatest(1 - sum(q), 0e0) FROM word_pq GROUP BY doc_id) GROUP BY doc_id),
+base AS (
+  SELECT d.doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
+    {_only("#*$%&|<>")} AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (n_words >= 100 AND (coalesce(c.js, 0) > 0.3 OR coalesce(x.js, 0) > 0.45)) AS kept
+FROM judged LEFT JOIN class_js c USING (doc_id) LEFT JOIN word_js x USING (doc_id)
+"""
+
 OP10_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -153,4 +235,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLES: dict[str, str] = {"op2_substring_dedup": OP2_SQL, "op3_source_mix": OP3_SQL, "op10_exact_dedup": OP10_SQL}
+ORACLES: dict[str, str] = {
+    "op2_substring_dedup": OP2_SQL,
+    "op3_source_mix": OP3_SQL,
+    "op4_near_dedup": OP4_SQL,
+    "op5_quality_rules": OP5_SQL,
+    "op10_exact_dedup": OP10_SQL,
+}
