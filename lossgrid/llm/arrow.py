@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +32,14 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
 
 
+def small(batches: Iterable[pa.RecordBatch], column: int = 1, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of text, so that a worker holds few texts at a time."""
+    for part in batches:
+        sizes = pc.fill_null(pc.binary_length(part.column(column)), 0).to_pylist()
+        for low, high in spans_by_size(sizes, limit):
+            yield part.slice(low, high - low)
+
+
 def batch(columns: dict[str, object]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 

@@ -8,9 +8,10 @@ confirmed on their full shingle sets.
 
 Large groups. Within a bucket of n classes only the n - 1 pairs with its smallest member are tried first. Once the
 confirmed links are joined into components, pairs inside a component need no look any more. Buckets that still span
-several components compare the members outside their largest component with the others, by bit counts inside the
-join, and only pairs that pass the cut come out of it and are confirmed. So every pair that shares a bucket is either
-confirmed, refuted, or known to be connected: nothing is capped, and all pairs of a group are never built.
+several components are laid out in blocks, and tasks compare the members outside the largest component with the others,
+block by block, in memory: by bit counts first, then, where these pass, on the full sets, and only if no link found
+before connects them. What comes out are members, and links that join components, never pairs. So every pair that
+shares a bucket is confirmed, refuted, or known to be connected, and nothing is capped.
 
 The number of bands follows from the threshold: a pair at the threshold misses all bands with a probability below
 ``MISS``, and so does the estimate cut.
@@ -22,12 +23,13 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossgrid.llm import words
-from lossgrid.llm.arrow import batch, id_and_text, lists, utf8
+from lossgrid.llm.arrow import batch, id_and_text, lists, small, utf8
 from lossgrid.llm.components import connected_components
 from lossgrid.session import materialise
 
@@ -122,7 +124,7 @@ def sketch(base: DataFrame, bands: int, rows: int, size: int = SHINGLE) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(bands, rows)
-        for part in batches:
+        for part in small(batches):
             texts = [t.lower() for t in utf8(part.column(1))]
             counts, set_a, set_b, signatures, keys = [], [], [], [], []
             for block in words.blocks(texts):
@@ -173,7 +175,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, threshold_pct: int, size: int =
             return next(shingle_set(b.hashes(), size) for b in words.blocks([text.lower()], len(text) + 1))
 
         last: dict[int, np.ndarray] = {}  # the smallest member of a group comes up again and again
-        for part in batches:
+        for part in small(batches, 3):
             rows = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), utf8(part.column(2)), utf8(part.column(3)))
             found = []
             for a, b, text_a, text_b in rows:
@@ -190,6 +192,113 @@ def confirm(pairs: DataFrame, texts: DataFrame, threshold_pct: int, size: int =
     return both.mapInArrow(run, "a bigint, b bigint, common bigint, total bigint")
 
 
+#: Members of a bucket that meet in one task.
+BLOCK = 2048
+_EVEN = np.uint64(0x5555555555555555)
+
+
+def _blocks_of(rest: DataFrame) -> DataFrame:
+    """Rows of open buckets, once for each pair of blocks they take part in: mode, i and j name it.
+
+    In mode 0 a block i of members outside the main component meets a block j of the main one, in mode 1 blocks i <= j
+    of outside members meet. With few outside members that is one row per member.
+    """
+    out = F.col("part") != F.col("main")
+    sizes = rest.groupBy(F.col("key").alias("_key")).agg(F.count_if(out).alias("_out"), F.count_if(~out).alias("_in"))
+    sizes = sizes.select("_key", F.ceil(F.col("_out") / BLOCK).cast("int").alias("_out"), F.ceil(F.col("_in") / BLOCK).cast("int").alias("_in"))
+    rows = rest.join(sizes, F.col("key") == F.col("_key")).withColumn("outside", out)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.greatest(F.when(out, F.col("_out")).otherwise(F.col("_in")), F.lit(1))).cast("int"))
+    meet = F.expr(
+        "CASE WHEN outside THEN concat("
+        " transform(sequence(0, greatest(_in, 1) - 1), j -> named_struct('mode', 0, 'i', own, 'j', j)),"
+        " transform(sequence(0, _out - 1), j -> named_struct('mode', 1, 'i', least(own, j), 'j', greatest(own, j))))"
+        " ELSE transform(sequence(0, _out - 1), i -> named_struct('mode', 0, 'i', i, 'j', own)) END"
+    )
+    return rows.withColumn("meet", F.explode(meet)).select("key", "meet.mode", "meet.i", "meet.j", "doc_id", "part", "outside", "own", "signature", "bands")
+
+
+def _candidates(rows: pd.DataFrame, hashes: int, cut: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(place of a member, places of its candidates) in one pair of blocks.
+
+    Candidates belong to another component, have at least ``cut`` equal lanes, and share no earlier band (there the
+    pair is looked at in that bucket).
+    """
+    signature = np.stack(rows["signature"].to_list()).astype(np.int64).view(np.uint64)
+    bands = np.stack(rows["bands"].to_list()).astype(np.int64)
+    part, outside, own = rows["part"].to_numpy(), rows["outside"].to_numpy(bool), rows["own"].to_numpy()
+    key, mode, i, j = (rows[c].iloc[0] for c in ("key", "mode", "i", "j"))
+    band = int(np.flatnonzero(bands[0] == key)[0])
+    if mode == 0:
+        left, right = np.flatnonzero(outside), np.flatnonzero(~outside)
+    else:
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    for q in left.tolist():
+        others = right[right > q] if mode == 1 and i == j else right
+        others = others[part[others] != part[q]]
+        x = signature[others] ^ signature[q]
+        unequal = np.bitwise_count((x | (x >> np.uint64(1))) & _EVEN).sum(axis=1, dtype=np.int64)
+        others = others[hashes - unequal >= cut]
+        if len(others):
+            others = others[(bands[others] == bands[q]).argmax(axis=1) == band]
+        if len(others):
+            yield q, others
+
+
+def settle_open(rest: DataFrame, texts: DataFrame, threshold_pct: int, size: int, hashes: int, cut: int) -> DataFrame:
+    """Links (a, b) that connect components of the open buckets' members; every candidate pair is decided."""
+    group = ["key", "mode", "i", "j"]
+    shape = "key bigint, mode int, i int, j int, doc_id bigint, part bigint, outside boolean, own int, signature array<bigint>, bands array<bigint>"
+
+    def involved(rows: pd.DataFrame) -> pd.DataFrame:
+        seen = np.zeros(len(rows), bool)
+        for q, others in _candidates(rows, hashes, cut):
+            seen[q] = True
+            seen[others] = True
+        return rows[seen]
+
+    def decide(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("doc_id").reset_index(drop=True)
+        raw = [t.encode("utf-8", "surrogatepass").lower() for t in rows["text"]]
+        sets = [shingle_set(h[a:b], size) for block in words.blocks(raw) for h in [block.hashes()] for a, b in zip(block.first[:-1], block.first[1:])]
+        sizes = np.array([len(x) for x in sets])
+        parent = {p: p for p in rows["part"]}
+        part, ids = rows["part"].tolist(), rows["doc_id"].tolist()
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        links = []
+        for q, others in _candidates(rows, hashes, cut):
+            mine = root(part[q])
+            others = np.array([o for o in others.tolist() if root(part[o]) != mine], np.int64)
+            low = np.minimum(sizes[others], sizes[q])
+            others = others[100 * low >= threshold_pct * np.maximum(sizes[others], sizes[q])]
+            if not len(others):
+                continue
+            flat = np.concatenate([sets[o] for o in others])
+            place = np.searchsorted(sets[q], flat)
+            place[place == sizes[q]] = 0
+            common = np.add.reduceat(sets[q][place] == flat, np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+            linked = others[100 * common >= threshold_pct * (sizes[others] + sizes[q] - common)]
+            for o in linked.tolist():
+                p, r = sorted((root(part[q]), root(part[o])))
+                if p != r:
+                    parent[r] = p
+                    links.append((min(ids[q], ids[o]), max(ids[q], ids[o])))
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+
+    # One task per pair of blocks, on signatures alone; only members with a candidate go on to their texts.
+    few = _blocks_of(rest).groupBy(*group).applyInPandas(involved, shape)
+    few = materialise(few, "near-involved")
+    wanted = materialise(few.select(F.col("doc_id").alias("_id")).distinct(), "near-wanted")
+    there = texts.join(wanted, texts["doc_id"] == wanted["_id"]).select("_id", "text")
+    full = few.join(there, F.col("doc_id") == F.col("_id")).drop("_id")
+    return full.groupBy(*group).applyInPandas(decide, "a bigint, b bigint")
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -254,15 +363,10 @@ def near_duplicates(
         .agg(F.max_by("part", F.struct("size", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
         .filter("parts > 1")
     )
-    rest = signed(many.join(open_keys, F.col("key") == F.col("_key")), "doc_id", "sa").select("key", "doc_id", "part", "main", "sa")
+    rest = many.join(open_keys, F.col("key") == F.col("_key")).select("key", "doc_id", "part", "main")
+    rest = rest.join(reps.select(F.col("doc_id").alias("_id"), "signature", "bands"), F.col("doc_id") == F.col("_id")).drop("_id")
     rest = materialise(rest, "near-open")
-    outside = rest.filter("part <> main").select("key", F.col("doc_id").alias("q"), F.col("part").alias("q_part"), F.col("sa").alias("sb"))
-    pair = (F.col("part") != F.col("q_part")) & (lanes >= cut) & ((F.col("part") == F.col("main")) | (F.col("doc_id") < F.col("q")))
-    late = rest.join(outside, (rest["key"] == outside["key"]) & pair).select(
-        F.least("doc_id", "q").alias("a"), F.greatest("doc_id", "q").alias("b")
-    )
-    late = materialise(late.distinct().join(tried, ["a", "b"], "left_anti"), "near-late")
-    more = confirm(late, base.select(F.col("doc_id").cast("bigint"), "text"), threshold_pct, size)
+    more = settle_open(rest, base.select(F.col("doc_id").cast("bigint"), "text"), threshold_pct, size, hashes, cut)
     # Components so far are edges of a forest of stars; the late links join some of them.
     stars = found.select(F.col("node").alias("a"), F.col("component").alias("b")).filter("a <> b")
     final = connected_components(stars.unionByName(more.select("a", "b")), "near-parts")
