@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lossgrid.llm import words
-from lossgrid.llm.arrow import batch, id_and_text, schema_with, utf8
+from lossgrid.llm.arrow import batch, id_and_text, schema_with, small, utf8
 
 THRESHOLD_PCT = 80
 
@@ -183,7 +183,7 @@ def scan(
         nothing = (0, "", None, None, None, "")
         names = ("n_matches", "licenses", "best_license", "best_common", "best_total", "spans")
         kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
-        for part in batches:
+        for part in small(batches):
             rows: list[tuple] = []
             for block in words.blocks([t.translate(PLAIN) for t in utf8(part.column(1))]):
                 pairs = words.ngram_hashes(block.hashes(), 2)

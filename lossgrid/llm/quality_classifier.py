@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lossgrid.llm import words
-from lossgrid.llm.arrow import batch, id_and_text, lists, schema_with, utf8
+from lossgrid.llm.arrow import batch, id_and_text, lists, schema_with, small, utf8
 
 BITS = 20
 SAMPLE = 20_000
@@ -169,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, id_col: s
     rows = base.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "grade")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in small(batches):
             for span, index, offsets in features(utf8(part.column(1))):
                 low, n = span.start, len(span)
                 yield batch(
@@ -197,7 +197,7 @@ def grade(docs: DataFrame, model: OrdinalModel, *, keep_from: int = KEEP_FROM, i
     base = id_and_text(docs, id_col=id_col, text_col=text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in small(batches):
             for span, expected, tail in _grades(model, utf8(part.column(1)), keep_from):
                 yield batch(
                     {
@@ -223,7 +223,7 @@ def drop_poor(docs: DataFrame, labels: DataFrame, *, keep_from: int = KEEP_FROM,
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in small(batches, place):
             if part.num_rows:
                 kept = [tail >= 0.5 for _, _, tail in _grades(model, utf8(part.column(place)), keep_from)]
                 yield part.filter(pa.array(np.concatenate(kept)))

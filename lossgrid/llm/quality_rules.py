@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lossgrid.llm import words
-from lossgrid.llm.arrow import batch, schema_with, utf8
+from lossgrid.llm.arrow import batch, schema_with, small, utf8
 from lossgrid.session import materialise
 
 COMMON_SHARE = 500
@@ -139,7 +139,7 @@ def _counts(base: DataFrame) -> DataFrame:
                     }
                 )
 
-        for part in batches:
+        for part in small(batches):
             langs = part.column(2).to_pylist()
             for block in words.blocks(utf8(part.column(1))):
                 hashes, of_class = block.hashes(), class_counts(block)
@@ -211,7 +211,7 @@ def judge(
     known = references(base)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in small(batches):
             langs = part.column(2).to_pylist()
             for block in words.blocks(utf8(part.column(1))):
                 hashes = block.hashes()

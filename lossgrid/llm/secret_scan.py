@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lossgrid.llm import words
-from lossgrid.llm.arrow import batch, id_and_text, schema_with, utf8
+from lossgrid.llm.arrow import batch, id_and_text, schema_with, small, utf8
 from lossgrid.session import materialise
 
 SAMPLE = 600
@@ -330,7 +330,7 @@ def train(base: DataFrame, *, sample: int = SAMPLE) -> Field:
     """Fit on one window from each of at most ``sample`` texts with, and as many without, a pattern match."""
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in small(batches):
             found = [bool(pattern_spans(t or "")) for t in part.column(1).to_pylist()]
             yield batch({"doc_id": part.column(0), "found": pa.array(found, pa.bool_())})
 
@@ -345,7 +345,7 @@ def train(base: DataFrame, *, sample: int = SAMPLE) -> Field:
     chosen = F.broadcast(chosen.select(F.col("doc_id").alias("_id")))  # at most 2 * sample rows
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in small(batches):
             texts = part.column(1).to_pylist()
             rows: list[tuple] = []
             for block in words.blocks([t.encode() for t in texts]):
@@ -395,7 +395,7 @@ def scan(docs: DataFrame, model: Field | None = None, *, id_col: str = "doc_id",
         return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in small(batches):
             texts = part.column(1).to_pylist()
             rows: list[tuple] = []
             for block in words.blocks(utf8(part.column(1))):

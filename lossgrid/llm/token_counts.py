@@ -19,7 +19,7 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lossgrid.llm.arrow import batch, id_and_text, schema_with
+from lossgrid.llm.arrow import batch, id_and_text, schema_with, small
 
 MARK = "▁"
 REMEMBERED = 400_000
@@ -147,7 +147,7 @@ def count_tokens(docs: DataFrame, model_file: str, *, limit: int = 4096, id_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PieceCounter(model_file)
-        for part in batches:
+        for part in small(batches):
             texts = part.column(1).to_pylist()
             tokens = [counter.count(t) for t in texts]
             sizes = [len(t.encode("utf-8", "surrogatepass")) for t in texts]

@@ -15,7 +15,7 @@ import xxhash
 
 from lossgrid.llm.arrow import spans_by_size
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 LONG_WORD = 1 << 16
 
 IS_SPACE = np.zeros(256, bool)
@@ -75,7 +75,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
             out[at] = xxhash.xxh64_intdigest(data[low : int(ends[at])].tobytes())
             at += 1
             continue
-        to = int(np.searchsorted(ends, low + BLOCK_BYTES + LONG_WORD, "right"))
+        to = int(np.searchsorted(ends, low + 4 * BLOCK_BYTES, "right"))
         to = max(at + 1, to)
         long = np.flatnonzero(ends[at:to] - starts[at:to] > LONG_WORD)
         if len(long):
