@@ -35,12 +35,11 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and whether they decode to its bytes again.
 
-    The id column carries what identifies a row, so that rows repeated by the mix stay apart from nothing: equal
-    rows have equal ids.
+    The id column carries along what the result needs of a row; rows repeated by the mix stay repeated.
     """
     path = public_tokenizers.path(VOCABULARY)
     keyed = docs.select(F.struct("doc_id", "source", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha")).alias("doc_id"), "text")
-    decoded = bpe_codec.decode(bpe_codec.encode(keyed, path, public_tokenizers.PATTERN), path, public_tokenizers.PATTERN)
+    decoded = bpe_codec.round_trip(keyed, path, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id.doc_id",
         "doc_id.source",
