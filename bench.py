@@ -54,7 +54,11 @@ HEADLINE = (
     "lgd_distribution",
     "return_var_es",
     "train_logistic",
+    "fit_pipeline",
+    "score_pd",
     "calibrate_isotonic",
+    "calibrate_platt",
+    "pd_calibration",
     "write_results",
 )
 
