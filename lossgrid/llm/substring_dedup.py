@@ -15,6 +15,11 @@ start earlier (in a document with a smaller id, or further ahead in the same one
 5. Covered words are cut out of each document.
 
 What a shard receives about a passage found in a third of all rows is one entry per task.
+
+Heavy anchors. A short line in a third of all rows, each with its own words around it, makes one different passage per
+row at the same anchor. Anchors of more than ``HEAVY_PLACES`` places (and of more than 1 / ``HEAVY_SLOTS`` of all, so
+that by counting fewer than HEAVY_SLOTS are listed) are therefore cut finer: step 2 runs again over their phrases, by
+the hash of all ``window`` words, and only phrases that recur are read as passages of one phrase and routed by that hash.
 """
 
 from __future__ import annotations
@@ -38,6 +43,9 @@ GRAM = 6
 FLUSH_RUNS = 1 << 20
 #: Passages per shard that the automata are laid out for.
 SHARD_PASSAGES = 1 << 14
+#: An anchor with more places than both is cut into its phrases: a number, and a share of all places.
+HEAVY_PLACES = 1 << 11
+HEAVY_SLOTS = 1 << 18
 
 
 def anchored_runs(hashes: np.ndarray, first: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, ...]:
@@ -96,9 +104,24 @@ def _sequences(base: DataFrame) -> DataFrame:
     return base.mapInArrow(run, "doc_id bigint, owner bigint, n_words bigint")
 
 
-def recurring_runs(base: DataFrame, window: int, shard_bits: int) -> DataFrame:
-    """(owner, start) of the runs whose anchor occurs at two different places of two sequences or of one."""
+def heavy_phrases(hashes: np.ndarray, first: np.ndarray, heavy: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """(text, first word, hash of the phrase) of every phrase whose anchor is listed in ``heavy``."""
+    text, start, sizes, anchor = anchored_runs(hashes, first, window)
+    mine = np.isin(anchor, heavy)
+    text, start, sizes = text[mine], start[mine], sizes[mine]
+    step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    text, start = np.repeat(text, sizes), np.repeat(start, sizes) + step
+    return text, start, words.ngram_hashes(hashes, window)[first[text] + start] if len(text) else np.empty(0, np.uint64)
+
+
+def recurring_runs(base: DataFrame, window: int, shard_bits: int, heavy: np.ndarray | None = None) -> DataFrame:
+    """(owner, start) of the runs whose anchor occurs at two different places of two sequences or of one.
+
+    Rows with ``places`` are no runs: they name (as owner) an anchor of more than HEAVY_PLACES places and count these.
+    With ``heavy``, a list of anchors, the same of the phrases with these anchors, by their hash instead of the anchor.
+    """
     key_bits = np.uint64(64 - shard_bits)
+    at_least = HEAVY_PLACES
 
     def pack(anchors: np.ndarray, owners: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((starts, owners, anchors))
@@ -111,13 +134,20 @@ def recurring_runs(base: DataFrame, window: int, shard_bits: int) -> DataFrame:
         # An anchor seen at several places here is sent once; its places are known to recur.
         send = head | many
         flags = np.where(many, np.where(head, 1, 2), 0).astype(np.uint8)
-        shards = (anchors >> key_bits).astype(np.int32)
+        # The others need no company and are dealt by owner: an anchor found everywhere is one entry of its shard.
+        shards = (np.where(flags < 2, anchors, owners) >> key_bits).astype(np.int32)
+        counts = np.repeat(places, places)
+        order = np.argsort(shards, kind="stable")
+        shards, anchors, owners, starts, send, flags, counts = (
+            x[order] for x in (shards, anchors, owners, starts, send, flags, counts)
+        )
         cuts = np.append(np.flatnonzero(np.append(True, shards[1:] != shards[:-1])), len(shards))
-        rows: dict[str, list] = {"shard": [], "anchors": [], "owners": [], "starts": [], "flags": []}
+        rows: dict[str, list] = {"shard": [], "anchors": [], "counts": [], "owners": [], "starts": [], "flags": []}
         for a, b in zip(cuts[:-1], cuts[1:]):
             rows["shard"].append(int(shards[a]))
             own = send[a:b]
             rows["anchors"].append(anchors[a:b][flags[a:b] < 2].tobytes())
+            rows["counts"].append(counts[a:b][flags[a:b] < 2].astype(np.uint32).tobytes())
             rows["owners"].append(owners[a:b][own].tobytes())
             rows["starts"].append(starts[a:b][own].astype(np.uint32).tobytes())
             rows["flags"].append(flags[a:b][own].tobytes())
@@ -129,7 +159,10 @@ def recurring_runs(base: DataFrame, window: int, shard_bits: int) -> DataFrame:
         for part in small(batches):
             for block in words.blocks(utf8(part.column(1))):
                 hashes = block.hashes()
-                text, start, _, anchor = anchored_runs(hashes, block.first, window)
+                if heavy is None:
+                    text, start, _, anchor = anchored_runs(hashes, block.first, window)
+                else:
+                    text, start, anchor = heavy_phrases(hashes, block.first, heavy, window)
                 if len(text):
                     held.append((anchor, sequence_hash(hashes, block.first)[text], start))
                 if sum(len(x[0]) for x in held) >= FLUSH_RUNS:
@@ -148,6 +181,7 @@ def recurring_runs(base: DataFrame, window: int, shard_bits: int) -> DataFrame:
         own, at = owners[sent], starts[sent]
         order = np.lexsort((at, own, anchors))
         a, o, s, k = anchors[order], own[order], at[order], known[order]
+        counts = np.frombuffer(b"".join(packed["counts"]), np.uint32)[order]
         head = np.append(True, a[1:] != a[:-1]) if len(a) else np.empty(0, bool)
         group = np.cumsum(head) - 1
         other = np.append(False, (a[1:] == a[:-1]) & ((o[1:] != o[:-1]) | (s[1:] != s[:-1]))) if len(a) else head
@@ -155,17 +189,25 @@ def recurring_runs(base: DataFrame, window: int, shard_bits: int) -> DataFrame:
         found = recurs[group] if len(a) else head
         owner = np.concatenate([o[found], owners[~sent]])
         start = np.concatenate([s[found], starts[~sent]])
-        return pd.DataFrame({"owner": owner.view(np.int64), "start": start.astype(np.int32)})
+        places = np.bincount(group, counts).astype(np.int64) if len(a) else np.empty(0, np.int64)
+        many = np.flatnonzero(places > at_least)
+        none = pd.array([pd.NA] * len(owner), "Int64")
+        runs = pd.DataFrame({"owner": owner.view(np.int64), "start": start.astype(np.int32), "places": none})
+        listed = pd.DataFrame({"owner": a[head][many].view(np.int64), "start": np.full(len(many), -1, np.int32), "places": pd.array(places[many], "Int64")})
+        return pd.concat([runs, listed])
 
-    schema = "shard int, anchors binary, owners binary, starts binary, flags binary"
-    return base.mapInArrow(build, schema).groupBy("shard").applyInPandas(settle, "owner bigint, start int")
+    schema = "shard int, anchors binary, counts binary, owners binary, starts binary, flags binary"
+    return base.mapInArrow(build, schema).groupBy("shard").applyInPandas(settle, "owner bigint, start int, places bigint")
 
 
 PASSAGE_SCHEMA = "shard int, anchor bigint, passage binary, doc_id bigint, start int, phrases int, settled boolean"
 
 
-def passages(texts: DataFrame, window: int, shards: int) -> DataFrame:
-    """Passages around recurring runs of (doc_id, text, starts) rows, once per task; further copies as settled rows."""
+def passages(texts: DataFrame, window: int, shards: int, heavy: np.ndarray) -> DataFrame:
+    """Passages around recurring runs of (doc_id, text, starts, phrases) rows, once per task; further copies as settled rows.
+
+    Runs with an anchor in ``heavy`` are left out; ``phrases`` lists the first words of their phrases that recur.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first: dict[tuple[int, bytes], tuple[int, int, int]] = {}
@@ -190,21 +232,25 @@ def passages(texts: DataFrame, window: int, shards: int) -> DataFrame:
             )
 
         for part in small(batches):
-            ids, wanted = part.column(0).to_pylist(), part.column(2).to_pylist()
+            ids, wanted, singles = (part.column(c).to_pylist() for c in (0, 2, 3))
             for block in words.blocks(utf8(part.column(1))):
-                text, start, sizes, anchor = anchored_runs(block.hashes(), block.first, window)
+                hashes = block.hashes()
+                text, start, sizes, anchor = anchored_runs(hashes, block.first, window)
+                by_anchor = ~np.isin(anchor, heavy)
+                whole = words.ngram_hashes(hashes, window) if len(heavy) else hashes
                 low = np.searchsorted(text, np.arange(len(block.docs) + 1))
                 raw = block.data.tobytes()
                 for i, doc in enumerate(block.docs):
                     mine = slice(int(low[i]), int(low[i + 1]))
-                    chosen = np.flatnonzero(np.isin(start[mine], np.asarray(wanted[doc], np.int64))) + mine.start
+                    chosen = np.flatnonzero(np.isin(start[mine], np.asarray(wanted[doc] or (), np.int64)) & by_anchor[mine]) + mine.start
                     base = int(block.first[i])
-                    for r in chosen.tolist():
-                        s, n = int(start[r]), int(sizes[r])
+                    found = [(int(anchor[r]), int(start[r]), int(sizes[r])) for r in chosen.tolist()]
+                    found += [(int(whole[base + s]), s, 1) for s in singles[doc] or ()]
+                    for of, s, n in found:
                         a, b = base + s, base + s + n + window - 1
                         # Words joined by one space, whatever stands between them in the text.
                         passage = b" ".join(raw[block.starts[a] : block.ends[b - 1]].split())
-                        key, place = (int(anchor[r]), passage), (ids[doc], s, n)
+                        key, place = (of, passage), (ids[doc], s, n)
                         before = first.get(key)
                         if before is None:
                             first[key] = place
@@ -293,11 +339,20 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_
     copies = long.join(owners.select(F.col("owner").alias("_o"), F.col("n_words").alias("_n"), "rep"), (F.col("owner") == F.col("_o")) & (F.col("n_words") == F.col("_n")))
     copies = copies.filter("doc_id <> rep").select("doc_id", F.lit(0).cast("bigint").alias("start"), (F.col("n_words") - (window - 1)).alias("phrases"))
 
-    runs = materialise(recurring_runs(base, window, shard_bits), "repeat-runs")
-    shards = max(1, runs.count() // SHARD_PASSAGES)
-    by_doc = runs.join(owners.select("owner", "rep"), "owner").groupBy("rep").agg(F.collect_set("start").alias("starts"))
-    texts = base.join(by_doc, F.col("doc_id") == F.col("rep")).select("doc_id", "text", "starts")
-    covers = _covers(passages(texts, window, shards), window).unionByName(copies.distinct())
+    found = materialise(recurring_runs(base, window, shard_bits), "repeat-runs")
+    runs = found.filter("places IS NULL").select("owner", "start", F.lit(False).alias("single"))
+    total = runs.count()
+    limit = max(HEAVY_PLACES, total // HEAVY_SLOTS)  # fewer than HEAVY_SLOTS anchors have more than that share
+    listed = found.filter(F.col("places") > limit).select("owner").toArrow().column(0).to_numpy().astype(np.int64)
+    heavy = np.unique(listed).view(np.uint64)
+    if len(heavy):
+        phrases = materialise(recurring_runs(base, window, shard_bits, heavy), "repeat-phrases").filter("places IS NULL")
+        runs = runs.unionByName(phrases.select("owner", "start", F.lit(True).alias("single")))
+    shards = max(1, total // SHARD_PASSAGES)
+    starts = [F.collect_set(F.when(F.col("single") == one, F.col("start"))).alias(n) for n, one in (("starts", False), ("phrases", True))]
+    by_doc = runs.join(owners.select("owner", "rep"), "owner").groupBy("rep").agg(*starts)
+    texts = base.join(by_doc, F.col("doc_id") == F.col("rep")).select("doc_id", "text", "starts", "phrases")
+    covers = _covers(passages(texts, window, shards, heavy), window).unionByName(copies.distinct())
     spans = covers.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("start", "phrases")).alias("covers"))
     spans = spans.select("_id", F.col("covers.start").alias("at"), F.col("covers.phrases").alias("phrases"))
     spans = materialise(spans, "repeat-covers")

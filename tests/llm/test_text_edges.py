@@ -146,6 +146,27 @@ def test_repeats_among_near_copies(spark):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in found} == reference.without_repeats(rows)
 
 
+def test_short_line_in_a_third_of_all_rows(spark, monkeypatch):
+    """A line of 12 words with other words around it in each row: its variants do not meet in one task."""
+    r = random.Random(7)
+    line = [f"footer{i}" for i in range(12)]
+    fresh = lambda n: [f"u{r.randrange(10**9)}" for _ in range(n)]
+    around = [(fresh(15), fresh(15)) for _ in range(20)]
+    rows = []
+    for i in range(900):
+        a, b = around[i % 20] if i % 15 == 0 else (fresh(15), fresh(15))
+        rows.append((i, " ".join(fresh(10) + a + (line if i % 3 == 0 else fresh(12)) + b)))
+    monkeypatch.setattr(substring_dedup, "HEAVY_PLACES", 50, raising=False)
+    seen, covers = [], substring_dedup._covers
+    monkeypatch.setattr(substring_dedup, "_covers", lambda found, window: seen.append(found) or covers(found, window))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found = substring_dedup.remove_repeats(docs).collect()
+    assert {x.doc_id: (x.n_words, x.n_removed, x.kept_text) for x in found} == reference.without_repeats(rows)
+    assert sum(x.n_removed for x in found) > 0
+    largest = seen[0].filter("NOT settled").groupBy("anchor").count().agg(F.max("count")).first()[0]
+    assert largest <= 50
+
+
 def test_no_python_in_the_mix(edge):
     plan = source_mix.mix(edge)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
