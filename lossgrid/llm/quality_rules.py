@@ -1,9 +1,11 @@
 """Quality rules: repetition counts, and divergence from the language's own distributions.
 
 Reference histograms come from the corpus itself, over all documents: per language the shares of character classes
-and of its common words (those that make up at least 1 / ``COMMON_SHARE`` of its words). Languages with less than
-1 / ``LANGUAGE_SHARE`` of all words, and NULL, use the histograms of the whole corpus. Both lists are bounded by
-counting, fewer than LANGUAGE_SHARE languages with fewer than COMMON_SHARE words each, so they travel with the tasks.
+and of its common words (those that make up at least 1 / ``COMMON_SHARE`` of its words). Those of languages with more than
+1 / ``LANGUAGE_SHARE`` of all words travel with the tasks: by counting they are fewer than LANGUAGE_SHARE with at most
+COMMON_SHARE words each. Documents of the other languages, which may be any number, are joined by language to a table of
+theirs. A language (NULL counts as one) with neither that share nor ``MIN_REFERENCE_WORDS`` words has no reference: its
+documents get no distances and are not judged by divergence.
 
 A document fails when the Jensen-Shannon distance (the root of the divergence in bits, 0 to 1) of its character
 classes or of its common words from the reference exceeds a limit. Documents below the minimum length are not judged
@@ -26,6 +28,7 @@ from lossgrid.session import materialise
 
 COMMON_SHARE = 500
 LANGUAGE_SHARE = 100
+MIN_REFERENCE_WORDS = 10_000
 MIN_BASE_WORDS = 50
 MIN_WORDS = 100
 MAX_CLASS_DISTANCE = 0.3
@@ -156,35 +159,50 @@ def _counts(base: DataFrame) -> DataFrame:
     return base.mapInArrow(run, "lang string, kind int, key bigint, n bigint")
 
 
-def references(base: DataFrame) -> dict[str | None, Reference]:
-    """References of the larger languages; under None that of the whole corpus."""
+def _reference(classes: np.ndarray, keys: np.ndarray, counts: np.ndarray, total: int) -> Reference:
+    common_words = keys.astype(np.int64).view(np.uint64)
+    order = np.argsort(common_words)
+    counts_of = counts[order].astype(np.float64)
+    shares = np.append(counts_of / max(total, 1), max(0.0, 1 - counts_of.sum() / max(total, 1)))
+    return Reference(classes / max(classes.sum(), 1), common_words[order], shares)
+
+
+def references(base: DataFrame) -> tuple[dict[str, Reference], DataFrame]:
+    """References of the larger languages, and of the smaller ones a table (ref_lang, classes, keys, counts, total)."""
     counts = _counts(base).groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     counts = materialise(counts, "rule-counts")
-    totals = counts.filter("kind = 0").groupBy("lang").agg(F.sum("n").alias("total"))
+    totals = materialise(counts.filter("kind = 0").groupBy("lang").agg(F.sum("n").alias("total")), "rule-totals")
     everything = totals.agg(F.sum("total").alias("all")).first()["all"] or 0
-    larger = totals.filter(F.col("total") * LANGUAGE_SHARE > everything)  # fewer than LANGUAGE_SHARE rows
-    by_lang = counts.join(F.broadcast(larger), "lang")
-    pooled = counts.groupBy("kind", "key").agg(F.sum("n").alias("n")).select(
-        F.lit(None).cast("string").alias("lang"), "kind", "key", "n", F.lit(everything).alias("total")
-    )
-    common = by_lang.select("lang", "kind", "key", "n", "total").unionByName(pooled)
-    common = common.filter(f"kind = 1 OR n * {COMMON_SHARE} >= total")
-    found: dict[str | None, list[tuple[int, int, int, int]]] = {None: []}
-    for row in common.collect():
-        found.setdefault(row["lang"], []).append((row["kind"], row["key"], row["n"], row["total"]))
-    out = {}
-    for lang, rows in found.items():
-        classes = np.zeros(len(CLASSES))
-        for kind, key, n, _ in rows:
-            if kind == 1:
-                classes[key] = n
-        listed = sorted((np.int64(key).astype(np.uint64), n, total) for kind, key, n, total in rows if kind == 0)
-        common_words = np.array([k for k, _, _ in listed], np.uint64)
-        counts_of = np.array([n for _, n, _ in listed], np.float64)
-        total = listed[0][2] if listed else 1
-        shares = np.append(counts_of / total, max(0.0, 1 - counts_of.sum() / total))
-        out[lang] = Reference(classes / max(classes.sum(), 1), common_words, shares)
-    return out
+    large = F.col("total") * LANGUAGE_SHARE > everything
+
+    def listed(wanted: DataFrame) -> DataFrame:
+        own = counts.join(wanted, "lang").filter(f"kind = 1 OR n * {COMMON_SHARE} >= total")
+        word, of_class = F.col("kind") == 0, F.col("kind") == 1
+        return own.groupBy(F.col("lang").alias("ref_lang")).agg(
+            F.map_from_entries(F.collect_list(F.when(of_class, F.struct(F.col("key").cast("int"), "n")))).alias("by_class"),
+            F.collect_list(F.when(word, F.struct("key", "n"))).alias("common"),
+            F.max("total").alias("total"),
+        ).select(
+            "ref_lang",
+            F.array(*[F.coalesce(F.try_element_at("by_class", F.lit(c)), F.lit(0)) for c in range(len(CLASSES))]).alias("classes"),
+            F.col("common.key").alias("keys"),
+            F.col("common.n").alias("counts"),
+            "total",
+        )
+
+    larger = listed(F.broadcast(totals.filter(large)))  # fewer than LANGUAGE_SHARE rows
+    found = {
+        row["ref_lang"]: _reference(*(np.array(row[c], np.int64) for c in ("classes", "keys", "counts")), row["total"])
+        for row in larger.collect()
+    }
+    smaller = totals.filter(~large & (F.col("total") >= MIN_REFERENCE_WORDS))
+    return found, materialise(listed(smaller), "rule-references")
+
+
+EXTRA = (
+    "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
+    "base_failed boolean, kept boolean, class_distance double, word_distance double"
+)
 
 
 def judge(
@@ -201,18 +219,21 @@ def judge(
     class_distance, word_distance.
 
     NULL counts as '' and fails the base rules like every text of fewer than MIN_BASE_WORDS words. Texts below
-    ``min_words`` words are not judged by divergence (their distances are reported all the same). Equal texts of one
-    language get equal results.
+    ``min_words`` words are not judged by divergence (their distances are reported all the same). Distances are NULL
+    where the language has too few words for a reference. Equal texts of one language get equal results.
     """
     lang = F.coalesce(docs[f"`{lang_col}`"].cast("string"), F.lit(""))
     base = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), lang.alias("lang")
     )
-    known = references(base)
+    known, others = references(base)
+    shape = schema_with(base, ["doc_id"], EXTRA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in small(batches):
             langs = part.column(2).to_pylist()
+            joined = part.num_columns > 3
+            last: tuple = (None, None)
             for block in words.blocks(utf8(part.column(1))):
                 hashes = block.hashes()
                 n = block.counts()
@@ -222,7 +243,16 @@ def judge(
                 own = class_counts(block)
                 by_class, by_word = np.zeros(len(n)), np.zeros(len(n))
                 for i, doc in enumerate(block.docs):
-                    reference = known.get(langs[doc]) or known[None]
+                    reference = known.get(langs[doc])
+                    if joined and langs[doc] != last[0]:
+                        own_row = [part.column(c)[doc].as_py() for c in range(3, 7)]
+                        given = own_row[3] is not None
+                        last = langs[doc], _reference(*(np.array(x, np.int64) for x in own_row[:3]), own_row[3]) if given else None
+                    if joined:
+                        reference = last[1]
+                    if reference is None:
+                        by_class[i] = by_word[i] = np.nan
+                        continue
                     by_class[i] = js_distance(own[i], reference.classes)
                     mine = hashes[block.first[i] : block.first[i + 1]]
                     place = np.searchsorted(reference.common, mine)
@@ -242,13 +272,15 @@ def judge(
                         "n_repeat_words": pa.array(repeats),
                         "base_failed": pa.array(failed),
                         "kept": pa.array(~failed & ~far),
-                        "class_distance": pa.array(by_class),
-                        "word_distance": pa.array(by_word),
+                        "class_distance": pa.array(by_class, from_pandas=True),
+                        "word_distance": pa.array(by_word, from_pandas=True),
                     }
                 )
 
-    extra = (
-        "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
-        "base_failed boolean, kept boolean, class_distance double, word_distance double"
-    )
-    return base.mapInArrow(run, schema_with(base, ["doc_id"], extra))
+    # Languages without words count as small ones; theirs have no reference, and no text that could be judged.
+    small_lang = ~F.col("lang").isin(list(known))
+    apart = base.filter(small_lang)
+    if others.isEmpty():
+        return base.mapInArrow(run, shape)
+    apart = apart.join(others, F.col("lang") == F.col("ref_lang"), "left").drop("ref_lang")
+    return base.filter(~small_lang).mapInArrow(run, shape).unionByName(apart.mapInArrow(run, shape))

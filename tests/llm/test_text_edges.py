@@ -167,6 +167,20 @@ def test_short_line_in_a_third_of_all_rows(spark, monkeypatch):
     assert largest <= 50
 
 
+def test_small_languages_have_references_of_their_own(spark):
+    """Languages under a hundredth of all words: judged by their own words, or not by divergence if they have few."""
+    r = random.Random(8)
+    latin, thai = [f"w{i}" for i in range(300)], ["".join(chr(0x0E01 + r.randrange(40)) for _ in range(6)) for _ in range(300)]
+    rows = [(i, " ".join(r.choices(latin, k=3000)), "en") for i in range(400)]
+    rows += [(1000 + i, " ".join(r.choices(thai, k=550)), "th") for i in range(20)]
+    rows += [(2000, " ".join(r.choices(thai, k=200)), "lo"), (2001, " ".join(r.choices(latin, k=200)), "th"), (2002, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string").repartition(3)
+    found = {x.doc_id: x for x in quality_rules.judge(docs).collect()}
+    assert len(found) == len(rows) and all(found[i].kept for i in [*range(400), *range(1000, 1020)])
+    assert found[2000].kept and found[2000].class_distance is None and found[2000].word_distance is None
+    assert not found[2001].kept and found[2001].class_distance > 0.3
+
+
 def test_no_python_in_the_mix(edge):
     plan = source_mix.mix(edge)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
