@@ -185,15 +185,19 @@ def duplicate_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def drop_exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns: one row for each distinct text.
 
-    Copies go by an anti join on their ids. Of rows that repeat an id together with its text one stays, whichever
-    Spark meets first; rows that share an id but not the text are different documents, and each text keeps a row
-    unless another row of that id was dropped as a copy.
+    Copies go by an anti join on id and text hash, so rows that share an id (or have none) but not the text do not
+    touch each other. Of rows that repeat an id together with its text one stays, whichever Spark meets first.
     """
     marks = duplicate_groups(docs, id_col=id_col, text_col=text_col)
-    marks = materialise(marks.filter("group_size > 1").select("doc_id", "kept"), "exact-copies")
-    gone = marks.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    twice = marks.filter("kept").groupBy(F.col("doc_id").alias("_twice")).count().filter("count > 1").drop("count")
-    stays = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
-    same_id = stays[id_col].eqNullSafe(twice["_twice"])
-    once = stays.join(twice, same_id, "left_anti")
-    return once.unionByName(stays.join(twice, same_id, "left_semi").dropDuplicates([id_col, text_col]))
+    marks = materialise(marks.filter("group_size > 1").select("doc_id", "text_sha256", "kept"), "exact-copies")
+    key = [F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")]
+    gone = marks.filter("NOT kept").select(*key).distinct()
+    twice = marks.filter("kept").groupBy(*key).count().filter("count > 1").drop("count")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # no name can clash
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(row, F.col(f"`{id_col}`").alias("id"), F.sha2(text, 256).alias("sha"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha"))
+    stays = rows.join(gone, same, "left_anti")
+    once = stays.join(twice, same, "left_anti")
+    left = once.unionByName(stays.join(twice, same, "left_semi").dropDuplicates(["id", "sha"]))
+    return left.select(*[F.col(f"row.`{c}`") for c in docs.columns])

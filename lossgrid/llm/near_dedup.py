@@ -380,7 +380,20 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, *, threshold_pct: int = 80) -> DataFrame:
-    """The documents that stay, with all their columns: one of each group."""
-    gone = near_duplicates(docs, threshold_pct=threshold_pct).filter("NOT kept").select(F.col("doc_id").alias("_gone"))
-    gone = materialise(gone.distinct(), "near-gone")
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """The rows that stay, with all their columns: of each group the one with the smallest id, NULL last.
+
+    Rows are told apart by a key written with them, so NULL and repeated ids do not matter.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # no name can clash
+    rows = materialise(docs.select(row, F.monotonically_increasing_id().alias("key")), "near-rows")
+    keyed = rows.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text"))
+    found = near_duplicates(keyed, threshold_pct=threshold_pct).select(F.col("doc_id").alias("_key"), "component_id")
+    found = materialise(found, "near-groups")
+    groups = found.groupBy(F.col("component_id").alias("_group")).count().filter("count > 1").drop("count")
+    found = found.join(groups, F.col("component_id") == F.col("_group")).drop("_group")
+    members = rows.select(F.col("row.doc_id").alias("id"), "key").join(found, F.col("key") == F.col("_key")).drop("_key")
+    members = materialise(members.withColumn("rank", F.struct(F.col("id").isNull().alias("none"), "id", "key")), "near-members")
+    first = members.groupBy(F.col("component_id").alias("_group")).agg(F.min("rank").alias("first"))
+    gone = members.join(first, F.col("component_id") == F.col("_group")).filter("key <> first.key")
+    gone = materialise(gone.select(F.col("key").alias("_gone")), "near-gone")
+    return rows.join(gone, F.col("key") == F.col("_gone"), "left_anti").select(*[F.col(f"row.`{c}`") for c in docs.columns])

@@ -83,10 +83,18 @@ def mix(
     sources it lacks weigh 0; without it they weigh 1, 2, 3 in turn. A NULL source is a source; NULL and blank
     texts have size 0 and give 0. Rows alike in id and size are interchangeable.
     """
+    return _taken(docs, weights, seed, max_epochs, id_col, text_col, source_col, F.lit(0)).drop("key")
+
+
+def _taken(
+    docs: DataFrame, weights: DataFrame | None, seed: int, max_epochs: float, id_col: str, text_col: str, source_col: str, key: Column
+) -> DataFrame:
+    """What ``mix`` returns, and ``key``, which tells rows alike in id and size apart."""
     sized = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.col(f"`{source_col}`").cast("string").alias("source"),
         n_words(F.col(f"`{text_col}`")).alias("size"),
+        key.cast("bigint").alias("key"),
     ).withColumn("place", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))))
     sized = materialise(sized.withColumn("slice", F.substring("place", 1, SLICE_DIGITS)), "mix-sizes")
 
@@ -127,11 +135,12 @@ def mix(
     outside = joined.filter(~at_edge).withColumn("more", once_more)
     inside = joined.filter(at_edge)
     so_far = (
-        Window.partitionBy("source", "slice").orderBy("place", "size").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("source", "slice").orderBy("place", "size", "key").rowsBetween(Window.unboundedPreceding, -1)
     )
     left = F.col("extra") - F.col("edge_ahead") - F.coalesce(F.sum("size").over(so_far), F.lit(0))
     inside = inside.withColumn("more", F.least(F.greatest(left, F.lit(0)), F.col("size")))
     return outside.unionByName(inside).select(
+        "key",
         "doc_id",
         "source",
         "size",
@@ -150,12 +159,14 @@ def draw(docs: DataFrame, weights: DataFrame | None = None, *, seed: int = 42, m
     """The mixed corpus with the columns of ``docs``: each document as often as it is taken.
 
     Whole repetitions are equal rows; the part taken from a document at the edge of a source is a row with its
-    first words. Documents of which nothing is taken, those without words among them, are not in the mix. Ids are
-    taken to name one document each.
+    first words. Documents of which nothing is taken, those without words among them, are not in the mix. Shares belong
+    to rows, by a key written with them: rows may repeat an id or have none.
     """
-    shares = mix(docs, weights, seed=seed, max_epochs=max_epochs).filter("taken > 0").select("doc_id", "size", "taken")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # no name can clash
-    joined = rows.join(shares, F.col("row.doc_id").eqNullSafe(F.col("doc_id")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # no name can clash
+    rows = materialise(docs.select(row, F.monotonically_increasing_id().alias("_row")), "mix-rows")
+    keyed = rows.select(*[F.col(f"row.{c}").alias(c) for c in ("doc_id", "source", "text")], F.col("_row"))
+    shares = _taken(keyed, weights, seed, max_epochs, "doc_id", "text", "source", F.col("_row"))
+    joined = rows.join(shares.filter("taken > 0").select("key", "size", "taken"), F.col("_row") == F.col("key"))
     whole, part = F.floor(F.col("taken") / F.col("size")).cast("int"), F.col("taken") % F.col("size")
     takes = F.concat(F.array_repeat(F.col("size"), whole), F.array_repeat(part, F.when(part > 0, 1).otherwise(0)))
     each = joined.select("row", "size", F.explode(takes).alias("take"))
