@@ -87,7 +87,7 @@ def sequence_hash(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _sequences(base: DataFrame) -> DataFrame:
-    """doc_id, owner (hash of the word sequence), n_words."""
+    """doc_id, sub, owner (hash of the word sequence), n_words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in small(batches):
@@ -96,12 +96,13 @@ def _sequences(base: DataFrame) -> DataFrame:
                 yield batch(
                     {
                         "doc_id": part.column(0).slice(block.docs.start, len(block.docs)),
+                        "sub": part.column(2).slice(block.docs.start, len(block.docs)),
                         "owner": pa.array(owner.view(np.int64)),
                         "n_words": pa.array(block.counts(), pa.int64()),
                     }
                 )
 
-    return base.mapInArrow(run, "doc_id bigint, owner bigint, n_words bigint")
+    return base.mapInArrow(run, "doc_id bigint, sub bigint, owner bigint, n_words bigint")
 
 
 def heavy_phrases(hashes: np.ndarray, first: np.ndarray, heavy: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
@@ -200,24 +201,24 @@ def recurring_runs(base: DataFrame, window: int, shard_bits: int, heavy: np.ndar
     return base.mapInArrow(build, schema).groupBy("shard").applyInPandas(settle, "owner bigint, start int, places bigint")
 
 
-PASSAGE_SCHEMA = "shard int, anchor bigint, passage binary, doc_id bigint, start int, phrases int, settled boolean"
+PASSAGE_SCHEMA = "shard int, anchor bigint, passage binary, doc_id bigint, sub bigint, start int, phrases int, settled boolean"
 
 
 def passages(texts: DataFrame, window: int, shards: int, heavy: np.ndarray) -> DataFrame:
-    """Passages around recurring runs of (doc_id, text, starts, phrases) rows, once per task; further copies as settled rows.
+    """Passages around recurring runs of (doc_id, text, starts, phrases, sub) rows, once per task; further copies as settled rows.
 
     Runs with an anchor in ``heavy`` are left out; ``phrases`` lists the first words of their phrases that recur.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first: dict[tuple[int, bytes], tuple[int, int, int]] = {}
-        settled: list[tuple[int, int, int]] = []
+        first: dict[tuple[int, bytes], tuple[int, int, int, int]] = {}
+        settled: list[tuple[int, int, int, int]] = []
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             n, m = len(first), len(settled)
             anchors = np.array([a for a, _ in first], np.uint64)
-            places = np.array([*first.values(), *settled], np.int64).reshape(n + m, 3)
+            places = np.array([*first.values(), *settled], np.int64).reshape(n + m, 4)
             shard = np.concatenate([anchors % np.uint64(shards), np.arange(m, dtype=np.uint64) % np.uint64(shards)])
             yield batch(
                 {
@@ -225,14 +226,15 @@ def passages(texts: DataFrame, window: int, shards: int, heavy: np.ndarray) -> D
                     "anchor": pa.array(np.concatenate([anchors, np.zeros(m, np.uint64)]).view(np.int64)),
                     "passage": pa.array([p for _, p in first] + [None] * m, pa.binary()),
                     "doc_id": pa.array(places[:, 0]),
-                    "start": pa.array(places[:, 1].astype(np.int32)),
-                    "phrases": pa.array(places[:, 2].astype(np.int32)),
+                    "sub": pa.array(places[:, 1]),
+                    "start": pa.array(places[:, 2].astype(np.int32)),
+                    "phrases": pa.array(places[:, 3].astype(np.int32)),
                     "settled": pa.array([False] * n + [True] * m, pa.bool_()),
                 }
             )
 
         for part in small(batches):
-            ids, wanted, singles = (part.column(c).to_pylist() for c in (0, 2, 3))
+            ids, wanted, singles, subs = (part.column(c).to_pylist() for c in (0, 2, 3, 4))
             for block in words.blocks(utf8(part.column(1))):
                 hashes = block.hashes()
                 text, start, sizes, anchor = anchored_runs(hashes, block.first, window)
@@ -250,7 +252,7 @@ def passages(texts: DataFrame, window: int, shards: int, heavy: np.ndarray) -> D
                         a, b = base + s, base + s + n + window - 1
                         # Words joined by one space, whatever stands between them in the text.
                         passage = b" ".join(raw[block.starts[a] : block.ends[b - 1]].split())
-                        key, place = (of, passage), (ids[doc], s, n)
+                        key, place = (of, passage), (ids[doc], subs[doc], s, n)
                         before = first.get(key)
                         if before is None:
                             first[key] = place
@@ -258,7 +260,7 @@ def passages(texts: DataFrame, window: int, shards: int, heavy: np.ndarray) -> D
                         elif place != before:
                             first[key], later = min(before, place), max(before, place)
                             settled.append(later)
-                            held += 24
+                            held += 32
                 if held > 32 << 20:
                     yield from flush()
                     first, settled, held = {}, [], 0
@@ -268,13 +270,13 @@ def passages(texts: DataFrame, window: int, shards: int, heavy: np.ndarray) -> D
     return texts.mapInArrow(run, PASSAGE_SCHEMA)
 
 
-def covered_by_automaton(rows: list[tuple[int, bytes, int, int, int]], window: int) -> list[tuple[int, int, int]]:
-    """(doc_id, start, phrases) of the occurrences that are not the earliest.
+def covered_by_automaton(rows: list[tuple], window: int) -> list[tuple]:
+    """(doc, start, phrases) of the occurrences that are not the earliest.
 
-    ``rows`` are (anchor, passage, doc_id, start, phrases); rows of equal anchor and passage are copies.
+    ``rows`` are (anchor, passage, doc, start, phrases), a doc being (doc_id, sub); rows of equal anchor and passage are copies.
     """
-    out: list[tuple[int, int, int]] = []
-    first: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+    out: list[tuple] = []
+    first: dict[tuple[int, bytes], tuple] = {}
     for anchor, passage, doc, start, phrases in sorted(set(rows), key=lambda r: (r[2], r[3])):
         if (anchor, passage) in first:
             out.append((doc, start, phrases))  # a copy of an earlier passage
@@ -295,7 +297,7 @@ def covered_by_automaton(rows: list[tuple[int, bytes, int, int, int]], window: i
     if not len(automaton):
         return out
     automaton.make_automaton()
-    located: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    located: dict[int, list[tuple]] = defaultdict(list)
     for ids, (doc, start, _) in streams:
         for end, phrase in automaton.iter(ids):
             located[phrase].append((doc, start + end - window + 1))
@@ -310,12 +312,14 @@ def covered_by_automaton(rows: list[tuple[int, bytes, int, int, int]], window: i
 def _covers(found: DataFrame, window: int) -> DataFrame:
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         settled = rows["settled"].to_numpy(bool)
-        places = list(zip(*(rows.loc[settled, c].tolist() for c in ("doc_id", "start", "phrases"))))
-        open_rows = list(zip(*(rows.loc[~settled, c].tolist() for c in ("anchor", "passage", "doc_id", "start", "phrases"))))
-        places += covered_by_automaton(open_rows, window)
-        return pd.DataFrame(places, columns=["doc_id", "start", "phrases"]).astype("int64")
+        columns = ["doc_id", "sub", "start", "phrases"]
+        places = list(zip(*(rows.loc[settled, c].tolist() for c in columns)))
+        own = [rows.loc[~settled, c].tolist() for c in ("anchor", "passage", *columns)]
+        open_rows = list(zip(*own[:2], zip(*own[2:4]), *own[4:]))
+        places += [(*doc, start, phrases) for doc, start, phrases in covered_by_automaton(open_rows, window)]
+        return pd.DataFrame(places, columns=columns).astype("int64")
 
-    return found.groupBy("shard").applyInPandas(run, "doc_id bigint, start bigint, phrases bigint")
+    return found.groupBy("shard").applyInPandas(run, "doc_id bigint, sub bigint, start bigint, phrases bigint")
 
 
 def remove_repeats(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -323,38 +327,45 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_
 
     ``spans`` lists the removed stretches as (first word, number of words). Words are runs of non-space bytes and
     stay unchanged; NULL, empty and short texts lose nothing. Ids are whole numbers and name documents: rows that
-    repeat an id with its text are one document, do not count as copies of each other and get one result (a NULL id
-    counts as the smallest number).
+    repeat an id with its text are one document, do not count as copies of each other and get one result. Rows that
+    repeat an id with another text are documents of their own, ordered by the hash of the text. NULL is no name: each
+    such row is a document, ahead of all others.
     """
     base = id_and_text(docs, id_col=id_col, text_col=text_col)
-    base = base.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))))
+    base = base.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    # A document is (doc_id, sub): the hash of its text, or, without an id, a row number written with the row.
+    nameless = base.filter("doc_id IS NULL").select(F.lit(-(2**63)).alias("doc_id"), "text", F.monotonically_increasing_id().alias("sub"))
+    nameless = materialise(nameless, "repeat-no-id")
+    base = base.filter("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("sub")).unionByName(nameless)
     spark = docs.sparkSession
     partitions = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shard_bits = min(20, max(1, (partitions - 1).bit_length()))
 
     sequences = materialise(_sequences(base), "repeat-sequences")
     long = sequences.filter(F.col("n_words") >= window)
-    owners = long.groupBy("owner", "n_words").agg(F.min("doc_id").alias("rep"))
+    owners = long.groupBy("owner", "n_words").agg(F.min(F.struct("doc_id", "sub")).alias("rep"))
     owners = materialise(owners, "repeat-owners")
     copies = long.join(owners.select(F.col("owner").alias("_o"), F.col("n_words").alias("_n"), "rep"), (F.col("owner") == F.col("_o")) & (F.col("n_words") == F.col("_n")))
-    copies = copies.filter("doc_id <> rep").select("doc_id", F.lit(0).cast("bigint").alias("start"), (F.col("n_words") - (window - 1)).alias("phrases"))
+    copies = copies.filter("doc_id <> rep.doc_id OR sub <> rep.sub").select("doc_id", "sub", F.lit(0).cast("bigint").alias("start"), (F.col("n_words") - (window - 1)).alias("phrases"))
 
-    found = materialise(recurring_runs(base, window, shard_bits), "repeat-runs")
+    found = materialise(recurring_runs(base.select("doc_id", "text"), window, shard_bits), "repeat-runs")
     runs = found.filter("places IS NULL").select("owner", "start", F.lit(False).alias("single"))
     total = runs.count()
     limit = max(HEAVY_PLACES, total // HEAVY_SLOTS)  # fewer than HEAVY_SLOTS anchors have more than that share
     listed = found.filter(F.col("places") > limit).select("owner").toArrow().column(0).to_numpy().astype(np.int64)
     heavy = np.unique(listed).view(np.uint64)
     if len(heavy):
-        phrases = materialise(recurring_runs(base, window, shard_bits, heavy), "repeat-phrases").filter("places IS NULL")
+        phrases = materialise(recurring_runs(base.select("doc_id", "text"), window, shard_bits, heavy), "repeat-phrases").filter("places IS NULL")
         runs = runs.unionByName(phrases.select("owner", "start", F.lit(True).alias("single")))
     shards = max(1, total // SHARD_PASSAGES)
     starts = [F.collect_set(F.when(F.col("single") == one, F.col("start"))).alias(n) for n, one in (("starts", False), ("phrases", True))]
     by_doc = runs.join(owners.select("owner", "rep"), "owner").groupBy("rep").agg(*starts)
-    texts = base.join(by_doc, F.col("doc_id") == F.col("rep")).select("doc_id", "text", "starts", "phrases")
+    by_doc = by_doc.select(F.col("rep.doc_id").alias("_id"), F.col("rep.sub").alias("_sub"), "starts", "phrases")
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("sub") == F.col("_sub"))
+    texts = base.join(by_doc, same).select("doc_id", "text", "starts", "phrases", "sub")
     covers = _covers(passages(texts, window, shards, heavy), window).unionByName(copies.distinct())
-    spans = covers.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("start", "phrases")).alias("covers"))
-    spans = spans.select("_id", F.col("covers.start").alias("at"), F.col("covers.phrases").alias("phrases"))
+    spans = covers.groupBy(F.col("doc_id").alias("_id"), F.col("sub").alias("_sub")).agg(F.collect_list(F.struct("start", "phrases")).alias("covers"))
+    spans = spans.select("_id", "_sub", F.col("covers.start").alias("at"), F.col("covers.phrases").alias("phrases"))
     spans = materialise(spans, "repeat-covers")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,7 +400,7 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_
                     }
                 )
 
-    joined = base.join(spans, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "at", "phrases")
+    joined = base.join(spans, same, "left").select("doc_id", "text", "at", "phrases")
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, span_starts array<bigint>, span_words array<bigint>"
     result = joined.mapInArrow(cut, schema)
     own_id = F.when(F.col("doc_id") != F.lit(-(2**63)), F.col("doc_id"))

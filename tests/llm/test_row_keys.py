@@ -6,7 +6,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from lossgrid.llm import exact_dedup, near_dedup, source_mix
+from lossgrid.llm import exact_dedup, near_dedup, source_mix, substring_dedup
 from tests.llm import reference
 
 
@@ -32,3 +32,15 @@ def test_pipeline_stages_decide_per_row(spark, sf_dir):
     assert abs(sum(taken.values()) - sum(map(len, words.values()))) <= 2
     final = corpus_pipeline.token_ids(spark, mixed, sf_dir).collect()
     assert len(final) == mixed.count() and all(x.round_trip for x in final)
+
+
+def test_repeats_of_rows_without_an_id(spark):
+    r = random.Random(10)
+    a, b, c = ([f"v{r.randrange(10**6)}" for _ in range(n)] for n in (80, 90, 70))
+    rows = [(None, a), (None, b), (None, a), (5, c[:20] + a[30:60] + c[20:]), (5, b[::-1]), (6, a)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string").repartition(3)
+    found = Counter((x.doc_id, x.n_words, x.n_removed, x.kept_text) for x in substring_dedup.remove_repeats(docs).collect())
+    assert found == Counter([
+        (None, 80, 0, " ".join(a)), (None, 80, 80, ""), (None, 90, 0, " ".join(b)),
+        (5, 100, 30, " ".join(c)), (5, 90, 0, " ".join(b[::-1])), (6, 80, 80, ""),
+    ])
