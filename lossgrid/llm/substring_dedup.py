@@ -357,7 +357,7 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_
     if len(heavy):
         phrases = materialise(recurring_runs(base.select("doc_id", "text"), window, shard_bits, heavy), "repeat-phrases").filter("places IS NULL")
         runs = runs.unionByName(phrases.select("owner", "start", F.lit(True).alias("single")))
-    shards = max(1, total // SHARD_PASSAGES)
+    shards = max(1, (runs.count() if len(heavy) else total) // SHARD_PASSAGES)
     starts = [F.collect_set(F.when(F.col("single") == one, F.col("start"))).alias(n) for n, one in (("starts", False), ("phrases", True))]
     by_doc = runs.join(owners.select("owner", "rep"), "owner").groupBy("rep").agg(*starts)
     by_doc = by_doc.select(F.col("rep.doc_id").alias("_id"), F.col("rep.sub").alias("_sub"), "starts", "phrases")
