@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from lossgrid.llm import (
     bpe_codec,
     exact_dedup,
+    html_extraction,
+    importance_resampling,
     license_scan,
     near_dedup,
     quality_classifier,
@@ -23,6 +25,7 @@ from lossgrid.llm import (
     source_mix,
     substring_dedup,
     token_counts,
+    whitening,
 )
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -87,6 +90,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(documents(spark, sf_dir))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    # NULL where the exact value, which the operator keeps, is beyond a long.
+    return whitened.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_resampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 OP3_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
@@ -223,6 +241,43 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+# The given pages all declare their article, so SQL can cut it out by its element; the operator does not rely on that.
+OP11_SQL = r"""
+WITH parts AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS part FROM pages),
+texts AS (
+  SELECT page_id, url, trim(regexp_replace(regexp_replace(regexp_replace(part, '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM parts)
+SELECT page_id, url, text, length(text) AS n_chars FROM texts
+"""
+
+# crc32 by half bytes: the 16 remainders of the polynomial (fixed values), low half of each byte first.
+_CRC_SQL = """list_reduce(list_concat([4294967295], list_transform(range(1, length(hx) + 1),
+    lambda j: CAST(instr('123456789ABCDEF', hx[j + CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END]) AS BIGINT))),
+    lambda c, n: xor(c >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+      3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][(xor(c, n) & 15) + 1]))"""
+OP13_SQL = rf"""
+WITH texts AS (SELECT false AS wanted, doc_id, text FROM documents UNION ALL SELECT true, item_id, text FROM benchmark),
+w AS (
+  SELECT wanted, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts),
+features AS (
+  SELECT wanted, doc_id, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS feature FROM w),
+hashed AS (SELECT feature, xor({_CRC_SQL}, 4294967295) % 10000 AS bucket FROM (SELECT DISTINCT feature, hex(encode(feature)) AS hx FROM features)),
+counts AS (SELECT bucket, count(*) FILTER (WHERE NOT wanted) AS s, count(*) FILTER (WHERE wanted) AS t FROM features JOIN hashed USING (feature) GROUP BY bucket),
+totals AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM counts),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(s_all + 10000 AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST(t_all + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM counts, totals),
+sums AS (SELECT doc_id, sum(gain) AS gain, count(*) AS n FROM features JOIN hashed USING (feature) JOIN gain USING (bucket) WHERE NOT wanted GROUP BY doc_id),
+weighed AS (
+  SELECT w.doc_id, len(words) AS n_words, coalesce(n, 0) AS n_features, CASE WHEN n > 0 THEN CAST((gain - ((gain % n) + n) % n) // n AS BIGINT) ELSE 0 END AS weight,
+    CAST('0x' || substr(sha256('7:' || CAST(w.doc_id AS VARCHAR)), 1, 8) AS BIGINT) AS h
+  FROM w LEFT JOIN sums USING (doc_id) WHERE NOT wanted),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5e0) / 4294967296e0))) AS BIGINT) AS score FROM weighed),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * able // 100 THEN place END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
@@ -234,6 +289,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_codec": op8_bpe_codec,
     "op9_token_counts": op9_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_html_extraction": op11_html_extraction,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": OP2_SQL,
@@ -241,4 +299,6 @@ ORACLES: dict[str, str] = {
     "op4_near_dedup": OP4_SQL,
     "op5_quality_rules": OP5_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op11_html_extraction": OP11_SQL,
+    "op13_importance_resampling": OP13_SQL,
 }

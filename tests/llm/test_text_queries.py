@@ -33,7 +33,7 @@ def run(spark, sf_dir, name):
 def test_all_queries_are_registered():
     found = contract.queries()
     assert set(queries.QUERIES) <= set(found) and "pipeline" in found
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
