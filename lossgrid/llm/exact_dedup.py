@@ -4,12 +4,13 @@ Every task builds counting quotient filters of the 64-bit fingerprints of its te
 fingerprint space. A filter keeps, for each fingerprint, a quotient (implied by position: an occupancy bitmap and
 a run-end bitmap), a remainder (sorted inside its run) and a count, so nothing of the fingerprint is lost and
 filters of one shard merge into the exact multiset. Fingerprints counted more than once go on to byte
-verification; the texts of all others are known to be unique and are neither grouped nor moved for it.
+verification.
 
-Skew: a fingerprint held by a large share of the rows is one slot with a count. By counting, fewer than
-``HOT_SLOTS`` fingerprints can be held by more than rows / ``HOT_SLOTS`` rows each, so this list of hot
-fingerprints is broadcast (at most 8 MB of longs), and their texts collapse map-side in an aggregate over the full
-bytes. Groups of the other repeated fingerprints are smaller than that share and meet in one shuffle.
+Routing: the repeated fingerprints are marked in a bit table of bounded size that every task tests its rows against.
+Rows that are not marked are unique: their texts are not moved. The others (a few of them marked by chance) are grouped
+by their full bytes; copies collapse map-side, so each distinct text leaves a task once, however many rows hold it.
+Verdicts go back to the rows over narrow columns: those of large groups, fewer than ``HOT_SLOTS`` by counting, are
+broadcast, all others meet their rows in a shuffle of hashes and ids.
 """
 
 from __future__ import annotations
@@ -19,14 +20,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lossgrid.llm.arrow import batch, id_and_text
+from lossgrid.llm.arrow import id_and_text
+from lossgrid.llm.routing import BitTable, membership, with_maybe
 from lossgrid.session import materialise
 
 HOT_SLOTS = 1 << 18
+#: Groups up to this size always meet their verdict in a shuffle.
+HOT_ROWS = 32
 FLUSH_ROWS = 1 << 21
+#: Fingerprints of a shard, on average; one task merges a shard.
+SHARD_ROWS = 1 << 20
 
 
 # --- the filter -------------------------------------------------------------------------------------------
@@ -94,12 +100,12 @@ FILTER_SCHEMA = (
 def repeated_fingerprints(fingerprints: DataFrame, column: str, shard_bits: int | None = None) -> DataFrame:
     """(column, n) of every 64-bit value that occurs more than once; no cap, no loss.
 
-    ``shard_bits`` cuts the fingerprint space into 2 ** shard_bits shards, each merged by one task; by default
-    as many as the session has shuffle partitions, rounded up.
+    ``shard_bits`` cuts the fingerprint space into 2 ** shard_bits shards, each merged by one task; by default so
+    many that a shard has about ``SHARD_ROWS`` rows, and at least as many as there are shuffle partitions.
     """
     if shard_bits is None:
         partitions = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        shard_bits = min(20, max(1, (max(1, partitions) - 1).bit_length()))
+        shard_bits = max(1, (max(1, partitions, -(-fingerprints.count() // SHARD_ROWS)) - 1).bit_length())
     key_bits = 64 - shard_bits
 
     def rows(values: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -140,6 +146,13 @@ def repeated_fingerprints(fingerprints: DataFrame, column: str, shard_bits: int
 # --- deduplication ----------------------------------------------------------------------------------------
 
 
+def _repeat_table(texts: DataFrame) -> BitTable:
+    """The bit table of the fingerprints that occur more than once."""
+    keyed = texts.select(F.xxhash64("text").alias("fp"))
+    repeated = materialise(repeated_fingerprints(keyed, "fp"), "repeated-fingerprints")
+    return membership(repeated, "fp", "repeated-bits")
+
+
 def duplicate_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -148,56 +161,47 @@ def duplicate_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     each counts in ``group_size`` and all get the same verdict. An empty table gives no rows.
     """
     base = id_and_text(docs, id_col=id_col, text_col=text_col)
-    keyed = base.withColumn("fp", F.xxhash64("text"))
-    repeated = materialise(repeated_fingerprints(keyed, "fp"), "repeated-fingerprints")
-    share = docs.count() / HOT_SLOTS
-    # Fewer than HOT_SLOTS fingerprints can have more than this share of the rows.
-    hot = F.broadcast(repeated.filter(F.col("n") > share).select("fp", F.lit(True).alias("hot")))
-    marked = keyed.join(hot, "fp", "left")
-
-    hot_rows = marked.filter("hot").select("doc_id", "fp", "text")
-    classes = (
-        hot_rows.groupBy("fp", "text")
-        .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("fp", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
-    )
-    from_hot = hot_rows.select("doc_id", "fp", F.sha2("text", 256).alias("text_sha256")).join(
-        classes, ["fp", "text_sha256"]
-    )
-
-    rest = marked.filter("hot IS NULL").select("doc_id", "fp", "text")
-    rest = rest.join(repeated.filter(F.col("n") <= share).select("fp", "n").hint("shuffle_hash"), "fp", "left")
-    same = Window.partitionBy("fp", "text")
-    sha = F.sha2("text", 256).alias("text_sha256")
-    verified = rest.filter("n IS NOT NULL").select(
-        "doc_id", F.max("doc_id").over(same).alias("keep_id"), F.count(F.lit(1)).over(same).alias("group_size"), sha
-    )
-    alone = rest.filter("n IS NULL").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), sha
-    )
-    columns = ["doc_id", "keep_id", "group_size", "text_sha256"]
-    every = from_hot.select(columns).unionByName(verified).unionByName(alone)
-    return every.select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
+    marked = with_maybe(base.withColumn("fp", F.xxhash64("text")), "fp", _repeat_table(base))
+    classes = marked.filter("maybe").groupBy("fp", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    classes = classes.select(F.col("fp").alias("_fp"), F.unhex(F.sha2("text", 256)).alias("_sha"), "keep_id", "group_size")
+    classes = materialise(classes, "exact-classes")
+    narrow = marked.select("doc_id", "fp", F.unhex(F.sha2("text", 256)).alias("sha"), "maybe")
+    narrow = materialise(narrow, "exact-rows")
+
+    # Fewer than HOT_SLOTS groups can have more than this share of the rows.
+    share = max(HOT_ROWS, narrow.count() // HOT_SLOTS)
+    same = (F.col("fp") == F.col("_fp")) & (F.col("sha") == F.col("_sha"))
+    hot = F.broadcast(classes.filter(F.col("group_size") > share))
+    many = narrow.filter("maybe")
+    columns = ["doc_id", "keep_id", "group_size", "sha"]
+    of_hot = many.join(hot, same).select(columns)
+    of_rest = many.join(hot, same, "left_anti").join(classes.filter(F.col("group_size") <= share), same).select(columns)
+    alone = narrow.filter("NOT maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), "sha")
+    return alone.unionByName(of_hot).unionByName(of_rest).select(
+        "doc_id",
+        "keep_id",
+        "group_size",
+        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        F.lower(F.hex("sha")).alias("text_sha256"),
     )
 
 
 def drop_exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns: one row for each distinct text.
+    """The rows that stay, with all their columns: of each distinct text the row with the largest id.
 
-    Copies go by an anti join on id and text hash, so rows that share an id (or have none) but not the text do not
-    touch each other. Of rows that repeat an id together with its text one stays, whichever Spark meets first.
+    NULL counts as '', NULL ids lose, and of rows alike in id and text one stays, whichever Spark meets first. Unique
+    rows stay in place; the others are reduced to one per distinct text in their task before they move, once, so a
+    text held by a third of all rows is one row per task. Rows are not told apart by id: rows that share one, or
+    have none, do not touch each other unless their texts are equal. An empty table gives no rows.
     """
-    marks = duplicate_groups(docs, id_col=id_col, text_col=text_col)
-    marks = materialise(marks.filter("group_size > 1").select("doc_id", "text_sha256", "kept"), "exact-copies")
-    key = [F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")]
-    gone = marks.filter("NOT kept").select(*key).distinct()
-    twice = marks.filter("kept").groupBy(*key).count().filter("count > 1").drop("count")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # no name can clash
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.select(row, F.col(f"`{id_col}`").alias("id"), F.sha2(text, 256).alias("sha"))
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha"))
-    stays = rows.join(gone, same, "left_anti")
-    once = stays.join(twice, same, "left_anti")
-    left = once.unionByName(stays.join(twice, same, "left_semi").dropDuplicates(["id", "sha"]))
-    return left.select(*[F.col(f"row.`{c}`") for c in docs.columns])
+    columns = [c for c in docs.columns if c != text_col]
+    order = F.struct(F.col(f"`{id_col}`").isNotNull().alias("has"), F.col(f"`{id_col}`").alias("id"))
+    row = F.struct(F.col(f"`{text_col}`").isNull().alias("_no_text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    rows = docs.select(F.xxhash64(text).alias("fp"), text.alias("text"), order.alias("order"), row.alias("row"))
+    marked = with_maybe(rows, "fp", _repeat_table(docs.select(text.alias("text"))))
+    best = marked.filter("maybe").groupBy("fp", "text").agg(F.max_by("row", "order").alias("row"))
+    left = marked.filter("NOT maybe").select("text", "row").unionByName(best.select("text", "row"))
+    place = {c: i for i, c in enumerate(columns)}
+    whole = F.when(~F.col("row._no_text"), F.col("text").cast(docs.schema[text_col].dataType)).alias(text_col)
+    return left.select(*[whole if c == text_col else F.col(f"row.c{place[c]}").alias(c) for c in docs.columns])
