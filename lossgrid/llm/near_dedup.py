@@ -27,10 +27,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lossgrid.llm import words
 from lossgrid.llm.arrow import batch, id_and_text, lists, small, utf8
 from lossgrid.llm.components import connected_components
+from lossgrid.llm.routing import membership, with_maybe
 from lossgrid.session import materialise
 
 SHINGLE = 5
@@ -379,13 +381,24 @@ def near_duplicates(
     )
 
 
+def _with_key(docs: DataFrame) -> DataFrame:
+    """``docs`` as (row, key): the key is the id where ids are whole numbers, never NULL and never repeated, else a number
+    written with a copy of the rows, as numbers given by a scan can change when it is read again."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # no name can clash
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        ids = docs.select(F.col("doc_id").cast("bigint").alias("id"))
+        if ids.groupBy("id").count().filter("count > 1 OR id IS NULL").isEmpty():
+            return docs.select(row, F.col("doc_id").cast("bigint").alias("key"))
+    return materialise(docs.select(row, F.monotonically_increasing_id().alias("key")), "near-rows")
+
+
 def drop_near_duplicates(docs: DataFrame, *, threshold_pct: int = 80) -> DataFrame:
     """The rows that stay, with all their columns: of each group the one with the smallest id, NULL last.
 
-    Rows are told apart by a key written with them, so NULL and repeated ids do not matter.
+    Rows are decided one by one: NULL and repeated ids do not matter. NULL, empty and blank texts are near nothing and
+    stay; an empty table gives no rows. Only rows that may have to go move; all others stay in place.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # no name can clash
-    rows = materialise(docs.select(row, F.monotonically_increasing_id().alias("key")), "near-rows")
+    rows = _with_key(docs)
     keyed = rows.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text"))
     found = near_duplicates(keyed, threshold_pct=threshold_pct).select(F.col("doc_id").alias("_key"), "component_id")
     found = materialise(found, "near-groups")
@@ -396,4 +409,7 @@ def drop_near_duplicates(docs: DataFrame, *, threshold_pct: int = 80) -> DataFra
     first = members.groupBy(F.col("component_id").alias("_group")).agg(F.min("rank").alias("first"))
     gone = members.join(first, F.col("component_id") == F.col("_group")).filter("key <> first.key")
     gone = materialise(gone.select(F.col("key").alias("_gone")), "near-gone")
-    return rows.join(gone, F.col("key") == F.col("_gone"), "left_anti").select(*[F.col(f"row.`{c}`") for c in docs.columns])
+    hashed = membership(gone.select(F.xxhash64("_gone").alias("h")), "h", "near-gone-bits")
+    tested = with_maybe(rows.withColumn("h", F.xxhash64("key")), "h", hashed)
+    left = tested.filter("maybe").join(gone, F.col("key") == F.col("_gone"), "left_anti")
+    return tested.filter("NOT maybe").unionByName(left).select(*[F.col(f"row.`{c}`") for c in docs.columns])
