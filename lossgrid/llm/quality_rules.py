@@ -1,11 +1,11 @@
 """Quality rules: repetition counts, and divergence from the language's own distributions.
 
 Reference histograms come from the corpus itself, over all documents: per language the shares of character classes
-and of its common words (those that make up at least 1 / ``COMMON_SHARE`` of its words). Those of languages with more than
-1 / ``LANGUAGE_SHARE`` of all words travel with the tasks: by counting they are fewer than LANGUAGE_SHARE with at most
-COMMON_SHARE words each. Documents of the other languages, which may be any number, are joined by language to a table of
-theirs. A language (NULL counts as one) with neither that share nor ``MIN_REFERENCE_WORDS`` words has no reference: its
-documents get no distances and are not judged by divergence.
+and of its common words (those that make up at least 1 / ``COMMON_SHARE`` of its words). A language (NULL counts as one)
+with fewer than ``MIN_REFERENCE_WORDS`` words has no reference, whatever its share of the corpus: its documents get no
+distances and are not judged by divergence. References travel in one of two ways, with equal results: those of languages
+with more than 1 / ``LANGUAGE_SHARE`` of all words with the tasks (by counting they are fewer than LANGUAGE_SHARE, with at
+most COMMON_SHARE words each), those of the others, which may be any number, by a join on the language.
 
 A document fails when the Jensen-Shannon distance (the root of the divergence in bits, 0 to 1) of its character
 classes or of its common words from the reference exceeds a limit. Documents below the minimum length are not judged
@@ -168,11 +168,13 @@ def _reference(classes: np.ndarray, keys: np.ndarray, counts: np.ndarray, total:
 
 
 def references(base: DataFrame) -> tuple[dict[str, Reference], DataFrame]:
-    """References of the larger languages, and of the smaller ones a table (ref_lang, classes, keys, counts, total)."""
+    """References of the languages with enough words: of the larger ones a dictionary, of the smaller ones a table
+    (ref_lang, classes, keys, counts, total)."""
     counts = _counts(base).groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     counts = materialise(counts, "rule-counts")
     totals = materialise(counts.filter("kind = 0").groupBy("lang").agg(F.sum("n").alias("total")), "rule-totals")
     everything = totals.agg(F.sum("total").alias("all")).first()["all"] or 0
+    enough = totals.filter(F.col("total") >= MIN_REFERENCE_WORDS)
     large = F.col("total") * LANGUAGE_SHARE > everything
 
     def listed(wanted: DataFrame) -> DataFrame:
@@ -190,13 +192,12 @@ def references(base: DataFrame) -> tuple[dict[str, Reference], DataFrame]:
             "total",
         )
 
-    larger = listed(F.broadcast(totals.filter(large)))  # fewer than LANGUAGE_SHARE rows
+    larger = listed(F.broadcast(enough.filter(large)))  # fewer than LANGUAGE_SHARE rows
     found = {
         row["ref_lang"]: _reference(*(np.array(row[c], np.int64) for c in ("classes", "keys", "counts")), row["total"])
         for row in larger.collect()
     }
-    smaller = totals.filter(~large & (F.col("total") >= MIN_REFERENCE_WORDS))
-    return found, materialise(listed(smaller), "rule-references")
+    return found, materialise(listed(enough.filter(~large)), "rule-references")
 
 
 EXTRA = (
@@ -277,7 +278,7 @@ def judge(
                     }
                 )
 
-    # Languages without words count as small ones; theirs have no reference, and no text that could be judged.
+    # Languages without a reference go with the small ones and find none there.
     small_lang = ~F.col("lang").isin(list(known))
     apart = base.filter(small_lang)
     if others.isEmpty():

@@ -108,7 +108,7 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP3_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-         md5('42:' || CAST(doc_id AS VARCHAR)) AS place
+         md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS place
   FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -199,29 +199,24 @@ lines AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 totals AS (SELECT lang, count(*) AS total FROM w GROUP BY lang),
--- Every document's language reference: its own if it has more than a hundredth of all words, else that of the corpus.
-known AS (SELECT lang FROM totals WHERE total * 100 > (SELECT sum(total) FROM totals)),
-reference_of AS (SELECT lang, lang AS ref FROM known UNION ALL SELECT DISTINCT lang, NULL FROM d WHERE lang NOT IN (FROM known)),
+-- Languages with enough words have references; documents of the others are not judged by divergence.
+known AS (SELECT lang FROM totals WHERE total >= 10000),
 class_n AS (
   {_CLASS_ROWS} UNION ALL SELECT doc_id, lang, 'other', length(text) - {_only(_ALL_SETS)} FROM d),
 class_ref AS (
-  SELECT ref, key, n / sum(n) OVER (PARTITION BY ref) AS q FROM (
-    SELECT lang AS ref, key, sum(n) AS n FROM class_n WHERE lang IN (FROM known) GROUP BY ALL
-    UNION ALL SELECT NULL, key, sum(n) FROM class_n GROUP BY key)),
+  SELECT lang, key, n / sum(n) OVER (PARTITION BY lang) AS q FROM (SELECT lang, key, sum(n) AS n FROM class_n WHERE lang IN (FROM known) GROUP BY ALL)),
 class_js AS (
   SELECT doc_id, {_DISTANCE} AS js FROM (
-    SELECT doc_id, c.n / nullif(sum(c.n) OVER (PARTITION BY doc_id), 0) AS p, q
-    FROM class_n c JOIN reference_of r ON c.lang = r.lang JOIN class_ref f ON f.ref IS NOT DISTINCT FROM r.ref AND f.key = c.key) GROUP BY doc_id),
+    SELECT doc_id, c.n / nullif(sum(c.n) OVER (PARTITION BY doc_id), 0) AS p, q FROM class_n c JOIN class_ref f ON f.lang = c.lang AND f.key = c.key)
+  GROUP BY doc_id),
 word_ref AS (
-  SELECT ref, word, n / total AS q FROM (
-    SELECT lang AS ref, word, count(*) AS n, any_value(total) AS total FROM w JOIN totals USING (lang) WHERE lang IN (FROM known) GROUP BY ALL
-    UNION ALL SELECT NULL, word, count(*), (SELECT sum(total) FROM totals) FROM w GROUP BY word)
+  SELECT lang, word, n / total AS q FROM (
+    SELECT lang, word, count(*) AS n, any_value(total) AS total FROM w JOIN totals USING (lang) WHERE lang IN (FROM known) GROUP BY ALL)
   WHERE n * 500 >= total),
 word_n AS (SELECT doc_id, word, count(*) AS n FROM w GROUP BY ALL),
 word_pq AS (
   SELECT d.doc_id, coalesce(n, 0) / len(words) AS p, q
-  FROM d JOIN reference_of r ON d.lang = r.lang JOIN word_ref f ON f.ref IS NOT DISTINCT FROM r.ref
-  LEFT JOIN word_n c ON c.doc_id = d.doc_id AND c.word = f.word WHERE len(words) > 0),
+  FROM d JOIN word_ref f ON f.lang = d.lang LEFT JOIN word_n c ON c.doc_id = d.doc_id AND c.word = f.word WHERE len(words) > 0),
 word_js AS (
   SELECT doc_id, {_DISTANCE} AS js FROM (
     FROM word_pq UNION ALL SELECT doc_id, greatest(1 - sum(p), 0e0), greatest(1 - sum(q), 0e0) FROM word_pq GROUP BY doc_id) GROUP BY doc_id),

@@ -7,9 +7,10 @@ round reads one row of totals.
 
 Sampling: a source's target over its size is a number of repetitions: each document gets the whole ones, and the
 rest is filled in the order of a seeded hash until the target is met; the document at the edge gives a part of
-itself. The order is a function of (seed, document), so reruns agree whatever the partitions. Running totals do not
-gather a source in one task: words are summed per (source, leading bits of the hash) first, and only rows of the
-single slice that holds the edge are ordered.
+itself. The order is a function of (seed, id, text), so reruns agree whatever the partitions. Running totals do not
+gather a source in one task: words are summed per (source, leading digits of the hash) first, in two steps of 256
+sums each, and only rows of the single slice that holds the edge are ordered. All other rows are decided where they are,
+from one row per source.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lossgrid.operators.ordered import running_totals
 from lossgrid.session import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Hexadecimal digits of the hash that name a slice: 16 ** 4 slices per source.
-SLICE_DIGITS = 4
+#: Hexadecimal digits of the hash that name a slice, and those that name its stretch: 16 ** 4 slices per source.
+SLICE_DIGITS, STRETCH_DIGITS = 4, 2
 
 
 def n_words(text: Column) -> Column:
@@ -60,10 +62,13 @@ def water_fill(sources: DataFrame, *, max_epochs: float = 3.0) -> DataFrame:
 def cyclic_weights(sources: DataFrame, weights: Sequence[int] = (1, 2, 3)) -> DataFrame:
     """Add ``weight``: the sources by code point, NULL last, weigh ``weights`` over and over.
 
-    One row per source is ordered; documents are not.
+    One row per source is ordered, in ranges; no task holds all of them.
     """
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    return sources.withColumn("weight", F.get(F.array(*[F.lit(w) for w in weights]), place % len(weights)))
+    placed = running_totals(sources.select("source"), "source", {"n": F.lit(1)}).select(F.col("source").alias("_source"), "n_upto")
+    named = F.count("source")  # without NULL
+    place = F.coalesce(F.col("n_upto") - 1, sources.agg(named).scalar())
+    weight = F.get(F.array(*[F.lit(w) for w in weights]), (place % len(weights)).cast("int"))
+    return sources.join(placed, F.col("source") == F.col("_source"), "left").select(*sources.columns, weight.alias("weight"))
 
 
 def mix(
@@ -83,25 +88,26 @@ def mix(
     sources it lacks weigh 0; without it they weigh 1, 2, 3 in turn. A NULL source is a source; NULL and blank
     texts have size 0 and give 0. Rows alike in id and size are interchangeable.
     """
-    return _taken(docs, weights, seed, max_epochs, id_col, text_col, source_col, F.lit(0)).drop("key")
+    sized = materialise(_sized(docs, seed, id_col, text_col, source_col), "mix-sizes")
+    return _with_taken(sized, _plan(sized, weights, max_epochs)).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
-def _taken(
-    docs: DataFrame, weights: DataFrame | None, seed: int, max_epochs: float, id_col: str, text_col: str, source_col: str, key: Column
-) -> DataFrame:
-    """What ``mix`` returns, and ``key``, which tells rows alike in id and size apart."""
-    sized = docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"),
-        F.col(f"`{source_col}`").cast("string").alias("source"),
-        n_words(F.col(f"`{text_col}`")).alias("size"),
-        key.cast("bigint").alias("key"),
-    ).withColumn("place", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))))
-    sized = materialise(sized.withColumn("slice", F.substring("place", 1, SLICE_DIGITS)), "mix-sizes")
+def _sized(docs: DataFrame, seed: int, id_col: str, text_col: str, source_col: str, *more: Column) -> DataFrame:
+    """(doc_id, source, size, place, slice) and ``more`` of every row; the place is a hash of seed, id and text."""
+    doc_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text.cast("string"), F.lit(""))))
+    placed = docs.select(
+        doc_id.alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), n_words(text).alias("size"), F.md5(key).alias("place"), *more
+    )
+    return placed.withColumn("slice", F.substring("place", 1, SLICE_DIGITS))
 
+
+def _plan(sized: DataFrame, weights: DataFrame | None, max_epochs: float) -> DataFrame:
+    """One row per source: its target, whole repetitions, and the slice in which the words taken once more end."""
     slices = materialise(sized.groupBy("source", "slice").agg(F.sum("size").alias("words")), "mix-slices")
     sources = slices.groupBy("source").agg(F.sum("words").alias("source_size"))
     if weights is None:
-        weighted = cyclic_weights(sources)
+        weighted = cyclic_weights(materialise(sources, "mix-sources"))
     else:
         given = weights.select(F.col("source").alias("_source"), F.col("weight"))
         weighted = sources.join(given, F.col("source").eqNullSafe(F.col("_source")), "left").select(
@@ -117,9 +123,16 @@ def _taken(
         F.when(F.col("source_size") > 0, F.floor(ratio)).otherwise(F.lit(0)).cast("bigint").alias("whole"),
     ).withColumn("extra", (F.floor("target") - F.col("whole") * F.col("source_size")).cast("bigint"))
 
-    # Words ahead of each slice; where a slice ends before the extra words do, all of it is taken once more.
-    ahead = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    placed = slices.withColumn("ahead", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
+    # Words ahead of each slice: those of the stretches before, and of the slices before in its stretch.
+    stretch = F.substring("slice", 1, STRETCH_DIGITS).alias("stretch")
+    stretches = slices.groupBy(F.col("source").alias("_s"), stretch.alias("_t")).agg(F.sum("words").alias("words"))
+    before = Window.partitionBy("_s").orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = stretches.select("_s", "_t", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("source", "stretch").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    placed = slices.withColumn("stretch", stretch).withColumn("ahead", F.coalesce(F.sum("words").over(inside), F.lit(0)))
+    placed = placed.join(stretches, F.col("source").eqNullSafe(F.col("_s")) & (F.col("stretch") == F.col("_t")))
+    placed = placed.withColumn("ahead", F.col("ahead") + F.col("_before")).drop("_s", "_t", "_before")
+    # Where a slice ends before the extra words do, all of it is taken once more.
     placed = placed.join(plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     edge = placed.filter("ahead < extra AND extra < ahead + words").select(
         F.col("source").alias("_s"), F.col("slice").alias("edge_slice"), F.col("ahead").alias("edge_ahead")
@@ -127,27 +140,21 @@ def _taken(
     plan = plan.join(edge, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s")
     # Where no slice is cut, the first slice not taken is the first that begins at the end of the extra words.
     full = placed.filter("ahead + words <= extra").groupBy(F.col("source").alias("_s")).agg(F.max("slice").alias("last_full"))
-    plan = materialise(plan.join(full, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s"), "mix-plan")
+    return materialise(plan.join(full, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s"), "mix-plan")
+
 
+def _with_taken(sized: DataFrame, plan: DataFrame) -> DataFrame:
+    """The rows with ``source_size``, ``target`` and ``taken``: in place, but for those of the slices at an edge."""
     joined = sized.join(plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     at_edge = F.coalesce(F.col("slice") == F.col("edge_slice"), F.lit(False))
     once_more = F.when(F.coalesce(F.col("slice") <= F.col("last_full"), F.lit(False)), F.col("size")).otherwise(F.lit(0))
     outside = joined.filter(~at_edge).withColumn("more", once_more)
     inside = joined.filter(at_edge)
-    so_far = (
-        Window.partitionBy("source", "slice").orderBy("place", "size", "key").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    so_far = Window.partitionBy("source", "slice").orderBy("place", "size").rowsBetween(Window.unboundedPreceding, -1)
     left = F.col("extra") - F.col("edge_ahead") - F.coalesce(F.sum("size").over(so_far), F.lit(0))
     inside = inside.withColumn("more", F.least(F.greatest(left, F.lit(0)), F.col("size")))
-    return outside.unionByName(inside).select(
-        "key",
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        (F.col("whole") * F.col("size") + F.col("more")).cast("bigint").alias("taken"),
-    )
+    both = outside.unionByName(inside).withColumn("taken", (F.col("whole") * F.col("size") + F.col("more")).cast("bigint"))
+    return both.select(*sized.columns, "source_size", "target", "taken")
 
 
 def first_words(text: Column, n: Column) -> Column:
@@ -159,17 +166,16 @@ def draw(docs: DataFrame, weights: DataFrame | None = None, *, seed: int = 42, m
     """The mixed corpus with the columns of ``docs``: each document as often as it is taken.
 
     Whole repetitions are equal rows; the part taken from a document at the edge of a source is a row with its
-    first words. Documents of which nothing is taken, those without words among them, are not in the mix. Shares belong
-    to rows, by a key written with them: rows may repeat an id or have none.
+    first words. Documents of which nothing is taken, those without words among them, are not in the mix. Rows are decided one by
+    one: they may repeat an id or have none, and rows alike in id and text are interchangeable. A NULL source is a source; no
+    documents give no rows. Rows do not move, but for those of the slices at an edge, one in 65,536 of a source.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # no name can clash
-    rows = materialise(docs.select(row, F.monotonically_increasing_id().alias("_row")), "mix-rows")
-    keyed = rows.select(*[F.col(f"row.{c}").alias(c) for c in ("doc_id", "source", "text")], F.col("_row"))
-    shares = _taken(keyed, weights, seed, max_epochs, "doc_id", "text", "source", F.col("_row"))
-    joined = rows.join(shares.filter("taken > 0").select("key", "size", "taken"), F.col("_row") == F.col("key"))
+    plan = _plan(materialise(_sized(docs, seed, "doc_id", "text", "source"), "mix-sizes"), weights, max_epochs)
+    shares = _with_taken(_sized(docs, seed, "doc_id", "text", "source", row).drop("doc_id"), plan).filter("taken > 0")
     whole, part = F.floor(F.col("taken") / F.col("size")).cast("int"), F.col("taken") % F.col("size")
     takes = F.concat(F.array_repeat(F.col("size"), whole), F.array_repeat(part, F.when(part > 0, 1).otherwise(0)))
-    each = joined.select("row", "size", F.explode(takes).alias("take"))
+    each = shares.select("row", "size", F.explode(takes).alias("take"))
     text = F.col("row.text")
     text = F.when(F.col("take") < F.col("size"), first_words(text, F.col("take"))).otherwise(text)
     return each.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

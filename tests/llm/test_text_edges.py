@@ -8,6 +8,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lossgrid.llm import (
@@ -18,6 +19,7 @@ from lossgrid.llm import (
     quality_classifier,
     quality_rules,
     queries,
+    routing,
     secret_scan,
     source_mix,
     substring_dedup,
@@ -181,6 +183,56 @@ def test_small_languages_have_references_of_their_own(spark):
     assert not found[2001].kept and found[2001].class_distance > 0.3
 
 
+def test_a_language_is_judged_alike_in_any_corpus(spark):
+    """5,200 words of a language are too few for a reference, whatever share of all words they are."""
+    r = random.Random(11)
+    words_of = [[f"{p}{i}" for i in range(300)] for p in "wv"]
+    odd = " ".join(f"#{i}?" for i in range(200))
+    verdicts = []
+    for n in (40, 200):
+        rows = [(i, " ".join(r.choices(words_of[0], k=2600)), "en") for i in range(n)]
+        rows += [(900 + i, " ".join(r.choices(words_of[1], k=1000)), "xx") for i in range(5)] + [(990, odd, "xx")]
+        docs = spark.createDataFrame(rows, "doc_id int, text string, lang string").repartition(3)
+        verdicts.append([(x.doc_id, x.kept, x.class_distance) for x in quality_rules.judge(docs).filter("doc_id >= 900").orderBy("doc_id").collect()])
+    assert verdicts[0] == verdicts[1] == [(i, True, None) for i in [*range(900, 905), 990]]
+
+
+@pytest.mark.parametrize(("rows", "slots"), [(0, 1 << 18), (1 << 40, 1 << 18), (2, 8)])
+def test_copies_by_every_way(spark, monkeypatch, rows, slots):
+    """Verdicts by broadcast alone, by shuffle alone and by both agree with a plain window over the texts."""
+    monkeypatch.setattr(exact_dedup, "HOT_ROWS", rows)
+    monkeypatch.setattr(exact_dedup, "HOT_SLOTS", slots)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.filter("doc_id % 5 = 0").select((F.col("doc_id") + 5000).alias("doc_id"), "text"))
+    same = Window.partitionBy(F.coalesce("text", F.lit("")))
+    want = docs.select(
+        "doc_id", F.max("doc_id").over(same).alias("keep_id"), F.count(F.lit(1)).over(same).alias("group_size"),
+        (F.col("doc_id") == F.max("doc_id").over(same)).alias("kept"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+    assert sorted(exact_dedup.duplicate_groups(docs).collect()) == sorted(want.collect())
+    left = exact_dedup.drop_exact_duplicates(docs)
+    assert sorted(r.doc_id for r in left.collect()) == sorted(r.doc_id for r in want.filter("kept").collect())
+
+
+def test_texts_of_unique_rows_do_not_move(spark):
+    """The bit table leaves unique rows in place: only marked ones reach the exchange."""
+    values = spark.range(0, 2000).select(F.xxhash64("id").alias("h"), "id")
+    table = routing.membership(values.filter("id % 10 = 0").select("h"), "h", "test-bits")
+    tested = routing.with_maybe(values, "h", table)
+    assert tested.filter("maybe").count() < 320 and tested.filter("maybe AND id % 10 = 0").count() == 200
+    plan = exact_dedup.drop_exact_duplicates(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    branch = plan._jdf.queryExecution().executedPlan().toString().split("SortAggregate")[0]
+    assert "Exchange hashpartitioning" not in branch and "SortMergeJoin" not in branch
+
+
+def test_rows_without_an_id_spread_over_the_mix(spark):
+    docs = spark.createDataFrame([(None if i % 2 else 3, f"w{i} " * (1 + i % 4), "a") for i in range(300)], "doc_id int, text string, source string")
+    sized = source_mix._sized(docs, 42, "doc_id", "text", "source")
+    assert sized.select("slice").distinct().count() > 250
+    found = source_mix.mix(docs.unionByName(docs.limit(40))).collect()
+    assert sum(x.taken for x in found) == int(found[0].target) and all(x.taken <= 3 * x.size for x in found)
+
+
 def test_no_python_in_the_mix(edge):
     plan = source_mix.mix(edge)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
