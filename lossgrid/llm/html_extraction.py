@@ -270,10 +270,16 @@ def fit_pages(pages: Sequence[str], *, layouts: int = LAYOUTS, first_seed: int =
 
 
 def fit(pages: DataFrame, *, html_col: str = "html") -> Extractor:
-    """Fit on a sample of the table: the ``SAMPLE_PAGES`` pages with the smallest hashes, of those up to ``SAMPLE_CHARS`` long."""
+    """Fit on a sample of the table: of the pages of up to ``SAMPLE_CHARS`` characters the ``SAMPLE_PAGES`` with the smallest hashes.
+
+    Rows are thinned by hash before they are compared, so that a task sends few however many tasks there are.
+    """
     source = F.col(f"`{html_col}`").cast("string")
     some = pages.select(source.alias("html")).filter(F.length("html").between(1, SAMPLE_CHARS))
-    rows = some.orderBy(F.xxhash64("html"), "html").limit(SAMPLE_PAGES).collect()
+    share = min(1.0, 8 * SAMPLE_PAGES / max(1, pages.count()))
+    drawn = F.xxhash64("html", F.lit("sample"))
+    few = some.filter(F.pmod(drawn, F.lit(1 << 40)) < int(share * (1 << 40))).distinct()
+    rows = few.orderBy(drawn, "html").limit(SAMPLE_PAGES).collect()
     return fit_pages([r.html for r in rows])
 
 
