@@ -1,10 +1,11 @@
-"""Alert records, their summary, and the monitoring report. Alerts are rows of an append-only table."""
+"""Alert records, their summary, and the monitoring report. Alerts are rows of a table that grows by batches."""
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,10 +82,29 @@ def drift_alerts(verdicts: DataFrame, *, ts: Column) -> DataFrame:
 
 
 def append_alerts(alerts: DataFrame, path: str) -> None:
-    """Append to the alert table, partitioned by day so that date filters prune."""
+    """Append to the alert table, partitioned by day so that date filters prune. A repeated run appends again."""
     alerts.withColumn("alert_date", F.to_date("ts")).write.mode("append").partitionBy("alert_date").parquet(path)
 
 
+def write_alerts(alerts: DataFrame, path: str, *, report_date: dt.date, run: str) -> None:
+    """Write the batch of a (report date, run) as a whole: a repeated run replaces what it wrote before.
+
+    A batch is one folder, ``report_date=<date>/run=<name>``, with one file: the alerts of a run are few. The file appears
+    when the job commits, so readers see the old batch, the new one or for a moment none, never a part. Batches of
+    other dates and runs stay; a batch without alerts replaces an earlier one too.
+    """
+    if not re.fullmatch(r"[\w.-]+", run):
+        raise ValueError(f"run names are letters, digits, '_', '.' and '-': {run!r}")
+    typed = alerts.select(*[F.col(f.name).cast(f.dataType) for f in ALERT_SCHEMA.fields])
+    typed.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/report_date={report_date.isoformat()}/run={run}")
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """All batches: the alert columns, ``report_date`` and ``run``. Dates and runs prune to folders."""
+    schema = T.StructType([*ALERT_SCHEMA.fields, T.StructField("report_date", T.DateType()), T.StructField("run", T.StringType())])
+    return spark.read.schema(schema).parquet(path)
+
+
 def alert_summary(alerts: DataFrame, *, as_of: dt.datetime, days_back: int = 30) -> DataFrame:
     """One row over the last ``days_back`` days: total, count per type, daily frequency, newest alert."""
     since = as_of - dt.timedelta(days=days_back)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lossgrid.functions.bins import edge_array_bin
 from lossgrid.functions.numeric import melt, numeric_columns
+from lossgrid.operators.categories import level_scores
 from lossgrid.operators.ordered import exact_quantiles
 
 
@@ -78,11 +79,29 @@ def select_anova_f(df: DataFrame, *, label: str, cols: Sequence[str] | None = No
 
 
 def select_features(
-    df: DataFrame, *, label: str, method: str = "mutual_info", cols: Sequence[str] | None = None, k: int = 20
+    df: DataFrame,
+    *,
+    label: str,
+    method: str = "mutual_info",
+    cols: Sequence[str] | None = None,
+    cat_cols: Sequence[str] = (),
+    k: int = 20,
 ) -> DataFrame:
-    """Score table of the k best features; any method other than mutual_info means ANOVA F."""
+    """Score table of the k best features; any method other than mutual_info means ANOVA F.
+
+    With ``cat_cols`` the levels of these columns, however many, compete as 0/1 features: feature, score, and the
+    ``column`` and ``level`` (NULL for a number) that a feature stands for.
+    """
     score = select_mutual_info if method == "mutual_info" else select_anova_f
-    return score(df, label=label, cols=cols, k=k)
+    if not cat_cols:
+        return score(df, label=label, cols=cols, k=k)
+    levels = level_scores(df, label=label, cols=cat_cols, method=method, k=k)
+    found = levels.select(F.concat_ws("_", "column", "level").alias("feature"), "score", "column", "level")
+    numbers = _chosen(df, label, cols)
+    if numbers:
+        own = score(df, label=label, cols=numbers, k=k)
+        found = found.unionByName(own.select("feature", "score", F.col("feature").alias("column"), F.lit(None).cast("string").alias("level")))
+    return found.orderBy(F.desc_nulls_last("score"), "feature").limit(k)
 
 
 def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lossgrid.operators import alerts, discrimination, drift
 from lossgrid.plans.oracle import edge_bin, edge_list, kolmogorov, on_loans, quantile_ctes, score_ctes
 from lossgrid.plans.registry import Query
+from lossgrid.session import materialise, scratch_dir
 from lossgrid.sources.loan_book import loan_book, read_table
 
 FEATURES = ("dti", "exposure", "annual_inc", "revol_bal")
@@ -70,6 +71,14 @@ def loan_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert table after a run of two days' reports and a repetition of the second."""
+    found, path = materialise(daily_alerts(spark, sf_dir), "daily-alerts"), scratch_dir(spark, "alert-table")
+    for day in (REPORT_DATE - dt.timedelta(days=1), REPORT_DATE, REPORT_DATE):
+        alerts.write_alerts(found.filter(F.to_date("ts") <= F.lit(day)), path, report_date=day, run="daily")
+    return alerts.read_alerts(spark, path).withColumn("day", F.to_date("ts"))
+
+
 def all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alerts.drift_alerts(loan_verdict(spark, sf_dir), ts=F.lit(REPORT_DATE))
     return daily_alerts(spark, sf_dir).unionByName(found)
@@ -284,6 +293,14 @@ QUERIES = {
         "type:s value:12 threshold:6 message:s day:d",
         f"SELECT * FROM {DAILY_SQL}",
     ),
+    "alert_history": Query(
+        alert_history,
+        "report_date:d run:s type:s value:12 threshold:6 message:s day:d",
+        " UNION ALL ".join(
+            f"SELECT DATE '{REPORT_DATE}' - {back} AS report_date, 'daily' AS run, type, value, threshold, message, day FROM {DAILY_SQL} "
+            f"WHERE day <= DATE '{REPORT_DATE}' - {back}" for back in (0, 1)
+        ),
+    ),
     "alert_summary": Query(
         _summary,
         "total_alerts:i period_days:i alert_frequency:9 psi_alert:i ks_alert:i calibration_alert:i drift_alert:i last_type:s last_value:12 "

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lossgrid.functions.numeric import numeric_columns, other_columns
+from lossgrid.functions.numeric import numeric_columns
 from lossgrid.operators import (
-    alerts, capital, cleaning, components, discrimination, drift, encoding, features, impairment, models, selection, simulation, split,
+    alerts, capital, categories, cleaning, components, discrimination, drift, encoding, features, impairment, models, selection, simulation, split,
 )
 from lossgrid.session import materialise
 from lossgrid.sources.sinks import write_results
@@ -35,13 +35,14 @@ def training_table(
     prepared = materialise(prepared.select(*kept), "prepared")
     keyed = [KEY, LABEL, TERMS] if terms else [KEY, LABEL]
     numbers = numeric_columns(prepared, exclude=keyed)
-    texts = [c for c in other_columns(prepared, exclude=keyed)]
+    texts = [c for c, kind in prepared.dtypes if kind == "string" and c not in keyed]
     filled = encoding.impute_mode(encoding.impute_median(prepared, cols=numbers), cols=texts)
-    encoded = encoding.one_hot(filled, target=LABEL)
-    candidates = numeric_columns(encoded, exclude=keyed)
-    best = selection.select_features(encoded, label=LABEL, method=method, cols=candidates, k=k)
-    names = [r["feature"] for r in best.collect()]  # at most k names
-    table = split.stratified_split(encoded.select(*keyed, *names), key=KEY, label=LABEL)
+    # Categories may have any number of levels: only those among the k best become columns.
+    best = selection.select_features(filled, label=LABEL, method=method, cols=numbers, cat_cols=texts, k=k).collect()
+    chosen = [(r["column"], r["level"]) for r in best if r["level"] is not None]
+    names = [r["column"] if r["level"] is None else categories.indicator_name(r["column"], r["level"]) for r in best]
+    taken = [F.col(f"`{r['column']}`") for r in best if r["level"] is None] + categories.indicators(chosen)
+    table = split.stratified_split(filled.select(*keyed, *taken), key=KEY, label=LABEL)
     return materialise(table, "training"), names
 
 
@@ -80,7 +81,7 @@ def run_portfolio_job(
     result tables.
 
     ``trees`` > 0 trains boosted trees, otherwise the logistic model. The ECL uses the macro-weighted PD. The alert
-    table below ``path`` is appended to, and the report reads it. ``income_rate`` (percent of the exposure a year)
+    table below ``path`` holds one batch per day, which a repeated run replaces, and the report reads it. ``income_rate`` (percent of the exposure a year)
     adds the return on risk-adjusted capital.
     """
     terms = list(dict.fromkeys(c for c in (exposure, lgd, original_pd, term_years, dpd, income_rate, *by) if c))
@@ -121,8 +122,8 @@ def run_portfolio_job(
         ))
     ).unionByName(calibrated.select(F.lit("expected_calibration_error").alias("metric"), F.col("expected_calibration_error").alias("value")))
     raised = alerts.metric_alerts(metrics.withColumn("ts", day)).unionByName(alerts.drift_alerts(verdict, ts=day))
-    alerts.append_alerts(raised, f"{path}/alerts")
-    history = spark.read.schema(alerts.ALERT_SCHEMA).parquet(f"{path}/alerts")
+    alerts.write_alerts(raised, f"{path}/alerts", report_date=dt.date.fromisoformat(as_of), run="portfolio")
+    history = alerts.read_alerts(spark, f"{path}/alerts")
 
     parts = {"pd": "pd", "ead": exposure, "lgd": lgd}
     losses = simulation.simulate_losses(written, key=KEY, **parts, n_sims=n_sims)

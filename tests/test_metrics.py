@@ -192,3 +192,19 @@ def test_alert_table_summary_and_report(spark, tmp_path):
     assert report["performance_degradation"] and not report["drift_detected"] and len(report["recommendations"]) == 1
     stable = alerts.monitoring_report(table, model_name="m", report_date=dt.date(2024, 2, 1)).first()
     assert stable["recommendations"] == [alerts.ADVICE_STABLE]
+
+
+def test_alert_batches_are_replaced_as_a_whole(spark, tmp_path):
+    day, path = dt.date(2024, 1, 10), str(tmp_path / "history")
+    metrics = spark.createDataFrame([("psi", 0.5, dt.datetime(2024, 1, 10)), ("psi", 0.4, dt.datetime(2024, 1, 9))], "metric string, value double, ts timestamp_ntz")
+    found = alerts.metric_alerts(metrics)
+    alerts.write_alerts(found, path, report_date=day, run="a")
+    alerts.write_alerts(found, path, report_date=day, run="a")
+    alerts.write_alerts(found.filter("value > 0.45"), path, report_date=day, run="b")
+    alerts.write_alerts(found, path, report_date=dt.date(2024, 1, 11), run="a")
+    per_batch = {(r.report_date, r.run): r["count"] for r in alerts.read_alerts(spark, path).groupBy("report_date", "run").count().collect()}
+    assert per_batch == {(day, "a"): 2, (day, "b"): 1, (dt.date(2024, 1, 11), "a"): 2}
+    alerts.write_alerts(found.limit(0), path, report_date=day, run="a")
+    assert alerts.read_alerts(spark, path).filter(F.col("run") == "a").count() == 2
+    with pytest.raises(ValueError):
+        alerts.write_alerts(found, path, report_date=day, run="a/b")

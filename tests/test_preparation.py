@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
-from lossgrid.operators import cleaning, encoding, features, quality, selection, split
+from lossgrid.operators import categories, cleaning, encoding, features, quality, selection, split
 from lossgrid.sources.loan_csv import read_loans_dir
 
 
@@ -138,3 +139,36 @@ def test_csv_tree_needs_an_accepted_file(spark, tmp_path):
     assert tables["accepted"].columns == ["id", "loan_amnt"]
     assert [r["loan_amnt"] for r in tables["accepted"].collect()] == [1.5, None]
     assert tables["rejected"].count() == 1
+
+
+def test_levels_are_numbered_in_order_without_a_limit(spark):
+    df = spark.range(3000).select("id", F.concat(F.lit("k"), F.col("id") % 1500).alias("wide"), F.when(F.col("id") % 3 > 0, "only").alias("one"),
+                                  F.lit(None).cast("string").alias("none"), (F.col("id") % 2).alias("x"))
+    levels = categories.level_table(df, ["wide", "none", "one"])
+    rows = levels.orderBy("feature", "level").collect()
+    wide = [r for r in rows if r["feature"] == "wide"]
+    assert [r["level"] for r in wide] == sorted({f"k{i}" for i in range(1500)}) and [r["level_id"] for r in wide] == list(range(1500))
+    assert [r["slot"] for r in wide] == [None, *range(1499)] and all(r["n"] == 2 for r in wide)
+    assert [(r["level"], r["n"], r["slot"]) for r in rows if r["feature"] == "one"] == [("only", 2000, None)]
+    sparse = categories.sparse_rows(df, levels, cat_cols=["wide", "none", "one"], num_cols=["x"], keep=["id"])
+    got = {r["id"]: [(e["slot"], e["value"]) for e in r["entries"]] for r in sparse.collect()}
+    number = {r["level"]: r["slot"] for r in wide}
+    for i in range(3000):
+        slot = number[f"k{i % 1500}"]
+        assert got[i] == [(0, 1.0)] * (i % 2) + ([(slot + 1, 1.0)] if slot is not None else [])
+    empty = categories.level_table(df.limit(0), ["wide"])
+    assert empty.collect() == [] and categories.sparse_rows(df.limit(0), empty, cat_cols=["wide"]).collect() == []
+
+
+def test_scores_of_levels_are_those_of_their_indicators(spark):
+    df = spark.range(600).select("id", F.concat(F.lit("g"), F.col("id") % 5).alias("g"), F.expr("CAST(id % 5 = 2 OR id % 7 = 0 AS INT)").alias("y"))
+    wanted = df.select("y", *[(F.col("g") == f"g{i}").cast("int").alias(f"g_g{i}") for i in range(1, 5)])
+    by_f = selection.select_anova_f(wanted, label="y", k=4).collect()
+    got = categories.level_scores(df, label="y", cols=["g"], method="anova", k=4).collect()
+    assert {f"g_{r['level']}": pytest.approx(r["score"]) for r in got} == {r["feature"]: r["score"] for r in by_f}
+    best = categories.level_scores(df, label="y", cols=["g"], k=1).first()
+    n = df.groupBy((F.col("g") == "g2").alias("x"), "y").count().collect()
+    cell = {(r["x"], r["y"]): r["count"] for r in n}
+    info = sum(c / 600 * math.log(c * 600 / (sum(v for (a, _), v in cell.items() if a == x) * sum(v for (_, b), v in cell.items() if b == y))) for (x, y), c in cell.items())
+    assert best["level"] == "g2" and best["score"] == pytest.approx(info)
+    assert categories.level_scores(df.limit(0), label="y", cols=["g"]).collect() == []
