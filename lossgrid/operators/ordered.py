@@ -9,10 +9,15 @@ rows is cut into many buckets like any other stretch of the order.
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lossgrid.session import materialise
 
 MAX_BUCKETS = 16384
 
@@ -151,6 +156,137 @@ def quantiles_of_totals(
     return grouped.select(*by, "n", F.expr(f"array({', '.join(values)}) AS quantiles"), *kept)
 
 
+#: Size of the sketches that bracket the ranks, and the share of all rows by which their ranks may be off: twice the
+#: error that one estimate in a hundred exceeds. A bracket that misses its rank is widened, so this is no matter of results.
+SKETCH_SIZE, SKETCH_ERROR = 8192, 0.0015
+#: Equal parts of a bracket whose rows are counted before any value is ordered.
+PARTS = 256
+
+
+def _ranks(probs: Sequence[float], n: int) -> list[tuple[float, int, int]]:
+    """Per probability its place among n ordered values, and the ranks (from 0) on both sides of it."""
+    return [(q * (n - 1), math.floor(q * (n - 1)), min(math.floor(q * (n - 1)) + 1, n - 1)) for q in map(float, probs)]
+
+
+def _brackets(row: Row, probs: Sequence[float], error: float) -> list[tuple[float, float]]:
+    """Disjoint ranges of values that should hold the ranks of a group; all its values where it has few."""
+    if row["_n"] * error < 4 or error >= 0.25:
+        return [(row["_min"], row["_max"])]
+    merged: list[tuple[float, float]] = []
+    for i in sorted(range(len(probs)), key=lambda i: probs[i]):
+        low = row["_min"] if probs[i] <= error else row["_at"][2 * i]
+        high = row["_max"] if probs[i] >= 1 - error else row["_at"][2 * i + 1]
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(merged[-1][1], high))
+        else:
+            merged.append((low, high))
+    return merged
+
+
+def _sketched(present: DataFrame, value: str, probs: Sequence[float], by: Sequence[str], error: float) -> list[Row]:
+    """One row per group: n, smallest, largest, NaN rows, and the estimated values on both sides of each probability."""
+    aside = 1.75 * error
+    at = F.array(*[F.lit(min(1.0, max(0.0, q + d))) for q in probs for d in (-aside, aside)])
+    usable = F.when(~F.isnan(value), F.col(value))
+    sketch = present.groupBy(*by).agg(
+        F.count(usable).alias("_n"), F.min(usable).alias("_min"), F.max(usable).alias("_max"), F.count_if(F.isnan(value)).alias("_nan"),
+        F.kll_sketch_agg_double(usable, F.lit(SKETCH_SIZE)).alias("_sketch"),
+    )
+    estimate = F.when(F.col("_n") > 0, F.kll_sketch_get_quantile_double("_sketch", at))
+    return sketch.select(*by, "_n", "_min", "_max", "_nan", estimate.alias("_at")).collect()
+
+
+def _cells(present: DataFrame, value: str, by: Sequence[str], brackets: list[tuple]) -> DataFrame:
+    """by, _gap, _part, value, _rows: rows in brackets counted by value, all others by the gap before a bracket they are in."""
+    spark = present.sparkSession
+    depth = max(len(b[-1]) for b in brackets).bit_length()
+    width = (1 << depth) - 1
+    rows = [(*b[:-1], [lo for lo, _ in b[-1]], [hi for _, hi in b[-1]] + [float("inf")] * (width - len(b[-1]))) for b in brackets]
+    keys = ", ".join(f"_key{i} {present.schema[c].dataType.simpleString()}" for i, c in enumerate(by))
+    table = spark.createDataFrame(rows, f"{keys + ', ' if keys else ''}_lows array<double>, _highs array<double>")
+    numbers = present.filter(~F.isnan(value))
+    if by:  # one row per group
+        same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(by)]
+        placed = numbers.join(F.broadcast(table), same)
+    else:
+        placed = numbers.withColumns({c: F.lit(rows[0][i]).cast("array<double>") for i, c in enumerate(("_lows", "_highs"))})
+    placed = placed.withColumn("_gap", F.lit(0))
+    gap = F.col("_gap")
+    for i in range(depth - 1, -1, -1):  # how many brackets end below the value
+        placed = placed.withColumn("_gap", F.when(F.get("_highs", gap + ((1 << i) - 1)) < F.col(value), gap + (1 << i)).otherwise(gap))
+    low, high = F.get("_lows", gap), F.get("_highs", gap)
+    inside = F.coalesce(F.col(value) >= low, F.lit(False)) & (gap < F.size("_lows"))
+    span = high - low
+    part = F.when(inside & (span > 0) & (span < float("inf")), F.floor((F.col(value) - low) / span * (PARTS - 1)).cast("int"))
+    cells = placed.select(*by, "_gap", F.when(inside, F.coalesce(part, F.lit(0))).alias("_part"), F.when(inside, F.col(value)).alias(value))
+    return cells.groupBy(*by, "_gap", "_part", value).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def _cheap_to_read_twice(df: DataFrame) -> DataFrame:
+    """``df`` if it is a scan with steps in place, else its rows written once: what lies behind a shuffle is not done twice."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return materialise(df, "quantile-values") if re.search(r"\b(Join|Aggregate|Window|Sort|Repartition\w*)\b", plan) else df
+
+
+def _two_pass_quantiles(present: DataFrame, value: str, probs: Sequence[float], by: Sequence[str]) -> list[tuple]:
+    """(by, n, quantiles) of every group, on the driver: the table is read twice, by a sketch and by a count.
+
+    The sketch brackets each rank between two values. The count tells how many rows lie below each bracket and how they
+    spread over its parts; only the values of the parts that hold a rank are ordered. Counts are exact, so a rank that is
+    not where the sketch said is noticed and its bracket widened.
+    """
+    present = _cheap_to_read_twice(present)
+    spark, error = present.sparkSession, SKETCH_ERROR
+    groups = _sketched(present, value, probs, by, error)
+    found: dict[tuple, dict[int, float]] = {}
+    sizes = {tuple(r[c] for c in by): (r["_n"], r["_n"] + r["_nan"]) for r in groups}
+    open_groups = [r for r in groups if r["_n"]]
+    while open_groups:
+        named = [(tuple(r[c] for c in by), _brackets(r, probs, error)) for r in open_groups]
+        cells = materialise(_cells(present, value, by, [(*k, b) for k, b in named]), "quantile-cells")
+        counted: dict[tuple, list] = {}
+        for r in cells.groupBy(*by, "_gap", "_part").agg(F.sum("_rows").alias("_rows")).collect():  # PARTS a bracket at most
+            counted.setdefault(tuple(r[c] for c in by), []).append((r["_gap"], -1 if r["_part"] is None else r["_part"], r["_rows"]))
+        wanted, missed = [], []
+        for row, (key, _) in zip(open_groups, named, strict=True):
+            usable, n = sizes[key]
+            ranks = sorted({r for _, a, b in _ranks(probs, n) for r in (a, b) if r < usable})
+            ahead, held = 0, []
+            for gap, part, rows in sorted(counted[key]):
+                inside = [r for r in ranks if ahead <= r < ahead + rows]
+                if inside:
+                    held.append((*key, gap, part, ahead, inside))
+                ahead += rows
+            if any(h[len(by) + 1] < 0 for h in held):
+                missed.append(row)
+            else:
+                wanted += held
+        if wanted:
+            keys = "".join(f"_key{i} {present.schema[c].dataType.simpleString()}, " for i, c in enumerate(by))
+            table = spark.createDataFrame(wanted, f"{keys}_g int, _p int, _ahead bigint, _ranks array<bigint>")
+            same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(by)]
+            inside = Window.partitionBy(*by, "_gap", "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+            near = cells.join(F.broadcast(table), [*same, F.col("_gap") == F.col("_g"), F.col("_part") == F.col("_p")])
+            near = near.withColumn("_upto", F.col("_ahead") + F.sum("_rows").over(inside))
+            here = F.filter("_ranks", lambda r: (r >= F.col("_upto") - F.col("_rows")) & (r < F.col("_upto")))
+            for r in near.select(*by, value, F.explode(here).alias("_rank")).collect():  # one row per rank
+                found.setdefault(tuple(r[c] for c in by), {})[r["_rank"]] = r[value]
+        open_groups, error = missed, error * 8
+        if missed:
+            groups = _sketched(present, value, probs, by, error)
+            names = {tuple(r[c] for c in by) for r in missed}
+            open_groups = [r for r in groups if tuple(r[c] for c in by) in names]
+    out = []
+    for key, (_, n) in sizes.items():
+        held = found.get(key, {})
+        values = []
+        for at, a, b in _ranks(probs, n) if n else []:
+            low, high = held.get(a, float("nan")), held.get(b, float("nan"))
+            values.append(low if at == a else low + (high - low) * (at - a))
+        out.append((*key, n, values) if n else (*key, None, [None] * len(probs)))
+    return out
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -159,48 +295,21 @@ def exact_quantiles(
     few_groups: bool | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles per group: by, n, ``quantiles`` array (in ``probs`` order).
+    """Exact quantiles per group: by, n, ``quantiles`` array (in ``probs`` order), interpolated between neighbours.
 
-    With few groups (at most as many as the table has columns; the default without ``by``) only the buckets
-    that hold a wanted rank are looked into: rows are counted per bucket map-side, and the values of the one
-    or two buckets per quantile are all that is shuffled and ordered. The bucket list is then small enough to
-    broadcast. With many groups the running totals of all values are used.
+    With few groups (at most as many as the table has columns; the default without ``by``) the table is read twice, at
+    once: a sketch brackets the wanted ranks, and a count gathers the brackets; the result is a small local table. With many
+    groups the running totals of all values, in ``buckets`` ranges, are used. NULLs have no rank, NaN is above all numbers; without values a
+    group is missing, and without ``by`` the row is NULL.
     """
     by = list(by)
     few_groups = not by if few_groups is None else few_groups
     typed = df.select(*by, F.col(value).cast("double").alias(value))
     if not few_groups:
-        return quantiles_of_totals(running_totals(typed, value, {"_count": F.lit(1)}, by), value, "_count", probs, by)
-
-    buckets = buckets or _bucket_count(df)
-    group = ["_group"] if by else []
-    present = typed.filter(F.col(value).isNotNull()).select(*([F.struct(*by).alias("_group")] if by else []), value)
-    placed = _with_bucket(present, _split_points(present, value, group, buckets), value, group, buckets)
-    of_group = Window.partitionBy(*group)  # one row per bucket
-    counts = placed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_rows")).withColumns(
-        {
-            "_ahead": F.coalesce(
-                F.sum("_rows").over(of_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ),
-            "_count_total": F.sum("_rows").over(of_group),
-        }
-    )
-    ranks = ", ".join(
-        f"floor({float(q)!r}D * (_count_total - 1)), least(floor({float(q)!r}D * (_count_total - 1)) + 1, _count_total - 1)"
-        for q in probs
-    )
-    wanted = counts.filter(F.expr(f"exists(array({ranks}), r -> r >= _ahead AND r < _ahead + _rows)")).select(
-        *group, "_bucket", "_ahead", "_count_total"
-    )
-    inside = Window.partitionBy(*group, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    totals = (
-        placed.join(F.broadcast(wanted), [*group, "_bucket"])  # at most 2 rows per quantile and group
-        .groupBy(*group, "_bucket", value)
-        .agg(F.count(F.lit(1)).alias("_count"), F.max("_ahead").alias("_ahead"), F.max("_count_total").alias("_count_total"))
-        .withColumn("_count_upto", F.sum("_count").over(inside) + F.col("_ahead"))
-    )
-    found = quantiles_of_totals(totals, value, "_count", probs, group)
-    return found.select(*[F.col("_group").getField(k).alias(k) for k in by], "n", "quantiles")
+        return quantiles_of_totals(running_totals(typed, value, {"_count": F.lit(1)}, by, buckets), value, "_count", probs, by)
+    rows = _two_pass_quantiles(typed.filter(F.col(value).isNotNull()), value, [float(q) for q in probs], by)
+    schema = T.StructType([*[typed.schema[c] for c in by], T.StructField("n", T.LongType()), T.StructField("quantiles", T.ArrayType(T.DoubleType()))])
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def approx_quantiles(

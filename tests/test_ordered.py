@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lossgrid.operators import ordered
 from lossgrid.operators.ordered import approx_quantiles, exact_quantiles, running_totals
 
 
@@ -76,3 +79,32 @@ def test_approximate_quantiles_have_the_same_layout(spark, skewed):
     df, _ = skewed
     exact, rough = exact_quantiles(df, "v", [0.5]).first(), approx_quantiles(df, "v", [0.5]).first()
     assert rough["n"] == exact["n"] and abs(rough["quantiles"][0] - exact["quantiles"][0]) < 0.05
+
+
+@pytest.mark.parametrize("error", [1e-7, 0.0015, 0.2])
+def test_quantiles_whatever_the_sketch_says(spark, monkeypatch, error):
+    """Brackets that miss are widened, wide ones merge; ties, infinities, NaN, NULL, small and empty groups stay exact."""
+    monkeypatch.setattr(ordered, "SKETCH_ERROR", error)
+    monkeypatch.setattr(ordered, "SKETCH_SIZE", 16)
+    rng = np.random.default_rng(5)
+    values = {"a": rng.normal(size=20_000), "b": np.repeat([3.0, 7.0], [9_000, 1_000]), "c": np.array([1.0, 2.0]), None: np.arange(50.0)}
+    values["a"][:3] = [np.inf, -np.inf, 1e300]
+    rows = [(k, float(v)) for k, x in values.items() for v in x] + [("a", None), ("d", None), ("e", float("nan")), ("e", 4.0), ("e", 5.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.9, 0.0, 0.001, 0.5, 0.5, 0.25, 0.8999, 0.999]
+    found = {r["g"]: r for r in ordered.exact_quantiles(df, "v", probs, ["g"], few_groups=True).collect()}
+    assert set(found) == {"a", "b", "c", None, "e"}
+    for k, x in values.items():
+        x, at = np.sort(x), [p * (len(x) - 1) for p in probs]
+        want = [x[int(i)] if i == int(i) else x[int(i)] + (x[int(i) + 1] - x[int(i)]) * (i - int(i)) for i in at]
+        assert found[k]["n"] == len(x) and found[k]["quantiles"] == pytest.approx(want, rel=1e-12)
+    assert found["e"]["n"] == 3 and found["e"]["quantiles"][3] == 5.0 and math.isnan(found["e"]["quantiles"][-1])
+    whole = ordered.exact_quantiles(df.filter("g = 'b'"), "v", [0.5, 0.95]).first()
+    assert (whole["n"], whole["quantiles"]) == (10_000, [3.0, 7.0])
+
+
+def test_quantiles_do_not_repeat_a_shuffle(spark):
+    """A table behind a shuffle is written once and read twice; a plain scan is read where it is."""
+    scan = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    assert ordered._cheap_to_read_twice(scan.filter("o_totalprice > 0").select("o_totalprice")).inputFiles() == scan.inputFiles()
+    assert ordered._cheap_to_read_twice(scan.groupBy("o_custkey").sum("o_totalprice")).inputFiles() != scan.inputFiles()
