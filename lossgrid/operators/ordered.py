@@ -63,13 +63,13 @@ def _with_bucket(df: DataFrame, splits: Column, value: str, group: Sequence[str]
     return df.select(*columns, "_bucket")
 
 
-def bucketed(df: DataFrame, value: str, out: str) -> tuple[DataFrame, int]:
-    """Add ``out``, the number of the range of the value order a row is in, and the number of ranges.
+def bucketed(df: DataFrame, value: str, out: str, by: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """Add ``out``, the number of the range of the (group, value) order a row is in, and the number of ranges.
 
     Split points are drawn from the distinct values, so ranges hold about equally many of them.
     """
     buckets = _bucket_count(df)
-    placed = _with_bucket(df, _split_points(df, value, [], buckets), value, [], buckets)
+    placed = _with_bucket(df, _split_points(df, value, by, buckets), value, by, buckets)
     return placed.withColumnRenamed("_bucket", out), buckets
 
 

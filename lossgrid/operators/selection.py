@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lossgrid.functions.bins import edge_array_bin
 from lossgrid.functions.numeric import melt, numeric_columns
 from lossgrid.operators.categories import level_scores
+from lossgrid.operators.neighbours import neighbour_mutual_info
 from lossgrid.operators.ordered import exact_quantiles
 
 
@@ -87,15 +88,16 @@ def select_features(
     cat_cols: Sequence[str] = (),
     k: int = 20,
 ) -> DataFrame:
-    """Score table of the k best features; any method other than mutual_info means ANOVA F.
+    """Score table of the k best features: method mutual_info, neighbours (nearest-neighbour information), else ANOVA F.
 
     With ``cat_cols`` the levels of these columns, however many, compete as 0/1 features: feature, score, and the
-    ``column`` and ``level`` (NULL for a number) that a feature stands for.
+    ``column`` and ``level`` (NULL for a number) that a feature stands for. Levels have two values, so beside
+    neighbours they are scored by their plug-in information.
     """
-    score = select_mutual_info if method == "mutual_info" else select_anova_f
+    score = {"mutual_info": select_mutual_info, "neighbours": neighbour_mutual_info}.get(method, select_anova_f)
     if not cat_cols:
         return score(df, label=label, cols=cols, k=k)
-    levels = level_scores(df, label=label, cols=cat_cols, method=method, k=k)
+    levels = level_scores(df, label=label, cols=cat_cols, method="mutual_info" if method == "neighbours" else method, k=k)
     found = levels.select(F.concat_ws("_", "column", "level").alias("feature"), "score", "column", "level")
     numbers = _chosen(df, label, cols)
     if numbers:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.operators import cleaning, encoding, features, quality, selection, split
+from lossgrid.operators import cleaning, encoding, features, neighbours, quality, selection, split
 from lossgrid.plans.oracle import edge_bin, edge_list, long_form, on_loans, quantile_ctes
 from lossgrid.plans.registry import Build, Query
 from lossgrid.sources.loan_book import loan_book, read_table
@@ -418,6 +418,25 @@ MI_SQL = on_loans(
     quantile_ctes("SELECT feature, value FROM long", [i / BINS for i in range(BINS + 1)], "q"),
     f"edges AS (SELECT feature, {edge_list(BINS)} AS edges FROM q)",
 )
+_NEAR = ", ".join(f"value - lag(value, {i}) OVER w, lead(value, {i}) OVER w - value" for i in range(1, 4))
+NEIGHBOUR_SQL = on_loans(
+    "SELECT feature, greatest(0e0, (SELECT psi FROM digammas WHERE i = any_value(big)) + avg(pk.psi - pc.psi - pm.psi)) AS score FROM ranked "
+    "JOIN digammas pk ON pk.i = k JOIN digammas pc ON pc.i = n_class JOIN digammas pm ON pm.i = m "
+    "GROUP BY feature ORDER BY score DESC, feature LIMIT 8",
+    FILLED_CTE,
+    f"long AS ({long_form(SCORED, ['y'], 'filled')})",
+    "near AS (SELECT *, list_sort(list_filter(gaps, lambda g: g IS NOT NULL))[least(3, n_class - 1)] AS r FROM (SELECT *, "
+    f"[{_NEAR}] AS gaps, count(*) OVER (PARTITION BY feature, y) AS n_class, count(*) OVER (PARTITION BY feature, y, value) AS twins, "
+    "count(*) OVER (PARTITION BY feature, value) AS equals, count(*) OVER (PARTITION BY feature) AS big FROM long "
+    "WINDOW w AS (PARTITION BY feature, y ORDER BY value)))",
+    "upto AS (SELECT feature, value AS v, sum(count(*)) OVER (PARTITION BY feature ORDER BY value) AS rows FROM long GROUP BY feature, value)",
+    "below AS (SELECT near.*, value + r AS high, coalesce(u.rows, 0) AS lost FROM near ASOF LEFT JOIN upto u "
+    "ON near.feature = u.feature AND near.value - r >= u.v)",
+    "ranked AS (SELECT below.feature, big, n_class, CASE WHEN r > 0 THEN least(3, n_class - 1) ELSE twins END AS k, "
+    "CASE WHEN r > 0 THEN u.rows - lost ELSE equals END AS m FROM below ASOF LEFT JOIN upto u ON below.feature = u.feature AND below.high > u.v)",
+    "digammas AS (SELECT i, sum(CASE WHEN i > 1 THEN 1e0 / (i - 1) ELSE 0e0 END) OVER (ORDER BY i) - 0.5772156649015329e0 AS psi "
+    "FROM range(1, (SELECT count(*) + 1 FROM loan)) t(i))",
+)
 _CORR_PAIRS = [(a, b) for a in CORRELATED for b in CORRELATED]
 SPLIT_HASH = "('0x' || substr(md5('42|' || id::VARCHAR), 1, 13))::BIGINT"
 
@@ -455,6 +474,10 @@ MODEL_INPUT_QUERIES = {
         lambda spark, sf_dir: selection.select_mutual_info(_scored(spark, sf_dir), label="y", k=8),
         "feature:s score:10", MI_SQL,
     ),
+    "select_neighbour_info": Query(
+        lambda spark, sf_dir: neighbours.neighbour_mutual_info(_scored(spark, sf_dir), label="y", k=8),
+        "feature:s score:8", NEIGHBOUR_SQL,
+    ),
     "select_anova_f": Query(
         lambda spark, sf_dir: selection.select_anova_f(_scored(spark, sf_dir), label="y", k=5),
         "feature:s score:7", ANOVA_SQL,
