@@ -213,7 +213,7 @@ def _two_sample_totals(long: DataFrame) -> DataFrame:
     return running_totals(long, "value", {"n_ref": F.col("n_ref"), "n_cur": F.col("n_cur")}, [KEY])
 
 
-def _ks_aggregates() -> list[Column]:
+def ks_aggregates() -> list[Column]:
     gap = F.abs(F.try_divide("n_ref_upto", "n_ref_total") - F.try_divide("n_cur_upto", "n_cur_total"))
     return [
         F.max(gap).alias("ks_statistic"),
@@ -226,7 +226,7 @@ def ks_two_sample(df: DataFrame, *, features: Sequence[str], is_ref: str, by: Se
     """Two-sample KS distance, limiting p-value and its significance per feature."""
     totals = _two_sample_totals(_long(df, features, is_ref, by))
     p = kolmogorov_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"))
-    found = totals.groupBy(KEY).agg(*_ks_aggregates()).withColumn("p_value", p)
+    found = totals.groupBy(KEY).agg(*ks_aggregates()).withColumn("p_value", p)
     return _unpack(found.select(KEY, "ks_statistic", "p_value", (F.col("p_value") < SIGNIFICANCE).alias("significant_change")))
 
 
@@ -247,6 +247,19 @@ def ks_power_change(
     )
 
 
+def drift_rows(counted: DataFrame, edges: DataFrame, n_bins: int, by: Sequence[str], limits: dict[str, float]) -> DataFrame:
+    """Drift per key from rows (key, value, n_ref, n_cur) and one row of edges, KS distance and sizes per key."""
+    rows = _psi_row(counted, edges, n_bins, by, ["ks_statistic", "n_reference", "n_current"]).withColumn("psi", _psi_value())
+    affected = (F.col("psi") > limits["psi_threshold"]) | (F.col("ks_statistic") > limits["ks_threshold"])
+    return rows.select(
+        f"{KEY}.*",
+        "psi",
+        "ks_statistic",
+        kolmogorov_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")).alias("ks_p_value"),
+        F.coalesce(affected, F.lit(False)).alias("affected"),
+    )
+
+
 def feature_drift(
     df: DataFrame,
     *,
@@ -263,21 +276,11 @@ def feature_drift(
     limits = merged_thresholds(thresholds)
     totals = _two_sample_totals(_long(df, features, is_ref, by))
     probs = [i / n_bins for i in range(n_bins + 1)]
-    profile = quantiles_of_totals(totals, "value", "n_ref", probs, [KEY], also=_ks_aggregates()).filter(F.col("n") > 0)
+    profile = quantiles_of_totals(totals, "value", "n_ref", probs, [KEY], also=ks_aggregates()).filter(F.col("n") > 0)
     edges = profile.select(
         KEY, F.array_distinct("quantiles").alias("edges"), "ks_statistic", "n_reference", "n_current"
     )
-    rows = _psi_row(
-        totals.select(KEY, "value", "n_ref", "n_cur"), edges, n_bins, by, ["ks_statistic", "n_reference", "n_current"]
-    ).withColumn("psi", _psi_value())
-    affected = (F.col("psi") > limits["psi_threshold"]) | (F.col("ks_statistic") > limits["ks_threshold"])
-    return rows.select(
-        f"{KEY}.*",
-        "psi",
-        "ks_statistic",
-        kolmogorov_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")).alias("ks_p_value"),
-        F.coalesce(affected, F.lit(False)).alias("affected"),
-    )
+    return drift_rows(totals.select(KEY, "value", "n_ref", "n_cur"), edges, n_bins, by, limits)
 
 
 def score_drift(df: DataFrame, *, score: str, is_ref: str, n_bins: int = 10) -> DataFrame:
@@ -315,14 +318,19 @@ def drift_verdict(
     score_name = "score:" + score
     tagged = df.withColumn(score_name, F.col(score))
     drift = feature_drift(tagged, features=[*features, score_name], is_ref=is_ref, n_bins=n_bins, thresholds=limits)
+    target = target_drift(df, label=label, is_ref=is_ref).agg(F.max("relative_change")).scalar()
+    return verdict_row(drift, score_name, target, limits)
+
+
+def verdict_row(drift: DataFrame, score_name: str, target_change: Column, limits: dict[str, float]) -> DataFrame:
+    """The verdict from drift rows of the features and the score, and the relative change of the default rate."""
     is_score = F.col("feature") == score_name
     one = drift.agg(
         F.max(F.when(is_score, F.col("psi"))).alias("score_psi"),
         F.max(F.when(is_score, F.col("ks_statistic"))).alias("score_ks"),
         F.sort_array(F.collect_list(F.when(~is_score & F.col("affected"), F.col("feature")))).alias("drifted"),
     )
-    target = target_drift(df, label=label, is_ref=is_ref).agg(F.max("relative_change")).scalar()
-    one = one.withColumn("target_change", target)
+    one = one.withColumn("target_change", target_change)
     shifted = F.when(F.col("target_change") > limits["default_rate_shift"], F.array(F.lit("target_distribution")))
     one = one.withColumn("affected_features", F.concat("drifted", F.coalesce(shifted, F.array().cast("array<string>"))))
     marks = F.array(

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossgrid.operators import alerts, discrimination, drift
+from lossgrid.operators import alerts, discrimination, drift, profiles
 from lossgrid.plans.oracle import edge_bin, edge_list, kolmogorov, on_loans, quantile_ctes, score_ctes
 from lossgrid.plans.registry import Query
 from lossgrid.session import materialise, scratch_dir
@@ -23,7 +23,7 @@ MODEL = "loan_default_model"
 
 def drifting_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loans before and after the cut-off date; score and revolving balance move between the periods."""
-    loans = loan_book(spark, sf_dir, "id", "is_ref", "y", "pd_12m", *FEATURES)
+    loans = loan_book(spark, sf_dir, "id", "is_ref", "y", "pd_12m", "issue_ts", *FEATURES)
     moved = F.lit(1) - F.col("is_ref")
     return loans.withColumns(
         {
@@ -71,6 +71,31 @@ def loan_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def loan_profile(spark: SparkSession, sf_dir: str) -> profiles.Profile:
+    """Profile of the loans before the cut-off, from parts by quarter, one of them written twice; saved and loaded."""
+    loans = drifting_loans(spark, sf_dir).withColumn("quarter", F.quarter("issue_ts"))
+    before = loans.filter(F.col("is_ref") == 1)
+    counts, saved = scratch_dir(spark, "profile-counts"), scratch_dir(spark, "profile")
+    for quarter in (1, 2, 3, 4, 2):
+        part = profiles.value_counts(before.filter(F.col("quarter") == quarter), features=FEATURES, score="score", label="y")
+        profiles.write_counts(part, counts, part=f"q{quarter}")
+    profiles.build_profile(profiles.read_counts(spark, counts), n_bins=N_BINS).save(saved)
+    return profiles.Profile.load(spark, saved)
+
+
+def profile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    current = drifting_loans(spark, sf_dir).filter(F.col("is_ref") == 0)
+    return profiles.drift_from_profile(current, loan_profile(spark, sf_dir), features=FEATURES)
+
+
+def profile_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    current = drifting_loans(spark, sf_dir).filter(F.col("is_ref") == 0)
+    verdict = profiles.verdict_from_profile(current, loan_profile(spark, sf_dir), score="score", label="y", features=FEATURES)
+    return verdict.withColumns(
+        {"drift_indicators": F.concat_ws(",", "drift_indicators"), "affected_features": F.concat_ws(",", "affected_features")}
+    )
+
+
 def alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alert table after a run of two days' reports and a repetition of the second."""
     found, path = materialise(daily_alerts(spark, sf_dir), "daily-alerts"), scratch_dir(spark, "alert-table")
@@ -269,6 +294,11 @@ QUERIES = {
         "feature:s psi:9 ks_statistic:10 ks_p_value:9 affected:b",
         on_loans(f"SELECT * FROM ({DRIFT_SQL}) WHERE feature <> 'score'", *ALL_CTES),
     ),
+    "profile_drift": Query(
+        profile_drift,
+        "feature:s psi:9 ks_statistic:10 ks_p_value:9 affected:b",
+        on_loans(f"SELECT * FROM ({DRIFT_SQL}) WHERE feature <> 'score'", *ALL_CTES),
+    ),
     "score_drift": Query(
         lambda s, d: drift.score_drift(drifting_loans(s, d), score="score", is_ref="is_ref"),
         "psi:9 ks_statistic:10 ks_p_value:9",
@@ -288,6 +318,15 @@ QUERIES = {
             *ALL_CTES, VERDICT_CTE,
         ),
     ),
+    "profile_verdict": Query(
+        profile_verdict,
+        "drift_detected:b drift_strength:s drift_indicators:s affected_features:s score_psi:9 score_ks:10 target_relative_change:9",
+        on_loans(
+            "SELECT k > 0 AS drift_detected, CASE WHEN k = 0 THEN 'None' WHEN k <= 2 THEN 'Mild' ELSE 'Severe' END AS drift_strength, "
+            "drift_indicators, affected_features, score_psi, score_ks, change AS target_relative_change FROM verdict",
+            *ALL_CTES, VERDICT_CTE,
+        ),
+    ),
     "alerts": Query(
         lambda s, d: daily_alerts(s, d).withColumn("day", F.to_date("ts")),
         "type:s value:12 threshold:6 message:s day:d",
