@@ -7,13 +7,18 @@ features and with label transitions (inside never follows outside); Viterbi deco
 whole text. A token can be in a span only if some run of tokens through it scores at least as well as outside;
 that bound comes from running sums, so the exact decoding has to walk only through the few stretches it leaves.
 
-The field is trained here, by maximum likelihood, on what the patterns find: windows around a match and windows of
-texts without one, from at most ``SAMPLE`` documents of either kind with the smallest hash of their id.
+The field is trained here, by maximum likelihood, on windows of at most ``SAMPLE`` documents with and as many without
+a pattern match, those with the smallest hash of their id. Each gives two windows: one around a match (or at a random
+place of a text without), and one around a line that is written into the text at a random place: a secret in one of
+``FORMS``, most of which the patterns do not know, or harmless text that looks like one. Places and secrets follow from
+the document's id, so a rerun trains the same field.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +31,7 @@ from lossgrid.llm import words
 from lossgrid.llm.arrow import batch, id_and_text, schema_with, small, utf8
 from lossgrid.session import materialise
 
-SAMPLE = 600
+SAMPLE = 400
 WINDOW = 48
 ROUNDS = 120
 RATE = 0.15
@@ -61,6 +66,63 @@ def pattern_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+# --- secrets and harmless text that are written into training texts ----------------------------------------
+
+ALNUM = string.ascii_letters + string.digits
+BASE64 = ALNUM + "+/"
+URL_SAFE = ALNUM + "-_"
+LOUD = ALNUM + "!@#$%^&*"
+
+#: Text ahead, fixed head of the secret, alphabet, least and greatest length of the rest, text behind.
+FORMS = (
+    ("pwd = ", "", LOUD, 8, 20, ""),
+    ("pwd: '", "", LOUD, 8, 20, "'"),
+    ("passphrase: ", "", ALNUM, 12, 28, ""),
+    ("credential=", "", ALNUM, 16, 40, ""),
+    ("auth_key = \"", "", BASE64, 24, 44, "\""),
+    ("private_key: ", "", BASE64, 40, 64, ""),
+    ("access key ", "", BASE64, 40, 40, ""),
+    ("Authorization: Bearer ", "", URL_SAFE, 24, 60, ""),
+    ("Authorization: Basic ", "", BASE64, 16, 40, "=="),
+    ("", "ghp_", ALNUM, 36, 36, ""),
+    ("", "sk_live_", ALNUM, 24, 32, ""),
+    ("", "xoxb-", string.digits, 12, 12, ""),
+    ("", "AIza", URL_SAFE, 35, 35, ""),
+    ("", "AKIA", string.ascii_uppercase + string.digits, 16, 16, ""),
+    ("password = ", "", ALNUM, 8, 20, ""),
+    ("secret: ", "", BASE64, 20, 44, ""),
+)
+HARMLESS = (
+    "version 10.4.2-rc1", "see https://example.org/docs/Some_Page-42?id=1234&lang=en", "2024-05-17T08:22:41Z",
+    "the key is required", "password must have eight letters", "ISBN 978-3-16-148410-0", "HTTPServerFactoryBean42",
+    "a token budget of 4096 words", "call +49 30 1234567", "the secret of the village", "key = value", "auth: required",
+    "order A-1234567 of 2023", "123e4567-e89b-12d3-a456-426614174000", "access to the private beach", "x_max = 0.125 * y_min",
+    "internationalization", "the bearer of good news", "1,234,567.89 EUR", "mail info@example.org",
+)
+
+
+def planted(rng: random.Random) -> tuple[str, int, int]:
+    """A line to write into a text, and the start and end of the secret in it (equal for harmless lines)."""
+    if rng.random() < 0.3:
+        return rng.choice(HARMLESS), 0, 0
+    if rng.random() < 0.1:
+        secret = ".".join("eyJ" * (k < 2) + "".join(rng.choices(URL_SAFE, k=rng.randint(16, 44))) for k in range(3))
+        ahead, behind = rng.choice(("", "Bearer ", "jwt: ")), ""
+    else:
+        ahead, head, letters, least, most, behind = rng.choice(FORMS)
+        secret = head + "".join(rng.choices(letters, k=rng.randint(least, most)))
+    return ahead + secret + behind, len(ahead), len(ahead) + len(secret)
+
+
+def write_into(text: str, rng: random.Random) -> tuple[str, int, int, int]:
+    """The text with a line written in ahead of a random space; the place, and the secret's start and end."""
+    line, start, end = planted(rng)
+    at = text.find(" ", rng.randrange(len(text) + 1))
+    at = len(text) if at < 0 else at
+    gap = rng.choice((" ", "\n"))
+    return f"{text[:at]}{gap}{line}{gap}{text[at:]}", at + 1, at + 1 + start, at + 1 + end
+
+
 # --- tokens and features ----------------------------------------------------------------------------------
 
 _LETTER = np.zeros(256, np.uint8)
@@ -311,14 +373,10 @@ def _secret_part(text: str, kind: int, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
-def _labels(block: words.Block, i: int, found: Tokens, text: str) -> np.ndarray:
-    """Labels of the tokens of a text by the patterns."""
-    a, b = int(found.first[i]), int(found.first[i + 1])
-    labels = np.zeros(b - a, np.int64)
-    place = _char_places(block, i)
-    starts, ends = place[found.starts[a:b] - block.text_starts[i]], place[found.ends[a:b] - block.text_starts[i]]
-    for start, kind, end in pattern_spans(text):
-        low, high = _secret_part(text, kind, start, end)
+def _labels(starts: np.ndarray, ends: np.ndarray, secrets: list[tuple[int, int]]) -> np.ndarray:
+    """Labels of the tokens (code point ranges) of a text; of overlapping secrets the first counts."""
+    labels = np.zeros(len(starts), np.int64)
+    for low, high in secrets:
         inside = np.flatnonzero((starts < high) & (ends > low))
         if len(inside) and labels[inside].max() == 0:
             labels[inside] = INSIDE
@@ -326,8 +384,19 @@ def _labels(block: words.Block, i: int, found: Tokens, text: str) -> np.ndarray:
     return labels
 
 
+def _variants(doc_id: object, text: str) -> Iterator[tuple[str, list[tuple[int, int]], int, int]]:
+    """What a text gives to the training: (text, secrets, place to look at, tokens of the window ahead of it)."""
+    rng = random.Random(str(doc_id))
+    found = [_secret_part(text, kind, start, end) for start, kind, end in pattern_spans(text)]
+    place = found[len(found) // 2][0] if found else rng.randrange(len(text) + 1)
+    yield text, found, place, rng.randrange(WINDOW // 4, 3 * WINDOW // 4)
+    text, place, start, end = write_into(text, rng)
+    found = [_secret_part(text, kind, a, b) for a, kind, b in pattern_spans(text)]
+    yield text, [(start, end)] * (end > start) + found, place, rng.randrange(WINDOW // 4, 3 * WINDOW // 4)
+
+
 def train(base: DataFrame, *, sample: int = SAMPLE) -> Field:
-    """Fit on one window from each of at most ``sample`` texts with, and as many without, a pattern match."""
+    """Fit on two windows from each of at most ``sample`` texts with, and as many without, a pattern match."""
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in small(batches):
@@ -346,25 +415,26 @@ def train(base: DataFrame, *, sample: int = SAMPLE) -> Field:
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in small(batches):
-            texts = part.column(1).to_pylist()
-            rows: list[tuple] = []
-            for block in words.blocks([t.encode() for t in texts]):
-                found = tokens(block)
-                for i, doc in enumerate(block.docs):
-                    labels = _labels(block, i, found, texts[doc])
-                    hits = np.flatnonzero(labels == BEGIN)
-                    low = max(0, int(hits[len(hits) // 2]) - WINDOW // 2) if len(hits) else 0
-                    at = slice(int(found.first[i]) + low, min(int(found.first[i]) + low + WINDOW, int(found.first[i + 1])))
-                    cut = labels[low : low + WINDOW].copy()
+            ids, features, label_rows = [], [], []
+            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                for changed, secrets, place, ahead in _variants(doc_id, text):
+                    block = next(words.blocks([changed.encode()]))
+                    found = tokens(block)
+                    points = _char_places(block, 0)
+                    starts, ends = points[found.starts], points[found.ends]
+                    labels = _labels(starts, ends, secrets)
+                    low = max(0, int(np.searchsorted(starts, place)) - ahead)
+                    cut = labels[low : low + WINDOW]
                     if len(cut) and cut[0] == INSIDE:
                         cut[0] = BEGIN
-                    rows.append((found.features[at].ravel().tolist(), cut.tolist()))
-            features, labels = zip(*rows) if rows else ((), ())
+                    ids.append(doc_id)
+                    features.append(found.features[low : low + WINDOW].ravel().tolist())
+                    label_rows.append(cut.tolist())
             yield batch(
                 {
-                    "doc_id": part.column(0),
+                    "doc_id": pa.array(ids, part.column(0).type),
                     "features": pa.array(features, pa.list_(pa.int32())),
-                    "labels": pa.array(labels, pa.list_(pa.int32())),
+                    "labels": pa.array(label_rows, pa.list_(pa.int32())),
                 }
             )
 
