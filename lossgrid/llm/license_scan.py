@@ -1,9 +1,16 @@
 """Licence statements and texts, found by the Dice coefficient over word bigrams.
 
-Units of a text (lines, paragraphs of several lines, the whole text) and licence templates are normalised alike:
-A-Z in lower case, ASCII marks as spaces. A unit matches a template when 2 * common / (own + template) distinct
-bigrams reaches a threshold. A coefficient of t needs sizes within (2 - t) / t of each other, which leaves few
-templates per unit; and units that share no bigram with any template are never looked at one by one.
+Texts and licence templates are normalised alike: A-Z in lower case, ASCII marks as spaces. A stretch of words matches
+a template when 2 * common / (own + template) distinct bigrams reaches a threshold. Stretches are of two kinds:
+
+* units: lines, paragraphs of several lines, the whole text. A coefficient of t needs sizes within (2 - t) / t of each
+  other, which leaves few templates per unit.
+* windows of as many words as a template has, which find it between other words of a line, or with words changed.
+  Running sums over the bigrams of one template bound what a window can share with it; only windows that begin with
+  such a bigram and reach the bound are compared. Of overlapping matches the one with the highest coefficient stays,
+  then the longest, the first, the first by identifier; windows that touch a matching unit do not count.
+
+Texts that hold too few template bigrams for any match are never looked at one by one.
 """
 
 from __future__ import annotations
@@ -29,9 +36,28 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "\"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
         "specific language governing permissions and limitations under the License.",
     ),
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+    ),
+    "BSD-2-Clause": (
+        "Licensed under the BSD 2-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution.",
+    ),
     "BSD-3-Clause": (
         "Licensed under the BSD 3-Clause License.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used "
+        "to endorse or promote products derived from this software without specific prior written permission.",
     ),
     "CC-BY-4.0": (
         "Licensed under CC BY 4.0.",
@@ -45,7 +71,17 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
+    "CC0-1.0": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this "
+        "work.",
+        "Released under CC0 1.0 Universal Public Domain Dedication.",
+    ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version.",
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
@@ -58,6 +94,16 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version.",
+    ),
+    "LGPL-3.0": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+    ),
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -69,7 +115,14 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means.",
+    ),
 }
+#: Every licence can also be named by a tag.
+TEMPLATES = {name: (*texts, f"SPDX-License-Identifier: {name}") for name, texts in TEMPLATES.items()}
 
 #: Capitals in lower case, marks as spaces; line feeds stay.
 PLAIN = bytes(
@@ -77,20 +130,28 @@ PLAIN = bytes(
 )
 
 
+def bigram_list(text: str) -> np.ndarray:
+    """Bigram hashes of a normalised text, in order."""
+    raw = text.encode().translate(PLAIN)
+    return words.ngram_hashes(next(words.blocks([raw], len(raw) + 1)).hashes(), 2)
+
+
 def bigrams(text: str) -> np.ndarray:
     """Sorted distinct bigram hashes of a normalised text."""
-    raw = text.encode().translate(PLAIN)
-    return np.unique(words.ngram_hashes(next(words.blocks([raw], len(raw) + 1)).hashes(), 2))
+    return np.unique(bigram_list(text))
 
 
 class Matcher:
     """Templates (of two words or more) by size, and all their bigrams."""
 
     def __init__(self, templates: Mapping[str, tuple[str, ...]], threshold_pct: int) -> None:
-        listed = [(len(b), name, b) for name, texts in templates.items() for b in map(bigrams, texts) if len(b)]
-        self.templates = sorted(listed, key=lambda x: (x[0], x[1]))
+        listed = [(len(np.unique(b)), name, np.unique(b), len(b)) for name, texts in templates.items() for b in map(bigram_list, texts) if len(b)]
+        listed.sort(key=lambda x: (x[0], x[1]))
+        self.templates = [x[:3] for x in listed]
+        self.lengths = [x[3] for x in listed]  # bigrams in order, repeats included
         self.sizes = np.array([n for n, _, _ in self.templates], np.int64)
         self.any = np.unique(np.concatenate([b for _, _, b in self.templates] or [np.empty(0, np.uint64)]))
+        self.member = np.array([np.isin(self.any, b) for _, _, b in self.templates]).reshape(-1, len(self.any))
         self.pct = threshold_pct
         # The smallest template needs so many common bigrams with the smallest unit that can match it.
         smallest = int(self.sizes.min()) if len(self.sizes) else 0
@@ -115,6 +176,40 @@ class Matcher:
         return found[1] if found else None
 
 
+    def windows(self, pairs: np.ndarray, free: np.ndarray) -> list[tuple[int, int, int, int, str]]:
+        """(start, end, common, sum of sizes, licence) of the matching windows over the bigrams of a text, without
+        overlaps, as word ranges; windows hold only bigrams that are ``free``."""
+        if not len(self.any):
+            return []
+        at = np.minimum(np.searchsorted(self.any, pairs), len(self.any) - 1)
+        known = np.flatnonzero((self.any[at] == pairs) & free)
+        needs = [-(-self.pct * (n + self._low(n)) // 200) for n in self.sizes.tolist()]
+        held = np.bincount(at[known], minlength=len(self.any))
+        enough = np.flatnonzero((self.member & (held > 0)).sum(axis=1) >= needs)
+        taken = np.concatenate([[0], np.cumsum(~free)]) if len(enough) else None
+        found = []
+        for k in enough.tolist():
+            (size, name, other), length, need = self.templates[k], self.lengths[k], needs[k]
+            places = known[self.member[k][at[known]]]
+            # A window begins with a bigram of the template; towards the end of the text windows are cut short.
+            ends = np.minimum(places + length, len(pairs))
+            count = np.searchsorted(places, ends) - np.arange(len(places))
+            some = (count >= need) & (taken[ends] == taken[places])
+            for a, b in zip(places[some].tolist(), ends[some].tolist()):
+                own = np.unique(pairs[a:b])
+                common = len(np.intersect1d(own, other, assume_unique=True))
+                if 200 * common >= self.pct * (len(own) + size):
+                    found.append((-common / (len(own) + size), a - b, a, name, common, len(own) + size))
+        found.sort()
+        used = np.zeros(len(pairs) + 1, bool)
+        kept = []
+        for _, width, a, name, common, both in found:
+            if not used[a : a - width + 1].any():
+                used[a : a - width + 1] = True
+                kept.append((a, a - width + 1, common, both, name))
+        return kept
+
+
 def units(block: words.Block, i: int) -> np.ndarray:
     """Word ranges (rows of first, end) of the lines with words of a text, of its paragraphs of several such lines,
     and of the whole text if it has several paragraphs. Paragraphs are divided by lines without words."""
@@ -145,7 +240,7 @@ def scan(
     """One row per row: doc_id, n_matches, licenses, best_license, best_common, best_total, spans.
 
     ``licenses`` lists the distinct licences found, by identifier and joined by commas; ``best_license`` has the
-    highest coefficient 2 * best_common / best_total. ``spans`` lists licence:start:end of the matching units, from
+    highest coefficient 2 * best_common / best_total. ``spans`` lists licence:start:end of the matching units and windows, from
     their first word to their last, in code points (end exclusive), by start, then longer first. NULL counts as ''; a
     text without a match has 0, '' and NULL for the best. Equal texts get equal results.
     """
@@ -155,18 +250,23 @@ def scan(
         ranges = units(block, i)
         several = ranges[ranges[:, 1] - ranges[:, 0] > 1]
         some = several[total[several[:, 1] - 1] - total[several[:, 0]] >= matcher.least]
-        found = []
-        lead = None
+        first, last = int(block.first[i]), int(block.first[i + 1])
+        free = np.ones(max(last - first - 1, 0), bool)
+        places = []
         for a, b in some.tolist():
             match = matcher.best(np.unique(pairs[a : b - 1]))
             if match:
-                if lead is None:
-                    own = block.data[block.text_starts[i] : block.text_ends[i]]
-                    lead = np.concatenate([[0], np.cumsum((own & 0xC0) != 0x80)])
-                begin, end = block.starts[a] - block.text_starts[i], block.ends[b - 1] - block.text_starts[i]
-                found.append((int(lead[begin]), -int(lead[end]), match))
-        if not found:
+                places.append((a, b, match))
+                free[max(a - first - 1, 0) : b - first] = False
+        for a, b, *match in matcher.windows(pairs[first : max(last - 1, first)], free):
+            places.append((first + a, first + b, tuple(match)))
+        if not places:
             return 0, "", None, None, None, ""
+        own = block.data[block.text_starts[i] : block.text_ends[i]]
+        lead = np.concatenate([[0], np.cumsum((own & 0xC0) != 0x80)])
+        begin = np.array([block.starts[a] for a, _, _ in places]) - block.text_starts[i]
+        end = np.array([block.ends[b - 1] for _, b, _ in places]) - block.text_starts[i]
+        found = [(int(lead[x]), -int(lead[y]), match) for x, y, (_, _, match) in zip(begin, end, places)]
         found.sort()
         best = min(found, key=lambda x: (-x[2][0] / x[2][1], x[2][2]))[2]
         return (
