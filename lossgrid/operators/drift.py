@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lossgrid.functions.bins import edge_array_bin
 from lossgrid.functions.numeric import melt
@@ -52,6 +55,41 @@ def kolmogorov_p_value(distance: Column, n: Column, m: Column) -> Column:
     return F.when(z.isNotNull(), F.greatest(F.least(p, F.lit(1.0)), F.lit(0.0)))
 
 
+def _share_of_orderings(distance: float, n: int, m: int) -> float:
+    """Share of the orderings of n and m values with at least this distance.
+
+    An ordering is a lattice path. ``at`` has, along one diagonal, the probability of each point without having left the
+    band of smaller distances; what stands outside is added up, so small shares are sums of small numbers.
+    """
+    a, b = min(n, m), max(n, m)
+    limit = round(distance * a * b)
+    x = np.arange(a + 1)
+    at = np.zeros(a + 1)
+    at[0] = 1.0
+    gone = 0.0
+    for step in range(a + b):
+        outside = np.abs(x * (a + b) - step * a) >= limit
+        gone += at[outside].sum()
+        at[outside] = 0.0
+        at /= a + b - step
+        along = at * (a - x)
+        at *= b - step + x
+        at[1:] += along[:-1]
+    return min(gone, 1.0)
+
+
+@F.pandas_udf(T.DoubleType())
+def _orderings(distance: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    rows = zip(distance, n, m)
+    return pd.Series([None if pd.isna(d) else _share_of_orderings(d, int(i), int(j)) for d, i, j in rows], dtype="float64")
+
+
+def exact_kolmogorov_p_value(distance: Column, n: Column, m: Column) -> Column:
+    """Exact two-sided p-value; NULL without a distance or for an empty sample. Takes (n + m) * min(n, m) small steps."""
+    known = distance.isNotNull() & (F.least(n, m) > 0)
+    return _orderings(F.when(known, distance), F.coalesce(n, F.lit(0)), F.coalesce(m, F.lit(0)))
+
+
 KEY = "_key"  # struct of the group columns and the feature: NULL groups match in plain joins
 
 
@@ -222,10 +260,20 @@ def ks_aggregates() -> list[Column]:
     ]
 
 
-def ks_two_sample(df: DataFrame, *, features: Sequence[str], is_ref: str, by: Sequence[str] = ()) -> DataFrame:
-    """Two-sample KS distance, limiting p-value and its significance per feature."""
+def ks_two_sample(
+    df: DataFrame, *, features: Sequence[str], is_ref: str, by: Sequence[str] = (), exact_rows: int = 0
+) -> DataFrame:
+    """Two-sample KS distance, p-value and its significance per feature.
+
+    The p-value is exact where neither sample has more than ``exact_rows`` values (0: nowhere), else the limiting one.
+    The exact one walks over a lattice of n by m points, one row per pair of samples, in Python.
+    """
     totals = _two_sample_totals(_long(df, features, is_ref, by))
-    p = kolmogorov_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"))
+    sample = F.col("ks_statistic"), F.col("n_reference"), F.col("n_current")
+    p = kolmogorov_p_value(*sample)
+    if exact_rows:
+        small = F.greatest("n_reference", "n_current") <= exact_rows
+        p = F.when(small, exact_kolmogorov_p_value(F.when(small, sample[0]), *sample[1:])).otherwise(p)
     found = totals.groupBy(KEY).agg(*ks_aggregates()).withColumn("p_value", p)
     return _unpack(found.select(KEY, "ks_statistic", "p_value", (F.col("p_value") < SIGNIFICANCE).alias("significant_change")))
 

@@ -178,6 +178,7 @@ def ks_ctes(key: str = "feature", source: str = "src") -> str:
     )
 
 
+EXACT_ROWS = 1000
 READING = (
     "CASE WHEN psi < 0.1e0 THEN 'No significant change' WHEN psi < 0.25e0 THEN 'Some minor change' "
     "ELSE 'Major shift in population' END"
@@ -279,6 +280,19 @@ QUERIES = {
             MOVED_CTE, f"src AS ({_long_sql(['score', 'dti', 'exposure'])})", ks_ctes(),
         ),
     ),
+    "ks_exact_daily": Query(
+        lambda s, d: drift.ks_two_sample(daily_events(s, d), features=["value"], is_ref="is_ref", by=["day"], exact_rows=EXACT_ROWS),
+        "day:d ks_statistic:10 p_value:9 significant_change:b",
+        "WITH RECURSIVE src AS (SELECT ts::DATE AS day, value, CASE WHEN hour(ts) < 12 THEN 1 ELSE 0 END AS is_ref FROM events WHERE "
+        f"value IS NOT NULL), {ks_ctes('day')}, walk AS (SELECT day, n::BIGINT AS n, m::BIGINT AS m, round(ks * n * m)::BIGINT AS h, "
+        "0::BIGINT AS x, 0::BIGINT AS y, 1e0 AS mass, ks = 0 AS gone FROM ks "
+        f"WHERE greatest(n, m) <= {EXACT_ROWS} UNION ALL SELECT day, n, m, h, x + dx, y + dy, sum(mass * CASE WHEN dx = 1 THEN n - x ELSE m - y "
+        "END / (n + m - x - y)), abs((x + dx) * m - (y + dy) * n) >= h FROM walk, (VALUES (1, 0), (0, 1)) AS move(dx, dy) WHERE NOT gone "
+        "AND x + dx <= n AND y + dy <= m GROUP BY day, n, m, h, x + dx, y + dy), exact AS (SELECT day, sum(mass) AS p FROM walk WHERE "
+        "gone GROUP BY day) SELECT *, p_value < 0.05e0 AS significant_change FROM (SELECT ks.day, ks AS ks_statistic, CASE WHEN "
+        f"greatest(n, m) <= {EXACT_ROWS} THEN coalesce(p, 0e0) ELSE {kolmogorov('ks', 'n', 'm')} END AS p_value FROM ks LEFT JOIN exact "
+        "ON ks.day = exact.day)",
+    ),
     "ks_power_change": Query(
         lambda s, d: drift.ks_power_change(drifting_loans(s, d), score="score", label="y", is_ref="is_ref"),
         "reference_ks_power:10 current_ks_power:10 ks_power_change:10 discriminatory_power_maintained:b",

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -110,6 +112,41 @@ def test_psi_equals_numpy_with_ties_and_values_outside(samples, method):
     assert sums[0] == pytest.approx(1.0) and sums[1] == pytest.approx(1.0)
 
 
+def test_exact_ks_counts_all_orderings(spark):
+    """Against the share of all orderings of small samples, and against the limit for larger ones."""
+    rows, known = [], {}
+    for g, (n, m) in enumerate([(1, 1), (1, 6), (4, 3), (5, 5), (2, 9)]):
+        distances = Counter()
+        for places in itertools.combinations(range(n + m), n):
+            x = np.isin(np.arange(n + m), places)
+            distances[int(np.abs(np.cumsum(x) * m - np.cumsum(~x) * n).max())] += 1
+        total = sum(distances.values())
+        for d in distances:
+            rows.append((g * 1000 + d, d / (n * m), n, m))
+            known[g * 1000 + d] = sum(c for e, c in distances.items() if e >= d) / total
+    rows += [(-1, 0.0, 3, 4), (-2, None, 3, 4), (-3, 0.5, 0, 4), (-4, 1.0, 40, 30), (-5, 0.08, 600, 900)]
+    df = spark.createDataFrame(rows, "id long, d double, n long, m long")
+    p = drift.exact_kolmogorov_p_value(F.col("d"), F.col("n"), F.col("m"))
+    limit = drift.kolmogorov_p_value(F.col("d"), F.col("n"), F.col("m"))
+    found = {r["id"]: r for r in df.select("id", p.alias("p"), limit.alias("limit")).collect()}
+    for key, value in known.items():
+        assert found[key]["p"] == pytest.approx(value, rel=1e-12)
+    assert found[-1]["p"] == 1.0 and found[-2]["p"] is None and found[-3]["p"] is None
+    assert found[-4]["p"] == pytest.approx(2 / math.comb(70, 30), rel=1e-9)  # far below what 1 - x could hold
+    assert found[-5]["p"] == pytest.approx(found[-5]["limit"], rel=0.1)
+
+
+def test_ks_is_exact_for_small_groups_only(spark):
+    rows = [("small", float(i), int(i % 3 > 0)) for i in range(9)] + [("large", float(i % 50), int(i % 2)) for i in range(60)]
+    rows += [("one side", 1.0, 1), (None, 1.0, 0), (None, 2.0, 1)]
+    df = spark.createDataFrame(rows, "g string, x double, is_ref int")
+    exact = {r["g"]: r for r in drift.ks_two_sample(df, features=["x"], is_ref="is_ref", by=["g"], exact_rows=20).collect()}
+    limit = {r["g"]: r for r in drift.ks_two_sample(df, features=["x"], is_ref="is_ref", by=["g"]).collect()}
+    assert set(exact) == {"small", "large", "one side", None}
+    assert exact["large"] == limit["large"] and exact["small"]["p_value"] != limit["small"]["p_value"]
+    assert exact[None]["p_value"] == pytest.approx(1.0) and exact["one side"]["p_value"] is None
+
+
 def test_feature_drift_agrees_with_its_parts(samples):
     df, arrays = samples
     psi = {r["feature"]: r["psi"] for r in drift.psi(df, features=["x", "ties"], is_ref="is_ref").collect()}
