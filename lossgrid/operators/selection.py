@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lossgrid.functions.bins import edge_array_bin
@@ -128,14 +129,62 @@ def target_correlation_topk(
     return long.orderBy(F.desc_nulls_last(F.abs("corr")), "feature").limit(k)
 
 
+PAIR_SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+#: A variance below this share of the mean square is rounding: the column counts as constant.
+FLAT = 1e-12
+
+
+def _pair_sums(columns: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per task: for each pair of columns the sums over the rows that have both, by matrix products of the batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(PAIR_SUMS), columns, columns))
+        rows = 0
+        for batch in batches:
+            rows += batch.num_rows
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            known = np.isfinite(x)
+            x[~known] = 0.0
+            there = known.astype(float)
+            first, square = x.T @ there, (x * x).T @ there
+            sums += np.stack([there.T @ there, first, first.T, square, square.T, x.T @ x])
+        if rows:
+            a, b = np.triu_indices(columns)
+            parts = {name: pa.array(sums[k][a, b]) for k, name in enumerate(PAIR_SUMS)}
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int32()), "b": pa.array(b, pa.int32()), **parts})
+
+    return run
+
+
 def correlation_matrix(df: DataFrame, *, cols: Sequence[str] | None = None) -> DataFrame:
-    """Pairwise-complete Pearson matrix as rows (feature_a, feature_b, corr), both triangles and diagonal."""
+    """Pairwise-complete Pearson matrix as rows (feature_a, feature_b, corr), both triangles and diagonal.
+
+    For any number of columns: a task adds up the sums of all pairs of its rows and sends one narrow row per pair, so
+    neither the plan nor the shuffle grows with the rows. Values are centred on the column means first. NULL, NaN and
+    infinite values are missing; a pair without common rows or with a constant side has no coefficient.
+    """
     names = list(cols) if cols is not None else numeric_columns(df)
-    upper = _pair_correlations(df, [(a, b) for a, b in combinations(names, 2)] + [(c, c) for c in names])
-    mirrored = F.when(F.col("feature_a") != F.col("feature_b"), F.array(F.lit(False), F.lit(True)))
-    both = upper.withColumn("_flip", F.explode(F.coalesce(mirrored, F.array(F.lit(False)))))
-    return both.select(
-        F.when(F.col("_flip"), F.col("feature_b")).otherwise(F.col("feature_a")).alias("feature_a"),
-        F.when(F.col("_flip"), F.col("feature_a")).otherwise(F.col("feature_b")).alias("feature_b"),
-        "corr",
-    )
+    values = [F.col(f"`{c}`").cast("double") for c in names]
+    finite = [F.when(F.abs(v) < float("inf"), v) for v in values]
+    means = df.agg(F.array(*[F.avg(v) for v in finite]).alias("means")).scalar()
+    centred = df.select(*[(v - F.get(means, F.lit(i))).alias(f"c{i}") for i, v in enumerate(values)])
+    sums = centred.mapInArrow(_pair_sums(len(names)), "a int, b int, " + ", ".join(f"{c} double" for c in PAIR_SUMS))
+    # Every pair has a row, of an empty table too.
+    last = F.lit(len(names) - 1)
+    pairs = df.limit(0).agg(F.count(F.lit(1))).select(F.explode(F.sequence(F.lit(0), last)).alias("a"))
+    none = pairs.select("a", F.explode(F.sequence("a", last)).alias("b"), *[F.lit(0.0).alias(c) for c in PAIR_SUMS])
+    total = sums.unionByName(none).groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in PAIR_SUMS])
+
+    def spread(square: str, first: str) -> Column:
+        v = F.col("n") * F.col(square) - F.col(first) * F.col(first)
+        return F.when(v > F.lit(FLAT) * F.col("n") * F.col(square), v)
+
+    shared = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    corr = shared / (F.sqrt(spread("sxx", "sx")) * F.sqrt(spread("syy", "sy")))
+    corr = F.when((F.col("a") == F.col("b")) & corr.isNotNull(), F.lit(1.0)).otherwise(corr)
+    bounded = F.when(corr.isNotNull(), F.greatest(F.least(corr, F.lit(1.0)), F.lit(-1.0)))
+    name = F.array(*[F.lit(c) for c in names])
+    upper = total.select(F.get(name, "a").alias("x"), F.get(name, "b").alias("y"), (F.col("a") < F.col("b")).alias("two"), bounded.alias("corr"))
+    ways = F.when(F.col("two"), F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))))
+    both = upper.select(F.explode(F.coalesce(ways, F.array(F.struct("x", "y")))).alias("pair"), "corr")
+    return both.select(F.col("pair.x").alias("feature_a"), F.col("pair.y").alias("feature_b"), "corr")

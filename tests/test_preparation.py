@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,3 +173,38 @@ def test_scores_of_levels_are_those_of_their_indicators(spark):
     info = sum(c / 600 * math.log(c * 600 / (sum(v for (a, _), v in cell.items() if a == x) * sum(v for (_, b), v in cell.items() if b == y))) for (x, y), c in cell.items())
     assert best["level"] == "g2" and best["score"] == pytest.approx(info)
     assert categories.level_scores(df.limit(0), label="y", cols=["g"]).collect() == []
+
+
+def test_correlations_of_many_columns(spark):
+    """150 columns with missing values against numpy, pair by pair; constants and lone rows have no coefficient."""
+    r = np.random.default_rng(7)
+    n, k = 400, 150
+    x = r.normal(0, 1, (n, k)) + r.normal(0, 1, (n, 1))
+    x[:, 3] = x[:, 3] * 1e-3 + 1e7
+    x[:, 5] = 0.1
+    x[r.random((n, k)) < 0.2] = np.nan
+    x[:, 7] = np.nan
+    x[0, 7] = 2.0
+    x[:, 9] = np.where(np.isnan(x[:, 10]), 5.0, -3.25)  # constant wherever column 10 is known
+    rows = [tuple(None if np.isnan(v) else float(v) for v in row) for row in x]
+    df = spark.createDataFrame(rows, ", ".join(f"`c {i}` double" for i in range(k))).repartition(5)
+    found = {(q["feature_a"], q["feature_b"]): q["corr"] for q in selection.correlation_matrix(df).collect()}
+    assert len(found) == k * k
+    for i in range(0, k, 1):
+        for j in (0, 3, 5, 7, 9, 10, i):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            a, b = x[both, i], x[both, j]
+            got = found[f"c {i}", f"c {j}"]
+            assert got == found[f"c {j}", f"c {i}"]
+            if len(a) < 2 or np.ptp(a) == 0 or np.ptp(b) == 0:
+                assert got is None
+            else:
+                assert got == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-8)
+    assert not [q for q in selection.correlation_matrix(df.limit(0), cols=["c 0", "c 1"]).collect() if q["corr"] is not None]
+    assert selection.correlation_matrix(df.limit(0), cols=["c 0", "c 1"]).count() == 4
+
+
+def test_correlation_shuffles_one_row_per_pair(spark):
+    df = spark.range(1000).select(*[(F.col("id") * i % 7).alias(f"c{i}") for i in range(1, 20)])
+    plan = selection.correlation_matrix(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "SortAggregate" not in plan and "Join" not in plan
