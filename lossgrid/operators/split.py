@@ -26,7 +26,9 @@ def stratified_split(
 
     Rows rank by hash inside their class and the first ``test_size`` share is the test set. Only the two
     cut-off hashes per class are needed: counts per hash prefix find the prefix each cut falls in, and just
-    the rows under those prefixes are ranked. The table itself gets a column and is never shuffled.
+    the keys under those prefixes are ranked, by running counts of their rows, so that a key with a large part
+    of the table is one row there. The table itself gets a column and is never shuffled. Rows with one key go
+    to the same set, which a cut inside such a key makes larger.
     """
     hashed = df.withColumn("_h", _hash52(seed, key)).withColumn(
         "_prefix", F.shiftright("_h", HASH_BITS - BUCKET_BITS).cast("int")
@@ -61,13 +63,14 @@ def stratified_split(
         .select(key, label, "_h", "_prefix", F.inline(tagged))
         .filter(F.col("_prefix") == F.col("at"))
     )
-    place = F.row_number().over(Window.partitionBy(label, "cut").orderBy("_h", key))
+    keys = near.groupBy(label, "cut", "rank", "_h", key).agg(F.count(F.lit(1)).alias("n"))
+    reached = F.sum("n").over(Window.partitionBy(label, "cut").orderBy("_h", key))
     edge = F.struct("_h", key)
     thresholds = (
-        near.withColumn("place", place)
-        .filter(F.col("place") == F.col("rank"))
+        keys.withColumn("reached", reached)
+        .filter(F.col("reached") >= F.col("rank"))
         .groupBy(label)
-        .agg(*[F.max(F.when(F.col("cut") == n, edge)).alias(n) for n in cuts])
+        .agg(*[F.min(F.when(F.col("cut") == n, edge)).alias(n) for n in cuts])
     )
     limit = F.try_element_at(F.col("_limits"), F.col(label))
     split = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import math
 
 import numpy as np
@@ -130,6 +131,23 @@ def test_split_is_exact_per_class_and_stable(spark, partitions):
     assert out.select("id", "split").exceptAll(other.select("id", "split")).isEmpty()
 
 
+@pytest.mark.parametrize("hot", [3, 17, 58])
+def test_split_with_a_key_that_holds_a_third(spark, hot):
+    """Against ranks of all rows in plain Python; the hot key is one row wherever rows are ordered."""
+    keys = [k for k in range(120)] + [hot] * 60
+    df = spark.createDataFrame([(k, 1) for k in keys], "id long, y int").repartition(4)
+    out = split.stratified_split(df, key="id", label="y")
+    found = {}
+    for r in out.collect():
+        assert found.setdefault(r["id"], r["split"]) == r["split"]
+    order = sorted((int(hashlib.md5(f"42|{k}".encode()).hexdigest()[:13], 16), k) for k in keys)
+    test = int(len(keys) * 0.3 + 0.5)
+    val = test + int(len(keys) * 0.2 + 0.5)
+    for place in sorted(set(order)):
+        assert found[place[1]] == ("test" if place <= order[test - 1] else "val" if place <= order[val - 1] else "train")
+    assert out.count() == len(keys)
+
+
 def test_csv_tree_needs_an_accepted_file(spark, tmp_path):
     (tmp_path / "a" / "b").mkdir(parents=True)
     with pytest.raises(FileNotFoundError):
