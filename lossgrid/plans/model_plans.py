@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lossgrid.operators import discrimination, impairment, models, quality, split
@@ -112,6 +112,23 @@ def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("feature", F.col("importance").between(0, 1e6).alias("in_range"))
 
 
+def _driven_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two strongest features, in order, of a label that exposure drives and debt to income drives less."""
+    loans = model_table(spark, sf_dir)
+
+    def spread(c: str) -> Column:
+        centre, width = (loans.agg(f(c).alias("v")).select("v").scalar() for f in (F.avg, F.stddev))
+        return F.coalesce(F.tanh((F.col(c) - centre) / width), F.lit(0.0))
+
+    noise = (F.col("id") * 48271 % 1009) / 1009.0
+    chance = F.lit(0.5) + spread("exposure") * 0.35 + spread("dti") * 0.15
+    data = materialise(loans.withColumn("driven", (noise < chance).cast("int")), "driven")
+    model = models.train_logistic(data, label="driven", num_cols=NUMERIC, cat_cols=CATEGORIES)
+    names = models.feature_names(model, data, num_cols=NUMERIC, cat_cols=CATEGORIES)
+    found = models.feature_importance(model, names, k=2)
+    return found.withColumn("place", F.row_number().over(Window.orderBy(F.desc("importance"), "feature")))
+
+
 def raw_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uncalibrated scores: three times too high at the low end."""
     table = model_table(spark, sf_dir)
@@ -345,6 +362,9 @@ QUERIES = {
             f"FROM loan UNION SELECT unnest({NUMERIC}))"
         ),
     ),
+    "importance_of_drivers": Query(
+        _driven_importance, "place:i feature:s", "SELECT * FROM (VALUES (1, 'exposure'), (2, 'dti')) AS t(place, feature)"
+    ),
     "calibrate_isotonic": Query(
         _calibrated(models.calibrate_isotonic),
         _BRIER_SPEC.format(9),
