@@ -3,7 +3,7 @@
 In one dimension the k nearest neighbours of a value are among the k values before and the k after it. The values are
 cut into ordered buckets; windows see k rows to both sides inside a bucket, and the first and last k rows of each bucket,
 which are few, see over its borders. How many rows of all classes lie nearer than the k-th neighbour is the difference of
-two running totals, looked up by the borders of the interval.
+two running totals, taken where the borders of the interval lie in the order of all values.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lossgrid.functions.numeric import melt, numeric_columns
 from lossgrid.functions.special import digamma
-from lossgrid.operators.ordered import bucketed, running_totals
+from lossgrid.operators.ordered import bucketed
 from lossgrid.session import materialise
 
 NEIGHBOURS = 3
@@ -36,7 +36,8 @@ def _points(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
 def with_nearest(df: DataFrame, value: str, count: str, group: Sequence[str], k: int) -> DataFrame:
     """Add ``_below`` and ``_above``: (value, count) of up to k rows before and after a row in the order of its group.
 
-    Values are distinct within a group. No task orders more than a bucket, or k rows from both ends of every bucket.
+    Values are distinct within a group. No task orders more than a bucket, or k rows from both ends of every bucket. The
+    order within the buckets is written once, as the rows at the borders are looked at again.
     """
     group, columns = list(group), df.columns
     placed = bucketed(df, value, "_bucket", group)[0].repartition(*group, "_bucket")
@@ -44,12 +45,15 @@ def with_nearest(df: DataFrame, value: str, count: str, group: Sequence[str], k:
 
     def both_sides(keys: Sequence[str]) -> tuple[Column, Column]:
         order = Window.partitionBy(*keys).orderBy(value)
-        return F.collect_list(pair).over(order.rowsBetween(-k, -1)), F.collect_list(pair).over(order.rowsBetween(1, k))
+        below, above = [F.lag(pair, i).over(order) for i in range(k, 0, -1)], [F.lead(pair, i).over(order) for i in range(1, k + 1)]
+        return tuple(F.filter(F.array(*side), lambda p: p.isNotNull()) for side in (below, above))
 
     inside = Window.partitionBy(*group, "_bucket").orderBy(value)
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     below, above = both_sides([*group, "_bucket"])
-    local = placed.withColumns({"_below": below, "_above": above, "_rank": F.row_number().over(inside), "_rows": F.count(F.lit(1)).over(whole)})
+    local = placed.select(*columns, below.alias("_below"), above.alias("_above"), F.row_number().over(inside).alias("_rank"),
+                          F.count(F.lit(1)).over(whole).alias("_rows"))
+    local = materialise(local, "neighbour-buckets")
     starts, ends = F.col("_rank") <= k, F.col("_rows") - F.col("_rank") < k
     # The k rows before the first ones of a bucket are among the last k of the buckets before it, and the like after it.
     below, above = both_sides(group)
@@ -67,12 +71,39 @@ def _with_radius(points: DataFrame, k: int) -> DataFrame:
     near = with_nearest(points, "value", "n", ["feature", "_class"], k)
     same = F.array_repeat(F.lit(0.0), F.least(F.col("n") - 1, F.lit(k)).cast("int"))
     rank = F.least(F.lit(k), F.col("n_class") - 1).cast("int")
-    radius = F.element_at(F.array_sort(F.concat(same, distances("_below", 1), distances("_above", -1))), rank)
+    radius = F.element_at(F.sort_array(F.concat(same, distances("_below", 1), distances("_above", -1))), rank)
     near = near.select(*points.columns, radius.alias("radius"), rank.alias("rank"))
     # Where the k-th neighbour has the same value, all rows of that value are neighbours.
     return near.select(*points.columns, "radius", F.when(F.col("radius") > 0, F.col("rank")).otherwise(F.col("n")).alias("k"))
 
 
+def _with_nearer(reach: DataFrame) -> DataFrame:
+    """feature, _class, value, n, n_class, k, and ``m``: the rows of all classes nearer than the radius, or of the value if that is 0.
+
+    Values and the ends of their intervals go through one order; an end is placed before or after the values equal to it, and
+    takes the running number of rows there along, so nothing is joined to its totals afterwards.
+    """
+    tied, nothing = F.col("radius") == 0, F.lit(0).cast("bigint")
+
+    def mark(at: Column, sign: int, place: Column, rows: Column) -> Column:
+        return F.struct(at.alias("_at"), F.lit(sign).alias("_sign"), place.alias("_place"), rows.alias("_rows"))
+
+    # The value of an end is inside at the upper end of a tie and at the lower end of an interval, which it is subtracted from.
+    after = F.when(tied, 1).otherwise(-1)
+    marks = F.array(mark(F.col("value"), 0, F.lit(0), F.col("n")), mark(F.col("value") + F.col("radius"), 1, after, nothing),
+                    mark(F.col("value") - F.col("radius"), -1, -after, nothing))
+    marks = bucketed(reach.select("feature", "_class", "value", "n", "n_class", "k", F.inline(marks)), "_at", "_bucket", ["feature"])[0]
+    ahead = Window.partitionBy("feature").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = marks.groupBy("feature", "_bucket").agg(F.sum("_rows").alias("_all"))  # fewer rows than buckets and features
+    totals = totals.select("feature", "_bucket", F.coalesce(F.sum("_all").over(ahead), nothing).alias("_ahead"))
+    order = Window.partitionBy("feature", "_bucket").orderBy("_at", "_place").rowsBetween(Window.unboundedPreceding, 0)
+    ends = marks.repartition("feature", "_bucket").withColumn("_upto", F.sum("_rows").over(order)).filter(F.col("_sign") != 0)
+    reached = ends.join(F.broadcast(totals), ["feature", "_bucket"])
+    return reached.groupBy("feature", "_class", "value", "n", "n_class", "k").agg(
+        F.sum(F.col("_sign") * (F.col("_upto") + F.col("_ahead"))).alias("m")
+    )
+
+
 def neighbour_mutual_info(df: DataFrame, *, label: str, cols: Sequence[str] | None = None, k: int = 20, neighbours: int = NEIGHBOURS) -> DataFrame:
     """Top-k numeric features (feature, score) by nearest-neighbour mutual information with a class label, in nats.
 
@@ -87,19 +118,7 @@ def neighbour_mutual_info(df: DataFrame, *, label: str, cols: Sequence[str] | No
     names = list(cols) if cols is not None else numeric_columns(df, exclude=[label])
     points = materialise(_points(df, label, names), "neighbour-points")
     reach = materialise(_with_radius(points, neighbours), "neighbour-reach")
-    tied = F.col("radius") == 0
-    ends = F.array(F.struct((F.col("value") + F.col("radius")).alias("at"), F.lit(1).alias("sign")),
-                   F.struct((F.col("value") - F.col("radius")).alias("at"), F.lit(-1).alias("sign")))
-    ends = reach.select("feature", "_class", "value", "n", "n_class", "k", tied.alias("tied"), F.inline(ends))
-    marks = points.select("feature", F.col("value").alias("at"), "n").unionAll(ends.select("feature", "at", F.lit(0).cast("bigint")))
-    totals = running_totals(marks, "at", {"rows": F.col("n")}, ["feature"])
-    upper = F.col("sign") == 1
-    # Rows up to the end, its own value included at the upper end of a tie and at the lower end of an interval.
-    reached = F.when(upper == F.col("tied"), F.col("rows_upto")).otherwise(F.col("rows_upto") - F.col("rows"))
-    nearer = ends.join(totals, ["feature", "at"]).groupBy("feature", "_class", "value", "n", "n_class", "k").agg(
-        F.sum(F.col("sign") * reached).alias("m")
-    )
     term = F.col("n") * (digamma(F.col("k")) - digamma(F.col("n_class")) - digamma(F.col("m")))
-    scored = nearer.groupBy("feature").agg(F.sum("n").alias("rows"), F.sum(term).alias("terms"))
+    scored = _with_nearer(reach).groupBy("feature").agg(F.sum("n").alias("rows"), F.sum(term).alias("terms"))
     score = F.greatest(F.lit(0.0), digamma(F.col("rows")) + F.col("terms") / F.col("rows"))
     return scored.select("feature", score.alias("score")).orderBy(F.desc("score"), "feature").limit(k)

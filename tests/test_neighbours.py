@@ -97,6 +97,19 @@ def test_no_window_without_partitions(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_each_order_is_made_once(spark):
+    """Intervals take their totals along: no large join, and no window over buckets is computed for two branches."""
+    table = spark.createDataFrame(_table(200, 3), SCHEMA)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = neighbour_mutual_info(table, label="y")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "NestedLoop" not in plan
+    assert len(re.findall(r"\bWindow \[", plan)) == 2
+
+
 def test_as_a_selection_method(spark):
     table = spark.createDataFrame([(i % 2, float(i % 7) + 3.0 * (i % 2), "ab"[i % 2]) for i in range(80)], "y int, x double, c string")
     found = selection.select_features(table, label="y", method="neighbours", cols=["x"], cat_cols=["c"], k=5).collect()
