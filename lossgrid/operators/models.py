@@ -12,12 +12,13 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lossgrid.operators import boosting
 from lossgrid.operators.encoding import medians, modes
 from lossgrid.operators.ordered import bucketed
 from lossgrid.session import materialise
@@ -177,23 +178,23 @@ def train_gbt(
 ) -> PipelineModel:
     """Boosted trees; positives weigh n_neg / n_pos. NULLs are imputed, trees need no scaling.
 
-    Node ids are checkpointed where the cluster names a checkpoint folder, which bounds the lineage of a
-    long run of trees.
+    The trees are grown by ``boosting``, evenly over the cluster whatever files the table is in.
     """
     labelled = df.filter(F.col(label).isin(0, 1))
     pos, neg = _class_counts(labelled, label)
-    weight = F.when(F.col(label) == 1, neg / pos if pos else 1.0).otherwise(1.0)
+    ratio = neg / pos if pos else 1.0
     estimator = GBTClassifier(
-        featuresCol="features",
-        labelCol=label,
-        weightCol="_weight",
-        maxIter=trees,
-        maxDepth=depth,
-        stepSize=rate,
-        seed=seed,
-        checkpointInterval=10,
+        featuresCol="features", labelCol=label, weightCol="_weight", maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed
+    )
+    prepare = Pipeline(stages=preprocess_stages(labelled, num_cols=num_cols, cat_cols=cat_cols, scale=False)).fit(labelled)
+    counts = [len(levels) for stage in prepare.stages if isinstance(stage, StringIndexerModel) for levels in stage.labelsArray]
+    numbers = [f"_num{i}" for i in range(len(num_cols))]
+    grown = boosting.fit_trees(
+        prepare.transform(labelled), label=label, numbers=numbers, categories=[(f"_cat{j}_idx", n) for j, n in enumerate(counts)],
+        rows=pos + neg, ratio=ratio, trees=trees, depth=depth, rate=rate, seed=seed,
     )
-    return fit_pipeline(labelled.withColumn("_weight", weight), estimator, num_cols=num_cols, cat_cols=cat_cols, scale=False)
+    model = boosting.as_model(df.sparkSession, estimator, grown, numbers=len(numbers), slots=len(numbers) + sum(counts))
+    return PipelineModel(stages=[*prepare.stages, model])
 
 
 def score_pd(model: PipelineModel, df: DataFrame, *, out: str = "pd", keep: Sequence[str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lossgrid.operators import discrimination, models
+from lossgrid.operators import boosting, discrimination, models
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +109,46 @@ def test_many_levels_and_levels_of_unlabelled_rows(spark):
     names = models.feature_names(model, df, num_cols=["x"], cat_cols=["c"])
     assert len(names) == 300 and "c_l299" not in names
     assert models.feature_importance(model, names, k=5).count() == 5
+
+
+def _mllib(table, trees):
+    from pyspark.ml.classification import GBTClassifier
+
+    labelled = table.filter("y IN (0, 1)")
+    pos, neg = labelled.filter("y = 1").count(), labelled.filter("y = 0").count()
+    weighted = labelled.withColumn("_weight", F.when(F.col("y") == 1, neg / pos).otherwise(1.0))
+    estimator = GBTClassifier(labelCol="y", weightCol="_weight", maxIter=trees, maxDepth=5, stepSize=0.1, seed=models.SEED)
+    return models.fit_pipeline(weighted, estimator, num_cols=["x", "z"], cat_cols=["c"], scale=False)
+
+
+def test_boosted_trees_are_those_of_mllib(table, tmp_path):
+    ours, theirs = models.train_gbt(table, label="y", num_cols=["x", "z"], cat_cols=["c"], trees=4), _mllib(table, 4)
+    models.save_model(ours, str(tmp_path / "trees"))
+    both = models.score_pd(theirs, models.score_pd(models.load_model(str(tmp_path / "trees")), table), out="theirs")
+    assert both.agg(F.max(F.abs(F.col("pd") - F.col("theirs")))).first()[0] < 1e-9
+    last = ours.stages[-1]
+    assert list(last.treeWeights) == [1.0, 0.1, 0.1, 0.1]
+    assert last.featureImportances.toArray() == pytest.approx(theirs.stages[-1].featureImportances.toArray(), abs=1e-6)
+
+
+def test_trees_grow_on_the_whole_cluster_whatever_the_files(spark, monkeypatch):
+    """A table in one partition is summed up by as many tasks as the cluster has places, and every row is in the sums."""
+    parts, rows, total = [], [], boosting._total
+
+    def seen(sums, size):
+        parts.append(sums.getNumPartitions())
+        found = total(sums, size)
+        rows.append(found[: (len(found) - 2) // 2].sum() if size == len(found) else 0)
+        return found
+
+    monkeypatch.setattr(boosting, "_total", seen)
+    monkeypatch.setattr(boosting, "LEAST_ROWS", 100)
+    table = spark.range(5000).selectExpr("id * 7919 % 1009 * 1e0 AS x", "CAST(id * 7919 % 1009 > id * 31 % 1500 AS INT) AS y").coalesce(1)
+    models.train_gbt(table, label="y", num_cols=["x"], trees=2, depth=2)
+    assert set(parts) == {spark.sparkContext.defaultParallelism} and rows[0] == 5000
+
+
+def test_one_class_or_no_split(spark):
+    """Nothing to split on gives trees of one leaf."""
+    same = spark.createDataFrame([(1.0, i % 2) for i in range(40)], "x double, y int")
+    assert models.score_pd(models.train_gbt(same, label="y", num_cols=["x"], trees=3), same).select("pd").distinct().count() == 1
