@@ -89,7 +89,9 @@ def _train_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = split_table(spark, sf_dir)
     model = models.train_gbt(_part(data, "train"), label="default", num_cols=NUMERIC, cat_cols=CATEGORIES)
-    return _fit_summary(_scored(model, data, "split", "pd_12m"))
+    # Hundreds of trees are walked once per loan, by all cores: the table's files may be few.
+    spread = data.repartition(spark.sparkContext.defaultParallelism)
+    return _fit_summary(materialise(_scored(model, spread, "split", "pd_12m"), "scores"))
 
 
 def _score(spark: SparkSession, sf_dir: str) -> DataFrame:

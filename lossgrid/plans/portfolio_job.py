@@ -43,7 +43,8 @@ def training_table(
     names = [r["column"] if r["level"] is None else categories.indicator_name(r["column"], r["level"]) for r in best]
     taken = [F.col(f"`{r['column']}`") for r in best if r["level"] is None] + categories.indicators(chosen)
     table = split.stratified_split(filled.select(*keyed, *taken), key=KEY, label=LABEL)
-    return materialise(table, "training"), names
+    # Every fit and the scoring read it with all cores; the files of a small result may be few.
+    return materialise(table.repartition(loans.sparkSession.sparkContext.defaultParallelism), "training"), names
 
 
 # Multipliers of the PD by scenario, and the scenarios' weights.
