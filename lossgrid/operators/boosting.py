@@ -11,14 +11,14 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossgrid.session import scratch_dir
@@ -31,6 +31,11 @@ CUT_EVERY = 20
 THRESHOLD_ROWS = 10_000
 #: Bytes of sums of all tasks that the driver adds itself; more are added on executors first.
 DRIVER_BYTES = 1 << 25
+#: Rows of a node from which only one of its children is added up. In small nodes splits of equal gain are common, and a
+#: difference would be rounded otherwise than a sum.
+REST_ROWS = 65536
+#: Gains of a node that is a difference are equal up to this share of its impurity.
+ROUNDING = 1e-10
 PURE = 2.0**-52
 
 
@@ -122,60 +127,110 @@ def _unpacked(row: tuple, numbers: int, categories: int) -> Block:
             positive, np.zeros(n))
 
 
-def _by_node(block: Block, splits: Splits) -> dict[int, np.ndarray]:
-    """The rows of a block by the node that they end in."""
+def _places(block: Block, splits: Splits) -> np.ndarray:
+    """Per row of a block the place of the node that it ends in."""
     bins, levels, positive, _ = block
-    ended, going = {}, [(0, np.arange(len(positive)))]
-    while going:
-        place, rows = going.pop()
-        if place not in splits:
-            ended[place] = rows
-            continue
-        category, at, cut = splits[place]
-        right = bins[at][rows] > cut if category < 0 else levels[at][rows] == cut
-        going += [(2 * place + 1, rows[~right]), (2 * place + 2, rows[right])]
-    return ended
+    deepest = 2 * max(splits, default=0) + 2
+    place = np.zeros(len(positive), np.uint8 if deepest < 256 else np.int64)
+    for node in sorted(splits):  # parents first
+        category, at, cut = splits[node]
+        step = (bins[at] > cut if category < 0 else levels[at] == cut).astype(place.dtype)
+        step += place.dtype.type(node + 1)
+        step *= place == node
+        place += step
+    return place
 
 
 def _moved(block: Block, splits: Splits, steps: dict[int, float]) -> Block:
     """The block with the scores after one more tree."""
-    score = block[3].copy()
-    for place, rows in _by_node(block, splits).items():
-        score[rows] += steps[place]
-    return (*block[:3], score)
+    added = np.zeros(max(steps) + 1)
+    added[list(steps)] = list(steps.values())
+    return (*block[:3], block[3] + added[_places(block, splits)])
 
 
-def _level_sums(blocks: Iterable[Block], splits: Splits, growing: list[int], first: bool, layout: Layout) -> Iterator[np.ndarray]:
-    """One array: per growing node, slot, bin and class the rows and their residuals; per node and class the squared residuals."""
+def _level_sums(
+    blocks: Iterable[Block], splits: Splits, growing: list[int], first: bool, layout: Layout, counted: bool = True
+) -> Iterator[np.ndarray]:
+    """One array: per growing node, slot, bin and class the rows and their residuals; per node and class the squared residuals.
+
+    Only the rows of the growing nodes are looked at. Where the rows are known already (``counted`` false) zeros stand for them.
+    """
     many, width = len(growing), 2 * layout.bins
     cells = many * (len(layout.thresholds) * width + 2 * sum(layout.levels))
-    counts, sums, squares = np.zeros(cells), np.zeros(cells), np.zeros((many + 1) * 2)
+    counts, sums, squares = np.zeros(cells), np.zeros(cells), np.zeros(many * 2)
+    number = np.full(2 * max([*splits, *growing]) + 3, -1)
+    number[growing] = range(many)
     for block in blocks:
         bins, levels, positive, score = block
+        node, rows = np.zeros(1, int), slice(None)
+        if splits:
+            node = number[_places(block, splits)]
+            rows = np.flatnonzero(node >= 0)
+            node, positive, score = node[rows], positive[rows], score[rows]
         sign = 2.0 * positive - 1.0
         if first:
             residual = sign
         else:
             with np.errstate(over="ignore"):
                 residual = 4.0 * sign / (1.0 + np.exp(2.0 * sign * score))
-        node = np.full(len(sign), many)
-        ended = _by_node(block, splits)
-        for i, place in enumerate(growing):
-            if place in ended:
-                node[ended[place]] = i
         squares += np.bincount(2 * node + positive, residual * residual, len(squares))
-        start = 0
+        start, base, of = 0, None, 0
         for values, size in [*((b, width) for b in bins), *((2 * v, 2 * n) for v, n in zip(levels, layout.levels, strict=True))]:
-            keys = node * size + positive + values
             stop = start + many * size
-            counts[start:stop] += np.bincount(keys, minlength=(many + 1) * size)[: many * size]
-            sums[start:stop] += np.bincount(keys, residual, (many + 1) * size)[: many * size]
+            if base is None or of != size:
+                base, of = node * size + positive, size
+            keys = base + values[rows]
+            if counted:
+                counts[start:stop] += np.bincount(keys, minlength=many * size)
+            sums[start:stop] += np.bincount(keys, residual, many * size)
             start = stop
-    yield np.concatenate([counts, sums, squares[: 2 * many]])
+    yield np.concatenate([counts, sums, squares])
+
+
+def _parted(found: np.ndarray, many: int, layout: Layout) -> tuple[list[np.ndarray], np.ndarray]:
+    """The sums of a level as views, by slot or category and then (rows or residuals), node, bin and class; the squares by node and class."""
+    cells = (len(found) - 2 * many) // 2
+    both, start, out = found[: 2 * cells].reshape(2, cells), 0, []
+    for size in [*[2 * layout.bins] * len(layout.thresholds), *[2 * n for n in layout.levels]]:
+        out.append(both[:, start : start + many * size].reshape(2, many, size))
+        start += many * size
+    return out, found[2 * cells :].reshape(many, 2)
+
 
+def _with_siblings(
+    found: np.ndarray, summed: list[int], growing: list[int], before: np.ndarray, parents: list[int], layout: Layout
+) -> np.ndarray:
+    """The sums of all growing nodes: what was not added up is what a parent has beside the other child.
 
-def _best_splits(found: np.ndarray, growing: list[int], layout: Layout) -> list[tuple[Node, Node | None, Node | None]]:
-    """Per growing node its own sums and, where a split gains, its children; earlier slots and lower thresholds win ties."""
+    A cell without rows has a sum of 0, so thresholds with nothing between them stay equal.
+    """
+    size = len(found) // len(summed)
+    out = np.empty(size * len(growing))
+    (own, squares), (above, squares_above), (to, squares_to) = (
+        _parted(v, n, layout) for v, n in ((found, len(summed)), (before, len(parents)), (out, len(growing)))
+    )
+    for i, place in enumerate(growing):
+        if place in summed:
+            j = summed.index(place)
+            squares_to[i] = squares[j]
+            for there, here in zip(to, own, strict=True):
+                there[:, i] = here[:, j]
+        else:
+            j, k = summed.index(place + 1 if place % 2 else place - 1), parents.index((place - 1) // 2)
+            squares_to[i] = np.maximum(squares_above[k] - squares[j], 0.0)
+            for there, here, whole in zip(to, own, above, strict=True):
+                there[:, i] = whole[:, k] - here[:, j]
+                there[1, i][there[0, i] == 0] = 0.0
+    return out
+
+
+def _best_splits(
+    found: np.ndarray, growing: list[int], layout: Layout, summed: Sequence[int] | None = None
+) -> list[tuple[Node, Node | None, Node | None]]:
+    """Per growing node its own sums and, where a split gains, its children; earlier slots and lower thresholds win ties.
+
+    In nodes that were not ``summed`` gains that differ by the rounding of a difference are ties.
+    """
     many, d, width = len(growing), len(layout.thresholds), 2 * layout.bins
     both = np.array([1.0, layout.ratio])  # weight of a row by class
     cells = (len(found) - 2 * many) // 2
@@ -216,6 +271,8 @@ def _best_splits(found: np.ndarray, growing: list[int], layout: Layout) -> list[
         node.impurity = (node.squares - node.total * node.value) / node.weight if node.weight else 0.0
         left = right = None
         best = int(gain[i].argmax()) if gain.shape[1] else -1
+        if best >= 0 and summed is not None and growing[i] not in summed:
+            best = int((gain[i] >= gain[i, best] - ROUNDING * abs(node.impurity)).argmax())
         if best >= 0 and gain[i, best] > 0 and abs(node.impurity) >= PURE:
             slot, b, below = at[best]
             node.gain, node.feature = float(gain[i, best]), slot
@@ -240,17 +297,36 @@ def _total(sums: RDD, size: int) -> np.ndarray:
     return np.sum(sums.collect(), axis=0)
 
 
-def _grown(blocks: RDD, first: bool, depth: int, layout: Layout) -> tuple[dict[int, Node], Splits]:
-    """One tree: its nodes by place."""
+def _lesser(nodes: dict[int, Node], place: int) -> int:
+    """Of a node and its sibling the one with fewer rows."""
+    left = place if place % 2 else place - 1
+    return left if nodes[left].rows <= nodes[left + 1].rows else left + 1
+
+
+def _grown(blocks: RDD, first: bool, depth: int, layout: Layout, rows_at_root: np.ndarray | None) -> tuple[dict[int, Node], Splits, np.ndarray]:
+    """One tree: its nodes by place, its splits, and the rows by slot, bin and class, which are the same for every tree.
+
+    Of two children of a large node the one with fewer rows is added up, the other one is the rest of their parent.
+    """
     nodes: dict[int, Node] = {}
     splits: Splits = {}
-    growing = [0]
+    growing, parents, before = [0], [], np.zeros(0)
     for level in range(depth):
-        known, wanted = dict(splits), list(growing)
-        sums = blocks.mapPartitions(lambda part, known=known, wanted=wanted: _level_sums(part, known, wanted, first, layout))
-        size = 2 * len(wanted) * (len(layout.thresholds) * 2 * layout.bins + 2 * sum(layout.levels) + 1)
-        growing = []
-        for place, (node, left, right) in zip(wanted, _best_splits(_total(sums, size), wanted, layout), strict=True):
+        known, counted = dict(splits), bool(level) or rows_at_root is None
+        summed = [p for p in growing if not p or nodes[(p - 1) // 2].rows < REST_ROWS or _lesser(nodes, p) == p]
+        sums = blocks.mapPartitions(
+            lambda part, known=known, summed=summed, counted=counted: _level_sums(part, known, summed, first, layout, counted)
+        )
+        size = 2 * len(summed) * (len(layout.thresholds) * 2 * layout.bins + 2 * sum(layout.levels) + 1)
+        found = _total(sums, size)
+        if level:
+            found = _with_siblings(found, summed, growing, before, parents, layout)
+        elif rows_at_root is None:
+            rows_at_root = found[: (len(found) - 2) // 2].copy()
+        else:
+            found[: len(rows_at_root)] = rows_at_root
+        parents, before, growing = growing, found, []
+        for place, (node, left, right) in zip(parents, _best_splits(found, parents, layout, summed), strict=True):
             nodes[place] = node
             if left is not None:
                 splits[place] = _split_of(node, layout)
@@ -258,7 +334,7 @@ def _grown(blocks: RDD, first: bool, depth: int, layout: Layout) -> tuple[dict[i
                 growing += [2 * place + 1, 2 * place + 2]
         if not growing:
             break
-    return nodes, splits
+    return nodes, splits, rows_at_root
 
 
 def fit_trees(
@@ -286,9 +362,9 @@ def fit_trees(
     blocks = packed.rdd.map(lambda row: _unpacked(row, wide, many)).persist(StorageLevel.MEMORY_AND_DISK)
     cut = RDD.checkpoint if context.getCheckpointDir() else RDD.localCheckpoint
     cut(blocks)
-    out = []
+    out, counts = [], None
     for m in range(trees):
-        nodes, splits = _grown(blocks, m == 0, depth, layout)
+        nodes, splits, counts = _grown(blocks, m == 0, depth, layout, counts)
         out.append(nodes)
         if m:
             before.unpersist()
@@ -362,4 +438,70 @@ def as_model(spark: SparkSession, estimator: GBTClassifier, trees: list[dict[int
     write([(i, row) for i, nodes in enumerate(trees) for row in _listed(nodes, numbers)], NODE_SCHEMA, "data")
     each = [(i, metadata("regression.DecisionTreeRegressionModel", "dtr", boosted), 1.0 if i == 0 else rate) for i in range(len(trees))]
     write(each, "_1 int, _2 string, _3 double", "treesMetadata")
-    return GBTClassificationModel.load(path)
+    model = GBTClassificationModel.load(path)
+    model.grown = Walk.of(trees, [1.0 if i == 0 else rate for i in range(len(trees))])  # for scoring; a saved model does not keep it
+    return model
+
+
+#: Slots of the feature vector up to which rows are scored in batches; MLlib scores wider, sparse ones.
+SCORED_SLOTS, SCORED_ROWS = 512, 16384
+
+
+@dataclass
+class Walk:
+    """Trees as steps over whole columns: a row's leaf is put together from all comparisons of a tree, without a walk per row."""
+
+    cuts: dict[int, np.ndarray]
+    trees: list[tuple[list[tuple[int, int, int]], np.ndarray]]  # (place, feature, rank of the cut), children first; leaf values by place
+    kind: type
+
+    @classmethod
+    def of(cls, trees: list[dict[int, Node]], weights: Sequence[float]) -> Walk:
+        inner = [{p: n for p, n in nodes.items() if n.feature >= 0} for nodes in trees]
+        found: dict[int, set[float]] = {}
+        for node in (n for nodes in inner for n in nodes.values()):
+            found.setdefault(node.feature, set()).add(node.cut)
+        cuts = {f: np.array(sorted(c)) for f, c in found.items()}
+        steps, last = [], max(max(nodes) for nodes in trees)
+        for nodes, split, weight in zip(trees, inner, weights, strict=True):
+            values = np.zeros(last + 1)
+            for place, node in nodes.items():
+                values[place] = weight * node.value
+            order = [(p, n.feature, int(np.searchsorted(cuts[n.feature], n.cut))) for p, n in sorted(split.items(), reverse=True)]
+            steps.append((order, values))
+        return cls(cuts, steps, np.uint8 if last < 256 else np.int64)
+
+    def probability(self, rows: np.ndarray) -> np.ndarray:
+        """Probability of class 1 per row; what equals a threshold is on its left."""
+        out = np.empty(len(rows))
+        for start in range(0, len(rows), SCORED_ROWS):
+            part = rows[start : start + SCORED_ROWS]
+            rank = {f: np.searchsorted(c, np.ascontiguousarray(part[:, f]), "left") for f, c in self.cuts.items()}
+            rank = {f: r.astype(np.uint8) if len(self.cuts[f]) < 256 else r for f, r in rank.items()}
+            margin = np.zeros(len(part))
+            for order, values in self.trees:
+                ended: dict[int, np.ndarray] = {}
+                for place, feature, cut in order:
+                    left, right = (ended.pop(p, self.kind(p)) for p in (2 * place + 1, 2 * place + 2))
+                    step = (rank[feature] > cut).astype(self.kind)
+                    step *= right - left  # modulo 256, and so is the sum
+                    step += left
+                    ended[place] = step
+                margin += values[ended[0]] if ended else values[0]
+            with np.errstate(over="ignore"):
+                out[start : start + len(part)] = 1.0 / (1.0 + np.exp(-2.0 * margin))
+        return out
+
+
+def probability(model: GBTClassificationModel) -> Callable[[Column], Column] | None:
+    """A function of the feature array that scores with the trees of a model grown here; None for other models and wide ones."""
+    walk = getattr(model, "grown", None)
+    if walk is None or model.numFeatures > SCORED_SLOTS:
+        return None
+    slots = model.numFeatures
+
+    @F.arrow_udf("double")
+    def scored(features: pa.Array) -> pa.Array:
+        return pa.array(walk.probability(features.flatten().to_numpy(zero_copy_only=False).reshape(len(features), slots)))
+
+    return scored

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lossgrid.functions.numeric import clip, least_or_null, melt, nan_to_null, numeric_columns
 from lossgrid.operators import features
-from lossgrid.operators.ordered import approx_quantiles, exact_quantiles
+from lossgrid.operators.ordered import approx_quantiles, cheap_to_read_twice, column_quantiles
 
 # Columns without predictive content, columns known only after the outcome, pricing columns.
 USELESS_COLUMNS = ("id", "member_id", "url", "desc", "title", "zip_code", "emp_title", "policy_code")
@@ -120,18 +120,20 @@ def cap_outliers(
 ) -> DataFrame:
     """Winsorise numeric columns at their quantiles.
 
-    All columns share one quantile job; the bounds (two numbers per column) come back as a scalar subquery,
-    so the table itself is neither shuffled nor joined. ``exact=False`` uses a one-pass sketch.
+    All columns share one quantile job; the bounds are two numbers per column, so the table itself is neither shuffled
+    nor joined. What lies behind a shuffle is written once, for the quantiles and for the result. ``exact=False`` uses a one-pass
+    sketch, whose bounds come back as a scalar subquery.
     """
     numeric = set(numeric_columns(df))
     names = [c for c in (_present(df, CAPPED_COLUMNS) if cols is None else cols) if c in numeric]
     if not names:
         return df
-    long, probs = melt(df, names), [lower_q, upper_q]
+    probs = [lower_q, upper_q]
     if exact:
-        bounds = exact_quantiles(long, "value", probs, ["feature"], few_groups=True)
-    else:
-        bounds = approx_quantiles(long, "value", probs, ["feature"])
+        df = cheap_to_read_twice(df, "cleaned")
+        limits = {r["feature"]: r["quantiles"] for r in column_quantiles(df, names, probs).collect()}
+        return df.withColumns({c: clip(F.col(c), *[F.lit(q).cast("double") for q in limits.get(c, (None, None))]) for c in names})
+    bounds = approx_quantiles(melt(df, names), "value", probs, ["feature"])
     row = bounds.agg(F.map_from_entries(F.collect_list(F.struct("feature", "quantiles"))).alias("b")).scalar()
     capped = {}
     for c in names:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossgrid.functions.numeric import melt, numeric_columns, other_columns
-from lossgrid.operators.ordered import approx_quantiles, exact_quantiles
+from lossgrid.operators.ordered import approx_quantiles, column_quantiles
 
 
 def columns_with_nulls(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -21,10 +21,9 @@ def columns_with_nulls(df: DataFrame, cols: Sequence[str]) -> list[str]:
 
 def medians(df: DataFrame, cols: Sequence[str], *, exact: bool = True) -> DataFrame:
     """feature, quantiles[0] = median of the non-null values, for all columns in one job."""
-    long = melt(df, list(cols))
     if exact:
-        return exact_quantiles(long, "value", [0.5], ["feature"], few_groups=True)
-    return approx_quantiles(long, "value", [0.5], ["feature"])
+        return column_quantiles(df, list(cols), [0.5])
+    return approx_quantiles(melt(df, list(cols)), "value", [0.5], ["feature"])
 
 
 def impute_median(df: DataFrame, *, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
@@ -37,11 +36,12 @@ def impute_median(df: DataFrame, *, cols: Sequence[str] | None = None, exact: bo
     gaps = columns_with_nulls(df, names)
     if not gaps:
         return df.withColumns(filled) if filled else df
-    entry = F.struct("feature", F.get("quantiles", F.lit(0)).alias("median"))
-    row = medians(df, gaps, exact=exact).agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
+    # One number per column, as a constant: whatever reads the result again does not ask for it again.
+    found = medians(df, gaps, exact=exact).select("feature", F.get("quantiles", F.lit(0)).alias("median")).collect()
+    middle = {r["feature"]: r["median"] for r in found}
     for c in gaps:
-        filled[c] = F.coalesce(F.col(c).cast("double"), F.try_element_at(F.col("_medians"), F.lit(c)))
-    return df.withColumn("_medians", row).withColumns(filled).drop("_medians")
+        filled[c] = F.coalesce(F.col(c).cast("double"), F.lit(middle.get(c)).cast("double"))
+    return df.withColumns(filled)
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -68,11 +68,8 @@ def impute_mode(df: DataFrame, *, cols: Sequence[str] | None = None) -> DataFram
     gaps = columns_with_nulls(df, names)
     if not gaps:
         return df
-    row = modes(df, gaps).agg(F.map_from_entries(F.collect_list(F.struct("feature", "mode"))).alias("m")).scalar()
-    filled = {
-        c: F.coalesce(F.col(c), F.try_element_at(F.col("_modes"), F.lit(c)).cast(df.schema[c].dataType)) for c in gaps
-    }
-    return df.withColumn("_modes", row).withColumns(filled).drop("_modes")
+    most = {r["feature"]: r["mode"] for r in modes(df, gaps).collect()}  # one value per column, as a constant
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(most.get(c)).cast("string").cast(df.schema[c].dataType)) for c in gaps})
 
 
 def handle_missing_values(df: DataFrame, *, exact: bool = True) -> DataFrame:

@@ -41,17 +41,19 @@ def _number(x: float) -> str:
     return f"CAST('{float(x)!r}' AS DOUBLE)"
 
 
-def _numeric_constants(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float, float]]:
-    """Median, mean and population deviation (after median imputation) per column: three numbers each."""
+def _numeric_constants(df: DataFrame, cols: Sequence[str], moments: bool = True) -> dict[str, tuple[float, float | None, float | None]]:
+    """Median and, if asked for, mean and population deviation (after median imputation) per column: three numbers each."""
     if not cols:
         return {}
     middle = {r["feature"]: r["m"] for r in medians(df, cols).select("feature", F.get("quantiles", F.lit(0)).alias("m")).collect()}
+    if not moments:
+        return {c: (middle.get(c), None, None) for c in cols}
     filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(middle.get(c))) for c in cols}
-    moments = df.agg(
+    found = df.agg(
         *[F.avg(x).alias(f"_a{i}") for i, x in enumerate(filled.values())],
         *[F.stddev_pop(x).alias(f"_s{i}") for i, x in enumerate(filled.values())],
     ).first()
-    return {c: (middle.get(c), moments[f"_a{i}"], moments[f"_s{i}"]) for i, c in enumerate(cols)}
+    return {c: (middle.get(c), found[f"_a{i}"], found[f"_s{i}"]) for i, c in enumerate(cols)}
 
 
 def preprocess_stages(
@@ -68,7 +70,7 @@ def preprocess_stages(
     Scaling divides by the population deviation (by 1 for a constant column). A level unseen in fitting
     encodes as all zeros.
     """
-    constants = _numeric_constants(df, num_cols)
+    constants = _numeric_constants(df, num_cols, moments=center or scale)
     exprs = []
     for i, c in enumerate(num_cols):
         median, mean, std = constants[c]
@@ -198,11 +200,18 @@ def train_gbt(
 
 
 def score_pd(model: PipelineModel, df: DataFrame, *, out: str = "pd", keep: Sequence[str] | None = None) -> DataFrame:
-    """Probability of default per loan; only the named columns and the PD are kept."""
+    """Probability of default per loan; only the named columns and the PD are kept.
+
+    Boosted trees that were grown in this session are evaluated in batches, loaded ones by MLlib; the PDs are the same.
+    """
     if model is None:
         raise ValueError("no model to score with")
-    scored = model.transform(df)
     names = list(keep) if keep is not None else df.columns
+    batches = boosting.probability(model.stages[-1])
+    if batches is not None:
+        prepared = PipelineModel(stages=model.stages[:-1]).transform(df)
+        return prepared.select(*names, batches(vector_to_array(model.stages[-1].getFeaturesCol())).alias(out))
+    scored = model.transform(df)
     return scored.select(*names, vector_to_array("probability")[1].alias(out))
 
 

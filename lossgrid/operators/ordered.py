@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lossgrid.functions.numeric import melt
 from lossgrid.session import materialise
 
 MAX_BUCKETS = 16384
@@ -159,6 +160,8 @@ def quantiles_of_totals(
 #: Size of the sketches that bracket the ranks, and the share of all rows by which their ranks may be off: twice the
 #: error that one estimate in a hundred exceeds. A bracket that misses its rank is widened, so this is no matter of results.
 SKETCH_SIZE, SKETCH_ERROR = 8192, 0.0015
+#: Columns whose sketches are kept side by side in one pass.
+SKETCHES = 64
 #: Equal parts of a bracket whose rows are counted before any value is ordered.
 PARTS = 256
 
@@ -222,22 +225,27 @@ def _cells(present: DataFrame, value: str, by: Sequence[str], brackets: list[tup
     return cells.groupBy(*by, "_gap", "_part", value).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def _cheap_to_read_twice(df: DataFrame) -> DataFrame:
+def cheap_to_read_twice(df: DataFrame, purpose: str = "quantile-values") -> DataFrame:
     """``df`` if it is a scan with steps in place, else its rows written once: what lies behind a shuffle is not done twice."""
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return materialise(df, "quantile-values") if re.search(r"\b(Join|Aggregate|Window|Sort|Repartition\w*)\b", plan) else df
+    return materialise(df, purpose) if re.search(r"\b(Join|Aggregate|Window|Sort|Repartition\w*)\b", plan) else df
 
 
-def _two_pass_quantiles(present: DataFrame, value: str, probs: Sequence[float], by: Sequence[str]) -> list[tuple]:
+_cheap_to_read_twice = cheap_to_read_twice
+
+
+def _two_pass_quantiles(
+    present: DataFrame, value: str, probs: Sequence[float], by: Sequence[str], groups: list[Row] | None = None
+) -> list[tuple]:
     """(by, n, quantiles) of every group, on the driver: the table is read twice, by a sketch and by a count.
 
     The sketch brackets each rank between two values. The count tells how many rows lie below each bracket and how they
     spread over its parts; only the values of the parts that hold a rank are ordered. Counts are exact, so a rank that is
-    not where the sketch said is noticed and its bracket widened.
+    not where the sketch said is noticed and its bracket widened. ``groups`` are sketches that are there already.
     """
-    present = _cheap_to_read_twice(present)
+    present = cheap_to_read_twice(present)
     spark, error = present.sparkSession, SKETCH_ERROR
-    groups = _sketched(present, value, probs, by, error)
+    groups = _sketched(present, value, probs, by, error) if groups is None else groups
     found: dict[tuple, dict[int, float]] = {}
     sizes = {tuple(r[c] for c in by): (r["_n"], r["_n"] + r["_nan"]) for r in groups}
     open_groups = [r for r in groups if r["_n"]]
@@ -312,6 +320,41 @@ def exact_quantiles(
     return df.sparkSession.createDataFrame(rows, schema)
 
 
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles of many columns of one table: feature, n, ``quantiles``, a small local table as of ``exact_quantiles``.
+
+    The sketches are those of the columns side by side, so rows become (feature, value) rows for the count alone. Columns
+    without a value are missing.
+    """
+    probs = [float(q) for q in probs]
+    schema = "feature string, n bigint, quantiles array<double>"
+    if not cols:
+        return df.sparkSession.createDataFrame([], schema)
+    table = cheap_to_read_twice(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    aside = 1.75 * SKETCH_ERROR
+    at = F.array(*[F.lit(min(1.0, max(0.0, q + d))) for q in probs for d in (-aside, aside)])
+    found = []
+    for start in range(0, len(cols), SKETCHES):
+        aggregates = []
+        for i, c in enumerate(cols[start : start + SKETCHES]):
+            usable = F.when(~F.isnan(c), F.col(c))
+            aggregates += [
+                F.count(usable).alias(f"_n{i}"), F.min(usable).alias(f"_min{i}"), F.max(usable).alias(f"_max{i}"),
+                F.count_if(F.isnan(c)).alias(f"_nan{i}"), F.kll_sketch_agg_double(usable, F.lit(SKETCH_SIZE)).alias(f"_sketch{i}"),
+            ]
+        one = table.agg(*aggregates)
+        many = range(len(cols[start : start + SKETCHES]))
+        estimates = [F.when(F.col(f"_n{i}") > 0, F.kll_sketch_get_quantile_double(f"_sketch{i}", at)).alias(f"_at{i}") for i in many]
+        row = one.select(*[f"_{k}{i}" for i in many for k in ("n", "min", "max", "nan")], *estimates).first()
+        parts = [{k: row[f"{k}{i}"] for k in ("_n", "_min", "_max", "_nan", "_at")} for i in many]
+        found += [Row(feature=cols[start + i], **part) for i, part in enumerate(parts) if part["_n"] + part["_nan"]]
+    if not found:
+        return df.sparkSession.createDataFrame([], schema)
+    long = melt(table, list(cols)).filter(F.col("value").isNotNull())
+    rows = _two_pass_quantiles(long, "value", probs, ["feature"], found)
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def approx_quantiles(
     df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), accuracy: int = 10000
 ) -> DataFrame:

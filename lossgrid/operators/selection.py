@@ -13,7 +13,7 @@ from lossgrid.functions.bins import edge_array_bin
 from lossgrid.functions.numeric import melt, numeric_columns
 from lossgrid.operators.categories import level_scores
 from lossgrid.operators.neighbours import neighbour_mutual_info
-from lossgrid.operators.ordered import exact_quantiles
+from lossgrid.operators.ordered import cheap_to_read_twice, column_quantiles
 
 
 def _filled(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
@@ -35,11 +35,11 @@ def select_mutual_info(
     Only values around the bin edges are shuffled for the exact quantiles; every row is then binned where it
     lies, and the shuffled counts have at most n_bins * 2 rows per feature and task.
     """
-    long = _filled(df, _chosen(df, label, cols), label)
+    df, names = cheap_to_read_twice(df), _chosen(df, label, cols)
+    long = _filled(df, names, label)
     probs = [i / n_bins for i in range(n_bins + 1)]
-    edges = exact_quantiles(long, "value", probs, ["feature"], few_groups=True).select(
-        "feature", F.array_distinct("quantiles").alias("edges")
-    )
+    wide = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in names])
+    edges = column_quantiles(wide, names, probs).select("feature", F.array_distinct("quantiles").alias("edges"))
     counts = (
         long.join(F.broadcast(edges), "feature")  # one row per feature column
         .withColumn("bin", F.coalesce(edge_array_bin(F.col("value"), F.col("edges"), n_bins + 1), F.lit(0)))

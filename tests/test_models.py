@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lossgrid.operators import boosting, discrimination, models
@@ -152,3 +153,42 @@ def test_one_class_or_no_split(spark):
     """Nothing to split on gives trees of one leaf."""
     same = spark.createDataFrame([(1.0, i % 2) for i in range(40)], "x double, y int")
     assert models.score_pd(models.train_gbt(same, label="y", num_cols=["x"], trees=3), same).select("pd").distinct().count() == 1
+
+
+def _grown_with(monkeypatch, table, rest_rows):
+    summed, places = [], boosting._level_sums
+    monkeypatch.setattr(boosting, "REST_ROWS", rest_rows)
+    monkeypatch.setattr(boosting, "_total", lambda sums, size: (summed.append(size), np.sum(sums.collect(), axis=0))[1])
+    model = models.train_gbt(table, label="y", num_cols=["x", "z"], cat_cols=["c"], trees=3)
+    assert boosting._level_sums is places
+    return model, sum(summed)
+
+
+def test_the_larger_child_is_the_rest_of_its_parent(table, monkeypatch):
+    """Adding up one child of two gives the scores that adding up both gives, from fewer sums."""
+    (whole, many), (rest, few) = _grown_with(monkeypatch, table, 1 << 40), _grown_with(monkeypatch, table, 0)
+    both = models.score_pd(rest, models.score_pd(whole, table), out="rest")
+    assert few < 0.7 * many
+    assert both.agg(F.max(F.abs(F.col("pd") - F.col("rest")))).first()[0] < 1e-9
+
+
+def test_scores_in_batches_are_those_of_mllib(table):
+    """Trees grown here are evaluated for whole columns, also for rows of levels and values that no fit has seen."""
+    model = models.train_gbt(table, label="y", num_cols=["x", "z"], cat_cols=["c"], trees=30)
+    edges = [float(c) for cuts in model.stages[-1].grown.cuts.values() for c in cuts][:20]
+    rows = [(9000 + i, v, w, c, 0) for i, v in enumerate([*edges, -1e300, float("inf"), None]) for w in (0.0, 5.0, None) for c in ("mid", "new", None)]
+    every = table.unionByName(table.sparkSession.createDataFrame(rows, table.schema))
+    ours = models.score_pd(model, every)
+    assert "ArrowEvalPython" in ours._jdf.queryExecution().executedPlan().toString()
+    theirs = model.transform(ours).select("pd", F.get(vector_to_array("probability"), F.lit(1)).alias("theirs"))
+    n, gap = theirs.agg(F.count("pd"), F.max(F.abs(F.col("pd") - F.col("theirs")))).first()
+    assert n == 1500 + len(rows) and gap < 1e-14
+
+
+def test_deep_trees_are_scored_in_batches(spark):
+    """More than 255 places in a tree."""
+    table = spark.range(3000).selectExpr("id * 7919 % 1009 * 1e0 AS x", "id % 97 * 1e0 AS z", "CAST(id * 31 % 53 > id % 41 AS INT) AS y")
+    model = models.train_gbt(table, label="y", num_cols=["x", "z"], trees=4, depth=8)
+    ours = models.score_pd(model, table)
+    theirs = model.transform(ours).select("pd", F.get(vector_to_array("probability"), F.lit(1)).alias("theirs"))
+    assert theirs.agg(F.max(F.abs(F.col("pd") - F.col("theirs")))).first()[0] < 1e-14

@@ -108,3 +108,17 @@ def test_quantiles_do_not_repeat_a_shuffle(spark):
     scan = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     assert ordered._cheap_to_read_twice(scan.filter("o_totalprice > 0").select("o_totalprice")).inputFiles() == scan.inputFiles()
     assert ordered._cheap_to_read_twice(scan.groupBy("o_custkey").sum("o_totalprice")).inputFiles() != scan.inputFiles()
+
+
+def test_quantiles_of_columns_side_by_side(spark):
+    """Those of every column for itself; NULL has no rank, a column without values is missing."""
+    rng = np.random.default_rng(5)
+    data = [(float(rng.normal()), int(rng.integers(0, 9)), None if i % 3 else float(i), None) for i in range(20_000)]
+    df = spark.createDataFrame(data, "a double, b int, c double, d double").repartition(5)
+    probs = [0.0, 0.1, 0.5, 0.99, 1.0]
+    found = {r["feature"]: r for r in ordered.column_quantiles(df, ["a", "b", "c", "d"], probs).collect()}
+    assert set(found) == {"a", "b", "c"}
+    for i, c in enumerate("abc"):
+        values = [r[i] for r in data if r[i] is not None]
+        assert found[c]["n"] == len(values) and found[c]["quantiles"] == pytest.approx(list(np.quantile(values, probs)), rel=1e-12)
+    assert ordered.column_quantiles(df.limit(0), ["a", "b"], probs).count() == 0

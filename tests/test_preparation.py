@@ -226,3 +226,18 @@ def test_correlation_shuffles_one_row_per_pair(spark):
     df = spark.range(1000).select(*[(F.col("id") * i % 7).alias(f"c{i}") for i in range(1, 20)])
     plan = selection.correlation_matrix(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "SortAggregate" not in plan and "Join" not in plan
+
+
+def test_bounds_and_fillings_are_constants(spark):
+    """What reads a capped or filled table again repeats neither its shuffles nor the search for medians and modes."""
+    from lossgrid.operators import encoding
+
+    rows = [(i, float(i) if i % 5 else None, "ab"[i % 2] if i % 7 else None) for i in range(500)]
+    df = spark.createDataFrame(rows, "id bigint, dti double, kind string").repartition(3)
+    capped = cleaning.cap_outliers(df, cols=["dti"])
+    filled = encoding.impute_mode(encoding.impute_median(capped, cols=["dti"]), cols=["kind"])
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(step in plan for step in ("Repartition", "Aggregate", "subquery"))
+    assert filled.filter("dti IS NULL OR kind IS NULL").count() == 0 and filled.count() == 500
+    low, high = np.quantile([r[1] for r in rows if r[1] is not None], [0.01, 0.99])
+    assert filled.agg(F.min("dti"), F.max("dti")).first() == (pytest.approx(low), pytest.approx(high))
